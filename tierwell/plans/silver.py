@@ -9,7 +9,7 @@ from tierwell import fixed_values as fv
 from tierwell.functions.money import money
 from tierwell.functions.temporal import compose_timestamp, parse_date
 from tierwell.functions.text import code, currency, missing, text
-from tierwell.operators.dedupe import one_per_key
+from tierwell.operators.dedupe import group_sizes, one_per_key
 from tierwell.operators.linking import mark_known
 from tierwell.operators.rules import RuleSet
 from tierwell.sources.readers import optional
@@ -44,6 +44,11 @@ def silver_accounts(bronze: DataFrame) -> DataFrame:
     return newest.filter(F.col("customer_ref").isNotNull())
 
 
+def account_copies(bronze: DataFrame) -> DataFrame:
+    """How often every account was delivered."""
+    return group_sizes(typed_accounts(bronze), "account_id", "_dup_count")
+
+
 def typed_customers(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         text("customer_id").alias("customer_id"),

@@ -77,6 +77,7 @@ class LiveTables:
         count_repeats: bool = False,
         clock: Clock = _now,
         every: str | None = None,
+        glob: str = fv.STREAM_FILE_GLOB,
     ) -> list[StreamingQuery]:
         """Start both queries: over what is there now, or with ``every`` (e.g. "30 seconds") for
         good.
@@ -104,7 +105,7 @@ class LiveTables:
             trigger = {"processingTime": every} if every else {"availableNow": True}
             return writer.trigger(**trigger).start()
 
-        events = valid_events(stream_jsonl(session, folder, files_per_batch=files_per_batch))
+        events = valid_events(stream_jsonl(session, folder, files_per_batch=files_per_batch, glob=glob))
         running = self._running_totals(events, count_repeats)
         return [
             run(
