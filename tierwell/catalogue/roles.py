@@ -18,6 +18,7 @@ from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold, silver
 from tierwell.sources.readers import read_table
 from tierwell.streaming.events import valid_events
+from tierwell.tuning import tune
 
 AS_OF = date(2026, 1, 1)
 HALFWAY = "2024-01-16 00:00:00"
@@ -36,7 +37,7 @@ def mixed_date(day: Column, choice: Column) -> Column:
         .when(choice % 25 == 1, seconds.cast("string"))
         .when(choice % 25 == 2, (seconds * scale).cast("string"))
         .when(choice % 25 == 3, F.lit("not a date"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
+        .otherwise(day.cast("string"))
     )
 
 
@@ -59,7 +60,7 @@ def _pick(n: Column, *values: str) -> Column:
 
 class Roles:
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = tune(spark), folder
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.folder}/{name}.parquet")

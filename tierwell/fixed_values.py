@@ -29,12 +29,11 @@ CURRENCY = "ZAR"
 CURRENCY_SPELLINGS = ["ZAR", "R", "RANDS", "710"]
 
 # --- fixed values: date, time and number formats -------------------------------------------
-ISO_DATE = "yyyy-MM-dd"
-DAY_FIRST_DATE = "dd/MM/yyyy"
 ISO_DATE_REGEX = r"^\d{4}-\d{2}-\d{2}$"
+DAY_FIRST_REGEX = r"^\d{2}/\d{2}/\d{4}$"
+TIME_REGEX = r"^\d{2}:\d{2}:\d{2}$"
 EPOCH_REGEX = r"^[+-]?\d+(\.\d*)?$"
 EPOCH_MILLIS_MIN_LENGTH = 13
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MONEY = "decimal(18,2)"
 
 # --- fixed values: age bands as (lowest age, label), oldest first --------------------------

@@ -14,24 +14,27 @@ from tierwell.functions.text import as_col, text
 def parse_date(c: Column | str) -> Column:
     """First match of ISO, day-first and Unix epoch (13 characters or more: milliseconds).
 
-    Epochs are turned into days by arithmetic, so the result does not depend on the session's
-    time zone.  Anything unusable is NULL, also under ANSI mode."""
+    A pattern decides the format and a cast reads it: unlike a parse by format string, a cast that
+    fails costs no exception per row.  Epochs are turned into days by arithmetic, so the result
+    does not depend on the session's time zone.  Anything unusable is NULL, also under ANSI mode."""
     raw = text(c)
-    number = F.when(raw.rlike(fv.EPOCH_REGEX), raw.try_cast("double"))
+    number = raw.try_cast("double")
     seconds = F.when(F.length(raw) >= fv.EPOCH_MILLIS_MIN_LENGTH, number / F.lit(1000.0)).otherwise(number)
     # Whole seconds first (towards zero), then whole days (downwards).
     days = F.floor(seconds.try_cast("bigint") / F.lit(86400.0)).try_cast("int")
-    return F.coalesce(
-        F.try_to_date(raw, fv.ISO_DATE),
-        F.try_to_date(raw, fv.DAY_FIRST_DATE),
-        F.date_add(F.lit(date(1970, 1, 1)), days),
+    day_first = F.concat_ws("-", F.substring(raw, 7, 4), F.substring(raw, 4, 2), F.substring(raw, 1, 2))
+    return (
+        F.when(raw.rlike(fv.ISO_DATE_REGEX), raw.try_cast("date"))
+        .when(raw.rlike(fv.DAY_FIRST_REGEX), day_first.try_cast("date"))
+        .when(raw.rlike(fv.EPOCH_REGEX), F.date_add(F.lit(date(1970, 1, 1)), days))
     )
 
 
 def compose_timestamp(day: Column | str, time: Column | str) -> Column:
     """A date and an ``HH:mm:ss`` text as one timestamp; NULL if either is unusable."""
-    joined = F.concat_ws(" ", F.date_format(as_col(day), fv.ISO_DATE), text(time))
-    return F.try_to_timestamp(joined, F.lit(fv.TIMESTAMP_FORMAT))
+    clock = text(time)
+    joined = F.concat(as_col(day).cast("string"), F.lit(" "), clock)
+    return F.when(clock.rlike(fv.TIME_REGEX), joined.try_cast("timestamp"))
 
 
 def age_years(birth: Column | str, as_of: date) -> Column:

@@ -73,27 +73,45 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
 
 
 def typed_transactions(bronze: DataFrame) -> DataFrame:
-    """Every bronze transaction, typed, with the raw text the rules look at."""
-    day, time = parse_date("transaction_date"), text("transaction_time")
-    return bronze.select(
+    """Every bronze transaction, typed, with the raw text the rules look at.
+
+    Three small steps rather than one: a value with several readers is then computed once, and no
+    generated method grows past what the JVM is willing to compile."""
+    read = bronze.select(
         text("transaction_id").alias("transaction_id"),
         text("account_id").alias("account_id"),
         text("transaction_date").alias("transaction_date_raw"),
-        day.alias("transaction_date"),
-        time.alias("transaction_time"),
-        compose_timestamp(day, time).alias("transaction_timestamp"),
+        text("transaction_time").alias("transaction_time"),
         code("transaction_type").alias("transaction_type"),
         code("merchant_category").alias("merchant_category"),
         F.trim(optional(bronze, "merchant_subcategory")).alias("merchant_subcategory"),
         F.col("amount").cast("string").alias("amount_raw"),
-        money("amount").alias("amount"),
         text("currency").alias("currency_raw"),
-        currency("currency").alias("currency"),
         code("channel").alias("channel"),
         F.trim(optional(bronze, "location.province")).alias("province"),
         F.col("ingestion_timestamp").cast("timestamp").alias("ingestion_timestamp"),
         *([F.col("amount_is_text")] if "amount_is_text" in bronze.columns else []),
     )
+    dated = read.withColumn("transaction_date", parse_date("transaction_date_raw"))
+    return dated.select(
+        "transaction_id",
+        "account_id",
+        "transaction_date_raw",
+        "transaction_date",
+        "transaction_time",
+        compose_timestamp("transaction_date", "transaction_time").alias("transaction_timestamp"),
+        "transaction_type",
+        "merchant_category",
+        "merchant_subcategory",
+        "amount_raw",
+        money("amount_raw").alias("amount"),
+        "currency_raw",
+        currency("currency_raw").alias("currency"),
+        "channel",
+        "province",
+        "ingestion_timestamp",
+        *([F.col("amount_is_text")] if "amount_is_text" in bronze.columns else []),
+    )
 
 
 def judged_transactions(
@@ -143,3 +161,9 @@ def rejected_accounts(bronze: DataFrame, customers: DataFrame) -> DataFrame:
         )
     )
     return no_key.unionByName(no_owner)
+
+
+def rejected_customers(bronze: DataFrame) -> DataFrame:
+    """Customer records without a key."""
+    typed = typed_customers(bronze)
+    return typed.filter(missing("customer_id")).withColumn("reason", F.lit(fv.NULL_REQUIRED))

@@ -1,4 +1,4 @@
-"""Reading raw files and layer tables.  Every reader takes an explicit schema."""
+"""Reading raw files and layer tables.  No reader looks through the data to find a schema."""
 
 from __future__ import annotations
 
@@ -12,10 +12,13 @@ from tierwell.schemas import CORRUPT, RAW_TRANSACTIONS
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """A CSV file with a header, every column as text; an empty unquoted field is NULL.
+    """A CSV file with a header, every column as text; an empty field is NULL.
 
-    Columns are found by header name, so their order in the file does not matter."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    Names come from the header line (nothing else is read ahead), so the order of columns does not
+    matter, columns beyond ``schema`` are kept and those missing from the file are NULL."""
+    found = spark.read.option("header", True).csv(path)
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in found.columns]
+    return found.select("*", *absent)
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_TRANSACTIONS) -> DataFrame:

@@ -22,10 +22,11 @@ EVENT_ORDER = ["transaction_timestamp", "updated_at"]
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    dated = raw.withColumn("transaction_date", parse_date("transaction_date"))
+    return dated.select(
         text("account_id").alias("account_id"),
         text("transaction_id").alias("transaction_id"),
-        compose_timestamp(parse_date("transaction_date"), "transaction_time").alias("transaction_timestamp"),
+        compose_timestamp("transaction_date", "transaction_time").alias("transaction_timestamp"),
         money("amount").alias("amount"),
         code("transaction_type").alias("transaction_type"),
         code("channel").alias("channel"),
