@@ -194,7 +194,7 @@ class Roles:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_transactions(self.silver_transactions, self.dim_accounts, self.dim_customers)
+        return gold.fact_from_bronze(self.transactions, self.silver_accounts, self.dim_customers)
 
     # -- stream ------------------------------------------------------------------------------
 

@@ -2,19 +2,23 @@
 
 No join carries a broadcast hint: Spark broadcasts a side whose measured size is below its
 threshold and otherwise sorts and merges, where adaptive execution splits the shuffle partitions
-of hot keys.  None of the joins feeds an operator that needs the join's own partitioning, which is
-what would switch that splitting off."""
+of hot keys.  Transactions are joined by account once per plan: a second join on the same key would
+need the first one's partitioning, which keeps Spark from splitting it (see ``tuning`` as well)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def mark_known(df: DataFrame, column: str, known: DataFrame, known_key: str, mark: str) -> DataFrame:
+def mark_known(
+    df: DataFrame, column: str, known: DataFrame, known_key: str, mark: str, carry: Sequence[str] = ()
+) -> DataFrame:
     """Left join against a table that is unique on ``known_key``; ``mark`` holds the matched key
-    or NULL."""
-    keys = known.select(F.col(known_key).alias(mark))
+    or NULL.  ``carry`` names columns of ``known`` to bring along."""
+    keys = known.select(F.col(known_key).alias(mark), *carry)
     return df.join(keys, F.col(column) == F.col(mark), "left")
 
 

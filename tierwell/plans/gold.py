@@ -11,7 +11,9 @@ from tierwell import fixed_values as fv
 from tierwell.functions.keys import hashed_key
 from tierwell.functions.temporal import age_band
 from tierwell.functions.text import missing
-from tierwell.operators.linking import keep_known
+from tierwell.operators.linking import keep_known, mark_known
+from tierwell.operators.rules import RuleSet
+from tierwell.plans.silver import judged_transactions
 from tierwell.schemas import DIM_ACCOUNTS, DIM_CUSTOMERS, FACT_TRANSACTIONS, conform
 
 
@@ -32,29 +34,51 @@ def dim_accounts(silver: DataFrame, customers: DataFrame) -> DataFrame:
     return conform(keyed, DIM_ACCOUNTS)
 
 
-def account_owners(accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per account with both surrogate keys and the owner's province.
+_OWNER = ["_account_sk", "_customer_sk", "_province"]
 
-    Joining the two dimensions first means the fact rows are shuffled once, by account, instead of
-    once by account and again by customer."""
-    owners = customers.select(F.col("customer_id").alias("_owner"), "customer_sk", "province")
-    return accounts.join(owners, accounts["customer_id"] == F.col("_owner"), "inner").select(
-        F.col("account_id").alias("_account"), "account_sk", "customer_sk", F.col("province").alias("_province")
+
+def account_owners(accounts: DataFrame, customers: DataFrame, key: str = "customer_id") -> DataFrame:
+    """One row per account with both surrogate keys and the owner's province, NULL for no owner.
+
+    Joining accounts and customers first means the transactions are shuffled once, by account,
+    instead of once by account and again by customer."""
+    owners = customers.select(
+        F.col("customer_id").alias("_owner"), F.col("customer_sk").alias("_customer_sk"), F.col("province").alias("_province")
+    )
+    return accounts.join(owners, F.col(key) == F.col("_owner"), "left").select(
+        "account_id", hashed_key("account_id").alias("_account_sk"), "_customer_sk", "_province"
     )
 
 
 def fact_transactions(silver: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
     """Complete transactions of known accounts, with the province of the account's owner."""
-    complete = silver.dropna(subset=fv.FACT_REQUIRED).filter(~missing("transaction_id"))
     owners = account_owners(accounts, customers)
-    linked = complete.join(owners, F.col("account_id") == F.col("_account"), "inner").withColumns(
+    return _facts(mark_known(_complete(silver), "account_id", owners, "account_id", "_account", _OWNER))
+
+
+def fact_from_bronze(
+    bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str = "latest"
+) -> DataFrame:
+    """The same rows without a stored silver layer: one join finds orphans and brings the owner."""
+    owners = account_owners(silver_accounts, customers, "customer_ref")
+    return _facts(_complete(judged_transactions(bronze, owners, rules, keep, _OWNER)))
+
+
+def _complete(transactions: DataFrame) -> DataFrame:
+    return transactions.dropna(subset=fv.FACT_REQUIRED).filter(~missing("transaction_id"))
+
+
+def _facts(owned: DataFrame) -> DataFrame:
+    keyed = owned.filter(F.col("_customer_sk").isNotNull()).withColumns(
         {
             "transaction_sk": hashed_key("transaction_id"),
+            "account_sk": F.col("_account_sk"),
+            "customer_sk": F.col("_customer_sk"),
             "province": F.col("_province"),
             "currency": F.lit(fv.CURRENCY),
         }
     )
-    return conform(linked, FACT_TRANSACTIONS)
+    return conform(keyed, FACT_TRANSACTIONS)
 
 
 def rejected_transactions(silver: DataFrame, silver_accounts: DataFrame, customers: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,13 +117,18 @@ def typed_transactions(bronze: DataFrame) -> DataFrame:
 
 
 def judged_transactions(
-    bronze: DataFrame, accounts: DataFrame, rules: RuleSet | None = None, keep: str = "latest"
+    bronze: DataFrame,
+    accounts: DataFrame,
+    rules: RuleSet | None = None,
+    keep: str = "latest",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per transaction with ``dq_flag``, all ``dq_issues``, ``dq_exclusion`` and the
     number of deliveries.
 
     Rules that need only the row are decided before the shuffle and travel as one integer, so the
-    raw text does not.  Transactions without an id are all kept, each on its own."""
+    raw text does not.  Transactions without an id are all kept, each on its own.  ``carry`` names
+    columns of ``accounts`` that the one join against them brings along."""
     rules = rules or RuleSet.default()
     typed = typed_transactions(bronze)
     slim = [c for c in SILVER_TRANSACTIONS if c not in ("dq_flag", "currency")]
@@ -134,7 +141,7 @@ def judged_transactions(
         count_as="_dup_count",
         keep_keyless=True,
     ).withColumn("currency", F.lit(fv.CURRENCY))
-    linked = mark_known(single, "account_id", accounts, "account_id", "_valid_account_id")
+    linked = mark_known(single, "account_id", accounts, "account_id", "_valid_account_id", carry)
     return rules.resolve(linked, "_bits")
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# The JVM does not compile methods beyond 8000 bytes of bytecode.  Typing and judging a wide row
-# can generate a longer one; Spark then does better with many small methods than with one that is
-# interpreted forever.
-_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000")}
+_SETTINGS = {
+    # The JVM does not compile methods beyond 8000 bytes of bytecode.  Typing and judging a wide
+    # row can generate a longer one; many small methods then beat one that is interpreted forever.
+    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+    # Split a hot key's join partition even where that costs another shuffle further up.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": ("false", "true"),
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:
