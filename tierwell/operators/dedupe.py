@@ -40,35 +40,29 @@ def one_per_key(
     """Keep the latest or earliest row of every key by ``order_by``, NULLs last either way.
 
     ``count_as`` names a column for the number of rows the key had.  Rows without a key are never
-    put into one group: they are left out, or with ``keep_keyless`` all kept as they are."""
+    put into one group: they are left out, or with ``keep_keyless`` all kept as they are.  Those are
+    told apart by their place in the input, in the same pass; so with ``keep_keyless`` the input
+    must come in the same order when a task is retried, as a file scan does."""
     if keep not in ("latest", "earliest"):
         raise ValueError("keep is 'latest' or 'earliest'")
     keys = _names(keys)
     ranked = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in ranked]
     if keep == "latest":
-        row = F.struct(*ranked, *rest) if ranked + rest else None
-        pick = F.max
+        row, pick = F.struct(*ranked, *rest), F.max
     else:
         # A NULL sorts first in a struct, so an "is NULL" mark goes before each ordering column.
         marked = [m for c in ranked for m in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
-        row = F.struct(*marked, *rest) if ranked + rest else None
-        pick = F.min
-
-    sizes = [F.count(F.lit(1)).alias(count_as)] if count_as else []
-    has_no_key = keyless(df, keys)
-    grouped = df.filter(~has_no_key).groupBy(*keys)
-    if row is None:
-        kept = grouped.agg(*sizes) if sizes else df.filter(~has_no_key).select(*keys).distinct()
-        best: dict[str, Column] = {}
+        row, pick = F.struct(*marked, *rest), F.min
+
+    if keep_keyless:
+        own_place = F.when(keyless(df, keys), F.monotonically_increasing_id())
+        grouped = df.withColumn("_lone", own_place).groupBy(*keys, "_lone")
     else:
-        kept = grouped.agg(pick(row).alias("_best"), *sizes)
-        best = {c: F.col(f"_best.{c}").alias(c) for c in ranked + rest}
-    out = kept.select(*[best.get(c, F.col(c)) for c in df.columns], *([count_as] if count_as else []))
-    if not keep_keyless:
-        return out
-    lone = df.filter(has_no_key)
-    return out.unionByName(lone.withColumn(count_as, F.lit(1).cast("bigint")) if count_as else lone)
+        grouped = df.filter(~keyless(df, keys)).groupBy(*keys)
+    kept = grouped.agg(pick(row).alias("_best"), F.count(F.lit(1)).alias(count_as or "_copies"))
+    best = {c: F.col(f"_best.{c}").alias(c) for c in ranked + rest}
+    return kept.select(*[best.get(c, F.col(c)) for c in df.columns], *([count_as] if count_as else []))
 
 
 def group_sizes(df: DataFrame, keys: str | Sequence[str], name: str) -> DataFrame:

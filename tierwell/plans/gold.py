@@ -61,7 +61,7 @@ def fact_from_bronze(
 ) -> DataFrame:
     """The same rows without a stored silver layer: one join finds orphans and brings the owner."""
     owners = account_owners(silver_accounts, customers, "customer_ref")
-    return _facts(_complete(judged_transactions(bronze, owners, rules, keep, _OWNER)))
+    return _facts(_complete(judged_transactions(bronze, owners, rules, keep, _OWNER, keep_keyless=False)))
 
 
 def _complete(transactions: DataFrame) -> DataFrame:

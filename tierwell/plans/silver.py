@@ -122,12 +122,14 @@ def judged_transactions(
     rules: RuleSet | None = None,
     keep: str = "latest",
     carry: Sequence[str] = (),
+    keep_keyless: bool = True,
 ) -> DataFrame:
     """One row per transaction with ``dq_flag``, all ``dq_issues``, ``dq_exclusion`` and the
     number of deliveries.
 
     Rules that need only the row are decided before the shuffle and travel as one integer, so the
-    raw text does not.  Transactions without an id are all kept, each on its own.  ``carry`` names
+    raw text does not.  Transactions without an id are all kept, each on its own, unless the caller
+    has no use for them.  ``carry`` names
     columns of ``accounts`` that the one join against them brings along."""
     rules = rules or RuleSet.default()
     typed = typed_transactions(bronze)
@@ -139,7 +141,7 @@ def judged_transactions(
         ["ingestion_timestamp", "transaction_timestamp"],
         keep=keep,
         count_as="_dup_count",
-        keep_keyless=True,
+        keep_keyless=keep_keyless,
     ).withColumn("currency", F.lit(fv.CURRENCY))
     linked = mark_known(single, "account_id", accounts, "account_id", "_valid_account_id", carry)
     return rules.resolve(linked, "_bits")
