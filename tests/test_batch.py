@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwell import schemas
+from tierwell.operators import checks
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import batch, validation
 from tierwell.sources import readers
@@ -133,6 +134,12 @@ def test_checks_and_reports(finished):
 def test_report_document(finished, spark):
     tables, run, folder = finished
     document = batch.quality_report(tables, run, RuleSet.default(), "2026-01-01T06:00:00Z", 12)
+    found = {r["check"]: r["violations"] for r in checks.report_sound(document).collect()}
+    assert len(found) == 13 and not any(found.values()), found
+    wrong = document.withColumn("flagged_records", F.lit(99))
+    assert {r["check"] for r in checks.report_sound(wrong).collect() if r["violations"]} == {
+        "report flagged within total", "report issues add up"
+    }
     path = batch.write_report(document, str(folder / "report"))
     text = spark.read.text(path).collect()
     assert len(text) == 1

@@ -203,7 +203,8 @@ def _live(roles: Roles, **settings) -> LiveTables:
 )
 def _(spark, folder):
     roles = Roles(spark, folder)
-    return _live(roles).current_balances(roles.stream_accounts).drop("updated_at")
+    live = _live(roles, tables=["current_balances"])
+    return live.current_balances(roles.stream_accounts).drop("updated_at")
 
 
 @query(
@@ -215,4 +216,5 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return _live(Roles(spark, folder)).recent_transactions().drop("updated_at")
+    live = _live(Roles(spark, folder), tables=["recent_transactions"])
+    return live.recent_transactions().drop("updated_at")

@@ -63,6 +63,16 @@ def not_empty(df: DataFrame, name: str) -> DataFrame:
     return _unpivot(df.limit(1).agg((F.lit(1) - F.count(F.lit(1))).alias(f"{name} not empty")))
 
 
+def report_sound(document: DataFrame) -> DataFrame:
+    """What is wrong with a report document: missing parts, more flagged than delivered, issues
+    that do not add up to the flagged total."""
+    issues = F.aggregate("dq_issues", F.lit(0).cast("bigint"), lambda total, i: total + i["records_affected"])
+    tests = {f"report.{c} present": F.col(f"`{c}`").isNull() for c in document.columns}
+    tests["report flagged within total"] = F.col("flagged_records") > F.col("total_records")
+    tests["report issues add up"] = issues != F.col("flagged_records")
+    return _unpivot(document.agg(*[F.count_if(test).alias(name.replace("$", "")) for name, test in tests.items()]))
+
+
 def within_tolerance(measured: DataFrame, expected: DataFrame, key: str, value: str, tolerance: float) -> DataFrame:
     """Measured against expected values by key; a key on one side only is out of tolerance."""
     left = measured.select(key, F.col(value).cast("double").alias("measured"))

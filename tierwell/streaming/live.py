@@ -6,7 +6,7 @@ events must count."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ from tierwell.streaming.events import EVENT_KEY, as_recent, keep_recent, valid_e
 from tierwell.streaming.keyed_log import KeyedLog
 
 Clock = Callable[[], datetime]
+TABLES = ("current_balances", "recent_transactions")
 _RUNNING = T.StructType(
     [
         T.StructField("account_id", T.StringType()),
@@ -78,9 +79,10 @@ class LiveTables:
         clock: Clock = _now,
         every: str | None = None,
         glob: str = fv.STREAM_FILE_GLOB,
+        tables: Sequence[str] = TABLES,
     ) -> list[StreamingQuery]:
-        """Start both queries: over what is there now, or with ``every`` (e.g. "30 seconds") for
-        good.
+        """Start the queries for ``tables``: over what is there now, or with ``every`` (e.g.
+        "30 seconds") for good.
 
         A repeated delivery of an (account, transaction) counts once; with ``count_repeats`` each
         delivery counts.  Copies are taken to carry the same amount: the first to arrive counts."""
@@ -106,21 +108,21 @@ class LiveTables:
             return writer.trigger(**trigger).start()
 
         events = valid_events(stream_jsonl(session, folder, files_per_batch=files_per_batch, glob=glob))
-        running = self._running_totals(events, count_repeats)
-        return [
-            run(
-                "current_balances",
-                running,
+        starts = {
+            "current_balances": lambda name: run(
+                name,
+                self._running_totals(events, count_repeats),
                 "update",
                 append(self.balances, lambda b: b.withColumn("updated_at", stamp())),
             ),
-            run(
-                "recent_transactions",
+            "recent_transactions": lambda name: run(
+                name,
                 events,
                 "append",
                 append(self.recent, lambda b: keep_recent(as_recent(b, stamp()), self.limit)),
             ),
-        ]
+        }
+        return [starts[name](name) for name in tables]
 
     def drain(self, folder: str, **settings) -> None:
         """Process every file that is there, then return."""
