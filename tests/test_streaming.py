@@ -86,6 +86,21 @@ def test_every_delivery_counts_when_asked(spark, tmp_path):
     assert balances(live.current_balances(accounts(spark))) == {"A": ("90.00", "00:01")}
 
 
+def test_running_for_good(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    deliver(folder, 1, [event("1", "A", 0, 5)])
+    live = LiveTables(spark, str(tmp_path / "out"))
+    queries = live.start(str(folder), every="1 second", clock=lambda: WRITTEN, tables=["current_balances"])
+    try:
+        queries[0].processAllAvailable()
+        deliver(folder, 2, [event("2", "A", 3, 5)])
+        queries[0].processAllAvailable()
+    finally:
+        queries[0].stop()
+    assert balances(live.current_balances(accounts(spark))) == {"A": ("90.00", "00:03")}
+
+
 def test_a_repeated_batch_replaces_its_own_output(spark, tmp_path):
     live = LiveTables(spark, str(tmp_path / "out"))
     rows = spark.createDataFrame([("A", "1.00")], "account_id string, delta_sum string").select(

@@ -60,7 +60,7 @@ def _(spark, folder):
 def _(spark, folder):
     roles = Roles(spark, folder)
     accounts, customers = stored(roles.dim_accounts, "dim-accounts"), stored(roles.dim_customers, "dim-customers")
-    fact = stored(gold.fact_transactions(roles.silver_transactions, accounts, customers), "fact")
+    fact = stored(gold.fact_from_bronze(roles.transactions, roles.silver_accounts, customers), "fact")
     return (
         checks.references(fact, "account_sk", accounts, "account_sk", "fact to accounts")
         .unionAll(checks.references(fact, "customer_sk", customers, "customer_sk", "fact to customers"))

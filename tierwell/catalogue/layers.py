@@ -9,7 +9,6 @@ from tierwell.operators.dedupe import group_sizes, one_per_key
 from tierwell.operators.linking import keep_known, mark_known, orphan
 from tierwell.plans import gold, silver
 from tierwell.sources.sinks import quarantine_rows
-from tierwell.sources.shared import stored
 
 _SILVER_TXN = shown(
     "transaction_id", "account_id", "transaction_date:d", "transaction_time", "transaction_timestamp:t",
@@ -185,14 +184,11 @@ REJECTED_ACCOUNTS = """
 )
 def _(spark, folder):
     roles = Roles(spark, folder)
-    accounts = stored(roles.silver_accounts, "silver-accounts")
-    transactions = silver.silver_transactions(roles.transactions, accounts)
-    rows = quarantine_rows(
-        gold.rejected_transactions(transactions, accounts, roles.dim_customers), "transactions", "transaction_id"
-    ).unionByName(
-        quarantine_rows(
-            silver.rejected_accounts(roles.accounts, roles.dim_customers), "accounts", "account_id"
-        )
+    customers = roles.dim_customers
+    transactions = gold.rejected_from_bronze(roles.transactions, roles.silver_accounts, customers)
+    accounts = silver.rejected_accounts(roles.accounts, customers)
+    rows = quarantine_rows(transactions, "transactions", "transaction_id").unionByName(
+        quarantine_rows(accounts, "accounts", "account_id")
     )
     # The record itself is JSON; one field read back from it shows that it is whole.
     return rows.withColumn("record_account", F.get_json_object("record", "$.account_id")).drop("record")

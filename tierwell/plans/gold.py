@@ -13,7 +13,7 @@ from tierwell.functions.temporal import age_band
 from tierwell.functions.text import missing
 from tierwell.operators.linking import keep_known, mark_known
 from tierwell.operators.rules import RuleSet
-from tierwell.plans.silver import judged_transactions
+from tierwell.plans.silver import SILVER_TRANSACTIONS, judged_transactions
 from tierwell.schemas import DIM_ACCOUNTS, DIM_CUSTOMERS, FACT_TRANSACTIONS, conform
 
 
@@ -84,17 +84,26 @@ def _facts(owned: DataFrame) -> DataFrame:
 def rejected_transactions(silver: DataFrame, silver_accounts: DataFrame, customers: DataFrame) -> DataFrame:
     """Silver transactions that do not become facts, each with its reason: exactly the rows
     ``fact_transactions`` leaves out."""
-    keys = customers.select(F.col("customer_id").alias("_owner"))
-    accounts = silver_accounts.join(keys, F.col("customer_ref") == F.col("_owner"), "left").select(
-        F.col("account_id").alias("_account"), "_owner"
-    )
-    incomplete = [c for c in fv.FACT_REQUIRED if c != "transaction_id"]
+    owners = account_owners(silver_accounts, customers, "customer_ref")
+    owned = mark_known(silver, "account_id", owners, "account_id", "_account", _OWNER)
+    return _rejected(owned, "_account", silver.columns)
+
+
+def rejected_from_bronze(
+    bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str = "latest"
+) -> DataFrame:
+    """The same rows without a stored silver layer, again with a single join by account."""
+    owners = account_owners(silver_accounts, customers, "customer_ref")
+    owned = judged_transactions(bronze, owners, rules, keep, _OWNER)
+    return _rejected(owned, "_valid_account_id", SILVER_TRANSACTIONS)
+
+
+def _rejected(owned: DataFrame, mark: str, columns: list[str]) -> DataFrame:
     reason = (
         F.when(missing("transaction_id"), F.lit(fv.NULL_REQUIRED))
-        .when(F.col("_account").isNull(), F.lit(fv.ORPHANED_ACCOUNT))
-        .when(F.col("_owner").isNull(), F.lit("UNKNOWN_CUSTOMER"))
+        .when(F.col(mark).isNull(), F.lit(fv.ORPHANED_ACCOUNT))
+        .when(F.col("_customer_sk").isNull(), F.lit("UNKNOWN_CUSTOMER"))
     )
-    for name in incomplete:
+    for name in fv.FACT_REQUIRED:
         reason = reason.when(F.col(name).isNull(), F.lit(f"MISSING_{name.upper()}"))
-    linked = silver.join(accounts, F.col("account_id") == F.col("_account"), "left")
-    return linked.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_account", "_owner")
+    return owned.select(*columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
