@@ -176,6 +176,19 @@ def test_plans_stay_in_the_jvm(finished):
         assert "Python" not in text and "Arrow" not in text
 
 
+def test_scans_read_only_what_is_used(finished):
+    from tierwell.plans.silver import silver_transactions, typed_transactions
+
+    tables, _, _ = finished
+    bronze, accounts = tables["bronze/transactions"], tables["silver/accounts"]
+    text = typed_transactions(bronze)._jdf.queryExecution().executedPlan().toString()
+    assert "location:struct<province:string>" in text and "device_id" not in text
+    text = silver_transactions(bronze, accounts)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<account_id:string>" in text
+    text = validation.volume_by_type(tables["gold/fact_transactions"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<transaction_type:string,amount:decimal(18,2)>" in text
+
+
 def test_typing_and_judging_compiles(spark, finished):
     """The generated code of the widest projection stays below what the JVM compiles."""
     import contextlib

@@ -10,7 +10,7 @@ from tierwell.catalogue.sql import shown, sql
 from tierwell.functions.temporal import latency_seconds, sla_class
 from tierwell.schemas import CURRENT_BALANCES
 from tierwell.sources.readers import empty
-from tierwell.sources.shared import fresh_path
+from tierwell.sources.shared import fresh_path, stored
 from tierwell.streaming import events as ev
 from tierwell.streaming.live import LiveTables
 
@@ -72,11 +72,11 @@ def _balances_sql(events: str) -> str:
 
 def _balances(roles: Roles, count_repeats: bool):
     start = empty(roles.spark, CURRENT_BALANCES)
-    state = ev.upsert_balances(
+    first = ev.upsert_balances(
         start, roles.earlier_events, roles.stream_accounts, _stamp(FIRST_WRITE), count_repeats
     )
     return ev.upsert_balances(
-        state, roles.later_events, roles.stream_accounts, _stamp(SECOND_WRITE), count_repeats
+        stored(first, "balances"), roles.later_events, roles.stream_accounts, _stamp(SECOND_WRITE), count_repeats
     )
 
 
@@ -109,10 +109,10 @@ def _(spark, folder):
 def _(spark, folder):
     """The later half arrives first.  Late events still count; the last event time never falls."""
     roles = Roles(spark, folder)
-    state = ev.upsert_balances(
+    first = ev.upsert_balances(
         empty(spark, CURRENT_BALANCES), roles.later_events, roles.stream_accounts, _stamp(FIRST_WRITE)
     )
-    return ev.upsert_balances(state, roles.earlier_events, roles.stream_accounts, _stamp(SECOND_WRITE))
+    return ev.upsert_balances(stored(first, "balances"), roles.earlier_events, roles.stream_accounts, _stamp(SECOND_WRITE))
 
 
 _NEWEST = f"""SELECT *, CASE WHEN transaction_timestamp >= TIMESTAMP '{HALFWAY}'
