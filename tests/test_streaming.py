@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierwell import schemas
 from tierwell.sources.readers import empty, read_jsonl
 from tierwell.streaming import events as ev
+from tierwell.streaming.keyed_log import KeyedLog
 from tierwell.streaming.live import LiveTables
 
 WRITTEN = datetime(2026, 3, 21, tzinfo=timezone.utc)
@@ -101,6 +102,30 @@ def test_running_for_good(spark, tmp_path):
     assert balances(live.current_balances(accounts(spark))) == {"A": ("90.00", "00:03")}
 
 
+def test_a_crash_between_write_and_commit_counts_nothing_twice(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    deliver(folder, 1, [event("1", "A", 0, 5)])
+    live = LiveTables(spark, str(tmp_path / "out"))
+    live.drain(str(folder), clock=lambda: WRITTEN)
+    deliver(folder, 2, [event("1", "A", 7, 5), event("2", "A", 3, 10)])
+    publish = KeyedLog._publish
+
+    def crash(self, kind, number):
+        publish(self, kind, number)
+        raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(KeyedLog, "_publish", crash)
+    with pytest.raises(Exception, match="lost after the write"):
+        live.drain(str(folder), clock=lambda: WRITTEN, tables=["current_balances"])
+    with pytest.raises(Exception, match="lost after the write"):
+        live.drain(str(folder), clock=lambda: WRITTEN, tables=["recent_transactions"])
+    monkeypatch.setattr(KeyedLog, "_publish", publish)
+    live.drain(str(folder), clock=lambda: WRITTEN)
+    assert balances(live.current_balances(accounts(spark))) == {"A": ("85.00", "00:07")}
+    assert live.recent_transactions().count() == 2
+
+
 def test_a_repeated_batch_replaces_its_own_output(spark, tmp_path):
     live = LiveTables(spark, str(tmp_path / "out"))
     rows = spark.createDataFrame([("A", "1.00")], "account_id string, delta_sum string").select(
@@ -113,9 +138,10 @@ def test_a_repeated_batch_replaces_its_own_output(spark, tmp_path):
     live.balances.append(rows, 0)
     live.balances.compact()
     live.balances.append(rows.withColumn("delta_sum", F.lit("2.00").cast("decimal(18,2)")), 1)
+    live.balances.append(rows.withColumn("delta_sum", F.lit("2.00").cast("decimal(18,2)")), 1)
     # A folder that was written but never published does not count.
     rows.withColumn("batch", F.lit(7).cast("bigint")).write.parquet(str(tmp_path / "out/current_balances/log/id=7"))
-    assert balances(live.current_balances(accounts(spark))) == {"A": ("102.00", "00:00")}
+    assert balances(live.current_balances(accounts(spark))) == {"A": ("103.00", "00:00")}
 
 
 @pytest.fixture(scope="module")

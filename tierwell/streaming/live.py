@@ -15,16 +15,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tierwell import fixed_values as fv
-from tierwell.functions.money import balance, zero
-from tierwell.operators.dedupe import one_per_key
+from tierwell.functions.money import balance, signed, zero
 from tierwell.schemas import CURRENT_BALANCES, RECENT_TRANSACTIONS, conform
 from tierwell.sources.readers import stream_jsonl
-from tierwell.streaming.events import EVENT_KEY, as_recent, keep_recent, valid_events
+from tierwell.streaming.events import EVENT_KEY, as_recent, impact, keep_recent, valid_events
 from tierwell.streaming.keyed_log import KeyedLog
 
 Clock = Callable[[], datetime]
 TABLES = ("current_balances", "recent_transactions")
-_RUNNING = T.StructType(
+_CHANGE = T.StructType(
     [
         T.StructField("account_id", T.StringType()),
         T.StructField("delta_sum", T.DecimalType(18, 2)),
@@ -34,6 +33,42 @@ _RUNNING = T.StructType(
 )
 
 
+def _added_up(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("account_id").agg(
+        F.sum("delta_sum").cast(fv.MONEY).alias("delta_sum"),
+        F.max("last_transaction_timestamp").alias("last_transaction_timestamp"),
+        F.max("updated_at").alias("updated_at"),
+        F.max("batch").alias("batch"),
+    )
+
+
+def _deliveries(events: DataFrame) -> DataFrame:
+    """Per (account, transaction), over the whole stream: the newest delivery, and the times of the
+    first and the last micro-batch that brought one.
+
+    Kept in Spark's state store.  Deliveries are combined per task before they are shuffled, so
+    neither a busy account nor an endlessly repeated transaction loads one task."""
+    newest = F.max(F.struct("transaction_timestamp", "amount", "transaction_type"))
+    return (
+        # The time of the micro-batch, the same for all its rows and on a retry.
+        events.withColumn("_batch_time", F.current_timestamp())
+        .groupBy(*EVENT_KEY)
+        .agg(newest.alias("newest"), F.min("_batch_time").alias("first_seen"), F.max("_batch_time").alias("last_seen"))
+    )
+
+
+def _change(touched: DataFrame) -> DataFrame:
+    """What one micro-batch does to the accounts: effects of transactions seen for the first time,
+    and the last event time over all.  A repeat moves the clock but not the balance."""
+    effect = signed("newest.amount", "newest.transaction_type")
+    new = F.col("first_seen") == F.col("last_seen")
+    return touched.select(
+        "account_id",
+        F.when(new, effect).otherwise(zero()).alias("signed_amount"),
+        F.col("newest.transaction_timestamp").alias("transaction_timestamp"),
+    )
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -43,10 +78,8 @@ class LiveTables:
 
     def __init__(self, spark: SparkSession, root: str, limit: int = fv.RECENT_LIMIT):
         self.spark, self.root, self.limit = spark, root.rstrip("/"), limit
-        # A log row holds an account's running total, so the newest batch's row is the total.
-        self.balances = KeyedLog(
-            spark, f"{self.root}/current_balances", _RUNNING, lambda rows: one_per_key(rows, "account_id", ["batch"])
-        )
+        # A log row holds what one batch changed, so the rows of an account add up.
+        self.balances = KeyedLog(spark, f"{self.root}/current_balances", _CHANGE, _added_up)
         # Cutting each batch to its own newest rows loses nothing: whatever is beyond the limit
         # in one batch is beyond it in any union that contains the batch.
         self.recent = KeyedLog(
@@ -85,7 +118,8 @@ class LiveTables:
         "30 seconds") for good.
 
         A repeated delivery of an (account, transaction) counts once; with ``count_repeats`` each
-        delivery counts.  Copies are taken to carry the same amount: the first to arrive counts."""
+        delivery counts.  Copies are taken to carry the same amount: what counts is the newest of those
+        in the first micro-batch that brings one."""
         session = self._session()
 
         def append(log: KeyedLog, prepare: Callable[[DataFrame], DataFrame]):
@@ -111,9 +145,12 @@ class LiveTables:
         starts = {
             "current_balances": lambda name: run(
                 name,
-                self._running_totals(events, count_repeats),
-                "update",
-                append(self.balances, lambda b: b.withColumn("updated_at", stamp())),
+                events if count_repeats else _deliveries(events),
+                "append" if count_repeats else "update",
+                append(
+                    self.balances,
+                    lambda b: impact(b if count_repeats else _change(b)).withColumn("updated_at", stamp()),
+                ),
             ),
             "recent_transactions": lambda name: run(
                 name,
@@ -133,23 +170,6 @@ class LiveTables:
         self.balances.compact()
         self.recent.compact()
 
-    @staticmethod
-    def _running_totals(events: DataFrame, count_repeats: bool) -> DataFrame:
-        """Sum of effects and last event time per account, from the first file on.
-
-        Effects come from the first delivery of each transaction, the last event time from every
-        delivery: a repeat moves the clock but not the balance."""
-        if not count_repeats:
-            effects = events.dropDuplicates(EVENT_KEY).select(
-                "account_id", "signed_amount", F.lit(None).cast("timestamp").alias("transaction_timestamp")
-            )
-            times = events.select("account_id", zero().alias("signed_amount"), "transaction_timestamp")
-            events = effects.unionByName(times)
-        return events.groupBy("account_id").agg(
-            F.sum("signed_amount").cast(fv.MONEY).alias("delta_sum"),
-            F.max("transaction_timestamp").alias("last_transaction_timestamp"),
-        )
-
     def _session(self) -> SparkSession:
         """A sibling session whose state store keeps keys on disk, so state may exceed memory."""
         session = self.spark.newSession()
