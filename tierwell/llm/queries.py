@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwell.llm import bpe
 from tierwell.llm.language import identify
 from tierwell.llm.licenses import scan_licenses
+from tierwell.llm.simhash import near_duplicates
 from tierwell.llm.toxicity import score_toxicity
 from tierwell.llm.urls import judge
 
@@ -18,6 +20,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, folder, "documents"))))
+
+
 def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "pages"))
 
@@ -35,6 +45,8 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_simhash_dedup": simhash_dedup,
+    "op3_byte_bpe": byte_bpe,
     "op4_url_filter": url_filter,
     "op5_license_scan": license_scan,
     "op8_language_id": language_id,
