@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwell.llm import bpe
+from tierwell.llm.embeddings import near_vectors
 from tierwell.llm.language import identify
 from tierwell.llm.licenses import scan_licenses
 from tierwell.llm.simhash import near_duplicates
+from tierwell.llm.topk import top_products
 from tierwell.llm.toxicity import score_toxicity
 from tierwell.llm.urls import judge
 
@@ -24,6 +26,10 @@ def simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(table(spark, folder, "documents"))))
 
@@ -36,6 +42,10 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents")).drop("detections")
 
 
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products(table(spark, folder, "embeddings"))
+
+
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
@@ -46,12 +56,26 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op1_simhash_dedup": simhash_dedup,
+    "op2_embedding_dedup": embedding_dedup,
     "op3_byte_bpe": byte_bpe,
     "op4_url_filter": url_filter,
     "op5_license_scan": license_scan,
+    "op7_exact_top_k": exact_top_k,
     "op8_language_id": language_id,
     "op10_toxicity": toxicity,
 }
 
 #: SQL for those queries it can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_exact_top_k": """
+        WITH v AS (
+          SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS w FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+        r AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
