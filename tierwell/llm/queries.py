@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwell.llm import bpe
+from tierwell.llm import bpe, packing, substrings
 from tierwell.llm.embeddings import near_vectors
 from tierwell.llm.language import identify
 from tierwell.llm.licenses import scan_licenses
@@ -42,6 +42,10 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents")).drop("detections")
 
 
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(table(spark, folder, "documents")))
+
+
 def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_products(table(spark, folder, "embeddings"))
 
@@ -50,6 +54,10 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
 
+def pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, folder, "documents")))
+
+
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -60,8 +68,10 @@ QUERIES: dict[str, Run] = {
     "op3_byte_bpe": byte_bpe,
     "op4_url_filter": url_filter,
     "op5_license_scan": license_scan,
+    "op6_suffix_array_dedup": substring_dedup,
     "op7_exact_top_k": exact_top_k,
     "op8_language_id": language_id,
+    "op9_packing": pack_sequences,
     "op10_toxicity": toxicity,
 }
 
