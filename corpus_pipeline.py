@@ -9,7 +9,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwell.llm import packing
 from tierwell.llm.language import keep_known_language
+from tierwell.llm.simhash import keep_one_each
+from tierwell.llm.substrings import drop_repeats
 from tierwell.llm.toxicity import keep_harmless
 from tierwell.sources.shared import stored
 
@@ -26,9 +29,27 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_harmless(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id."""
+    return keep_one_each(docs)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that occur more than once."""
+    return drop_repeats(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences."""
+    return packing.digest(packing.pack(docs))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language", language_stage),
     ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("substrings", substring_stage),
+    ("packing", packing_stage),
 ]
 
 #: Models are trained in two stages, which SQL cannot express; tests hold each stage against brute force.

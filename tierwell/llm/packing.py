@@ -137,11 +137,11 @@ def combinations(units: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
     return out
 
 
-def non_negative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 2000) -> np.ndarray:
+def non_negative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """x >= 0 with the least |a x - b|, by adding one column at a time and dropping those that turn negative."""
     x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], dtype=bool)
     limit = 1e-9 * max(1.0, np.abs(a.T @ b).max(initial=0.0))
-    for _ in range(rounds):
+    for _ in range(3 * len(b)):  # rounding down makes good use of any solution
         slope = a.T @ (b - a @ x)
         slope[active] = -np.inf
         if not len(slope) or slope.max() <= limit:
