@@ -25,7 +25,7 @@ from tierwell.llm.common import BLOCK, text_slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Slices a process remembers; then it starts anew.
-CACHED = 300_000
+CACHED = 200_000
 #: Longer slices are merged one by one with a heap.
 LONG = 200
 
@@ -151,20 +151,31 @@ def long_slices(text: str, block: int = BLOCK) -> Iterator[list[str]]:
         yield found
 
 
+def _ranks(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line)}
+
+
+class Tokens:
+    """The bytes of all ids, joined, with the start and size of each."""
+
+    def __init__(self, rank: dict[bytes, int]):
+        tokens = [b""] * (max(rank.values()) + 1)
+        for token, number in rank.items():
+            tokens[number] = token
+        self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
+        self.joined = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+
 class Vocabulary:
     def __init__(self, lines: bytes):
-        self.rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line)}
-        self.tokens: list[bytes] = [b""] * (max(self.rank.values()) + 1)
-        for token, rank in self.rank.items():
-            self.tokens[rank] = token
+        self.rank = _ranks(lines)
         self.single = np.array([self.rank[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = sorted(
             (self.rank[t[:k]] << 32 | self.rank[t[k:]], r) for t, r in self.rank.items() for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank
         )
         self._table(np.array([k for k, _ in pairs], dtype=np.int64), np.array([r for _, r in pairs], dtype=np.int32))
-        self.sizes = np.array([len(t) for t in self.tokens], dtype=np.int64)
-        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
-        self.joined = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
+        self.sizes = Tokens(self.rank).sizes
 
     NONE = (1 << 31) - 1
     _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -340,6 +351,7 @@ class Encoder:
 
 
 _ENCODERS: dict[bytes, Encoder] = {}
+_TOKENS: dict[bytes, Tokens] = {}
 
 
 def _encoder(lines: bytes) -> Encoder:
@@ -350,6 +362,13 @@ def _encoder(lines: bytes) -> Encoder:
     return _ENCODERS[lines]
 
 
+def _tokens(lines: bytes) -> Tokens:
+    if lines not in _TOKENS:
+        _TOKENS.clear()
+        _TOKENS[lines] = Tokens(_ranks(lines))
+    return _TOKENS[lines]
+
+
 def encode_texts(encoder: Encoder, texts: list[str]) -> list[np.ndarray]:
     """The ids of each text."""
     if sum(map(len, texts)) > 2 * BLOCK:  # a slice of rows beyond the limit is one long text
@@ -396,7 +415,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _encoder(shared.value).vocabulary
+        known = _tokens(shared.value)
         for batch in batches:
             out = []
             for ids, places in zip(batch.column("ids"), batch.column("offsets"), strict=True):

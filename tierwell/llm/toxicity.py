@@ -22,9 +22,9 @@ ORDERS = (3, 4, 5, 6)
 PER_CLASS = 4000
 MAX_FEATURES = 8192
 LEAST_DOCS = 3
-LEAST_SHARE = 0.02
-LEAST_Z = 5.0
-PENALTY = 0.01
+LEAST_SHARE = 0.01
+LEAST_Z = 4.5
+PENALTY = 0.0001
 THRESHOLD = 0.7
 
 
