@@ -99,12 +99,12 @@ FORMS = (
 TEXTS = (
     ("mit", "permission is hereby", r"permission is hereby granted free of charge to any person obtaining a copy", 95, 1.0),
     ("isc", "permission to use", r"permission to use copy modify and or distribute this software for any purpose", 95, 1.0),
-    ("apache-2.0", "apache", r"apache license version 2 0(?: january 2004)?", 85, 0.95),
+    ("apache-2.0", "apache", r"apache license(?: version)? v?2 0(?: january 2004)?", 65, 0.95),
     ("apache-2.0", "unless required", r"unless required by applicable law or agreed to in writing software distributed under the license", 95, 1.0),
     ("gpl-2.0", "general public", r"free software foundation either version 2 of the license", 95, 1.0),
     ("gpl-3.0", "general public", r"free software foundation either version 3 of the license", 95, 1.0),
-    ("gpl-3.0", "general public", r"gnu general public license version 3(?: 29 june 2007)?", 85, 0.95),
-    ("gpl-2.0", "general public", r"gnu general public license version 2(?: june 1991)?", 85, 0.95),
+    ("gpl-3.0", "general public", r"gnu general public license(?: version)? v?3(?: 0)?(?: 29 june 2007)?", 65, 0.95),
+    ("gpl-2.0", "general public", r"gnu general public license(?: version)? v?2(?: 0)?(?: june 1991)?", 65, 0.95),
     ("lgpl", "lesser general", r"(?:gnu )?lesser general public license", 40, 0.6),
     ("agpl", "affero general", r"(?:gnu )?affero general public license", 40, 0.6),
     ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted", 95, 1.0),

@@ -274,11 +274,13 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gr
     parsed = stored(texts.where(F.octet_length("text") >= length).mapInArrow(_parse(length, gram), _PARSED), "phrases")
     place = ["doc", "print", "first", "last"]
     once = parsed.where(~F.col("known")).drop("known")
-    triggers = (
+    # Written, so that the join below deals out both of its sides itself and can split a hot trigger.
+    triggers = stored(
         once.groupBy("key")
         .agg(F.sum("weight").alias("total"), F.min("phrase").alias("low"), F.max("phrase").alias("high"))
         .where(F.col("total") > 1)
-        .select("key", (F.col("low") != F.col("high")).alias("mixed"))
+        .select("key", (F.col("low") != F.col("high")).alias("mixed")),
+        "triggers",
     )
     shared = stored(once.join(triggers, "key"), "shared-triggers")
     mixed = shared.where("mixed")
