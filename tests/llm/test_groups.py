@@ -268,6 +268,17 @@ def test_packing_odd_rows(spark):
     assert packing.pack(no_documents(spark)).collect() == []
 
 
+def test_chunks_equal_the_whole_text():
+    with open(packing.VOCABULARY, encoding="utf-8") as file:
+        encoder = packing.ChunkEncoder(file.read(), cached=40)
+    rng = random.Random(8)
+    parts = ["the", "The", "it's", "'s", "'", ".", '."', "»", "a\u0301", "\u0301", "É", "İ", "Σ", "ς", "ß", "12", "٣", "-", " ", "  ", "\n", "\x1c", "\x85", "\u2028", "\u3000", "\u200b", "日", "😀", "ŉ", "ǅ", "=\u0338", "K", "<|endoftext|>"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        want = encoder.whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder([text])[0], dtype=encoder.dtype).tolist() == want, repr(text)
+
+
 def test_least_squares_and_plan():
     rng = np.random.default_rng(0)
     a = rng.random((6, 9))

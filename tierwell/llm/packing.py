@@ -14,8 +14,10 @@ the greedy stream are running sums within each input partition plus offsets of w
 from __future__ import annotations
 
 import re
+import sys
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,42 +35,95 @@ WINDOW = 2048
 STEP = 16
 DEPTH = 3
 END = 1
+#: Bytes of text tokenised at once: the more, the more often a chunk is met again.
+SLICE = 1 << 21
 #: Chunks between white space a process remembers, and the longest of them.
-CACHED = 300_000
+CACHED = 500_000
 LONGEST = 64
 
 
 class ChunkEncoder:
     """Ids of texts by the tokenizer, which drops white space and joins nothing across it, so that
-    each distinct chunk between white space is encoded once."""
+    each distinct chunk between white space is encoded once.
+
+    Nor does it join letters to anything that follows them, and of Latin-1 text it only lowers the case.
+    Such texts are lowered as a whole; chunks of plain characters without an apostrophe are put together
+    from their runs of letters and the rest.  Words skip normalising and splitting, which change nothing.
+    What has been encoded is remembered in two generations, so that frequent chunks stay when the older
+    one is given up."""
 
     _SPACE = re.compile(r"[ \t-\r]+")
+    #: In Python's white space but not in the tokenizer's.
+    _ODD = re.compile("[\x1c-\x1f]")
+    _WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+    _PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+    _RUNS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
     def __init__(self, vocabulary: str, cached: int = CACHED):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.cached, self.known = cached, {"": b""}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.letters = Tokenizer.from_str(vocabulary), Tokenizer.from_str(vocabulary)
+        self.whole.encode_special_tokens = self.letters.encode_special_tokens = True
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.dtype = "<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4"
+        self.cached = cached
+        self.chunks: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.runs: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+
+    def _encoded(self, tokenizer, texts: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        kind = "H" if self.dtype == "<u2" else "I"
+        for at in range(0, len(texts), 4096):
+            own = texts[at : at + 4096]
+            for text, found in zip(own, tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
+                ids = array(kind, found.ids)
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                out[text] = ids.tobytes()
+        return out
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _recalled(self, memory: str, asked: set[str], learn: Callable[[list[str]], dict[str, bytes]]) -> dict[str, bytes]:
+        """The ids of all asked for, from the memory or learned now."""
+        young, old = getattr(self, memory)
+        names = list(asked)
+        local = dict(zip(names, map(young.get, names), strict=True))
+        missing = [c for c, v in local.items() if v is None]
+        again = {c: v for c in missing if (v := old.get(c)) is not None}
+        fresh = again | learn([c for c in missing if c not in again])
+        local |= fresh
+        if len(young) + len(fresh) > self.cached // 2:
+            young, old = {}, young
+        young.update((c, v) for c, v in fresh.items() if len(c) <= LONGEST)
+        setattr(self, memory, (young, old))
+        return local
+
+    def _learn_runs(self, runs: list[str]) -> dict[str, bytes]:
+        letters = [r for r in runs if r.isalpha()]
+        return self._encoded(self.letters, letters) | self._encoded(self.whole, [r for r in runs if not r.isalpha()])
+
+    def _learn_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        words = [c for c in chunks if self._WORD.fullmatch(c)]
+        found = self._encoded(self.letters, words)
+        parts = {c: self._RUNS.findall(low) for c in chunks if c not in found and len(c) <= LONGEST and self._PLAIN.fullmatch(low := c.lower())}
+        runs = self._recalled("runs", set().union(*parts.values()), self._learn_runs)
+        found |= {c: b"".join([runs[r] for r in p]) for c, p in parts.items()}
+        return found | self._encoded(self.whole, [c for c in chunks if c not in found])
+
+    def _chunks(self, text: str) -> list[str]:
+        # An empty chunk, beside white space at an end, has no ids.
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            text = text.lower()
+        return self._SPACE.split(text) if self._ODD.search(text) else text.split()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [self._SPACE.split(t) for t in texts]
-        new = list({c for p in parts for c in p if c not in self.known})
-        if len(self.known) + len(new) > self.cached:
-            self.known = {"": b""}
-            new = list({c for p in parts for c in p if c})
-        for at in range(0, len(new), 4096):
-            own = new[at : at + 4096]
-            self.known.update(zip(own, self._encoded(own), strict=True))
-        out = [b"".join(map(self.known.__getitem__, p)) for p in parts]
-        for c in new:
-            if len(c) > LONGEST:
-                del self.known[c]
-        return out
+        parts = [self._chunks(t) for t in texts]
+        ids = self._recalled("chunks", set().union(*parts), self._learn_chunks)
+        return [b"".join(map(ids.__getitem__, p)) for p in parts]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -91,7 +146,7 @@ def _tokenise(shared, window: int, step: int):
         part, at, full = TaskContext.get().partitionId(), 0, 0
         in_bin = np.zeros(window // step + 1, dtype=np.int64)
         for batch in batches:
-            for start, texts in text_slices(batch.column("text")):
+            for start, texts in text_slices(batch.column("text"), SLICE):
                 ids = [i + end for i in encoder(texts)]
                 width = np.dtype(encoder.dtype).itemsize
                 n = np.array([len(i) // width for i in ids], dtype=np.int64)
