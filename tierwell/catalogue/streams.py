@@ -54,65 +54,59 @@ def _(spark, folder):
     return ev.impact(Roles(spark, folder).events)
 
 
-_ONCE = """SELECT *, transaction_timestamp >= TIMESTAMP '{half}' AS later FROM stream_events
-    QUALIFY row_number() OVER (PARTITION BY account_id, transaction_id, later
-        ORDER BY transaction_timestamp DESC, amount DESC, transaction_type DESC, channel DESC NULLS LAST) = 1""".format(
-    half=HALFWAY
-)
+#: Of the earlier half every transaction whose number ends in 0 comes again with the later half.
+_AGAIN = "transaction_id LIKE '%0'"
+_LATER = f"transaction_timestamp >= TIMESTAMP '{HALFWAY}'"
+_ONCE = f"""SELECT account_id, any_value(signed_amount) AS signed_amount, max(transaction_timestamp) AS last_at,
+        bool_or({_LATER} OR {_AGAIN}) AS second, bool_or(NOT {_LATER} OR {_AGAIN}) AS second_if_later_first
+    FROM stream_events GROUP BY account_id, transaction_id"""
+_EACH = f"SELECT account_id, signed_amount, transaction_timestamp AS last_at, {_LATER} AS second FROM stream_events"
 
 
-def _balances_sql(events: str) -> str:
+def _balances_sql(events: str, second: str = "second") -> str:
     return f"""SELECT {_BALANCE} FROM (
         SELECT e.account_id AS account_id, coalesce(any_value(a.current_balance), 0) + sum(signed_amount) AS current_balance,
-            max(transaction_timestamp) AS last_transaction_timestamp,
-            CASE WHEN bool_or(transaction_timestamp >= TIMESTAMP '{HALFWAY}')
-                THEN '{SECOND_WRITE}' ELSE '{FIRST_WRITE}' END AS updated_at
+            max(last_at) AS last_transaction_timestamp,
+            CASE WHEN bool_or({second}) THEN '{SECOND_WRITE}' ELSE '{FIRST_WRITE}' END AS updated_at
         FROM ({events}) e LEFT JOIN stream_accounts a ON e.account_id = a.account_id GROUP BY e.account_id)"""
 
 
-def _balances(roles: Roles, count_repeats: bool):
+def _in_two_steps(roles: Roles, first, second, **settings):
     start = empty(roles.spark, CURRENT_BALANCES)
-    first = ev.upsert_balances(
-        start, roles.earlier_events, roles.stream_accounts, _stamp(FIRST_WRITE), count_repeats
-    )
+    state = ev.upsert_balances(start, first, roles.stream_accounts, _stamp(FIRST_WRITE), **settings)
+    seen = None if settings.get("count_repeats") else first.select(*ev.EVENT_KEY)
     return ev.upsert_balances(
-        stored(first, "balances"), roles.later_events, roles.stream_accounts, _stamp(SECOND_WRITE), count_repeats
+        stored(state, "balances"), second, roles.stream_accounts, _stamp(SECOND_WRITE), seen=seen, **settings
     )
 
 
 @query("balance_upsert", sql(_balances_sql(_ONCE), "stream_events", "stream_accounts"))
 def _(spark, folder):
-    return _balances(Roles(spark, folder), count_repeats=False)
+    """Some of the first half is delivered again with the second, and still counts once."""
+    roles = Roles(spark, folder)
+    again = roles.earlier_events.filter(F.col("transaction_id").endswith("0"))
+    return _in_two_steps(roles, roles.earlier_events, roles.later_events.unionByName(again))
 
 
 @query(
     "balance_upsert_every_delivery",
-    sql(_balances_sql("SELECT * FROM stream_events"), "stream_events", "stream_accounts"),
+    sql(_balances_sql(_EACH), "stream_events", "stream_accounts"),
 )
 def _(spark, folder):
-    return _balances(Roles(spark, folder), count_repeats=True)
+    roles = Roles(spark, folder)
+    return _in_two_steps(roles, roles.earlier_events, roles.later_events, count_repeats=True)
 
 
 @query(
     "late_event_semantics",
-    sql(
-        f"""SELECT {_BALANCE} FROM (
-        SELECT e.account_id AS account_id, coalesce(any_value(a.current_balance), 0) + sum(signed_amount) AS current_balance,
-            max(transaction_timestamp) AS last_transaction_timestamp,
-            CASE WHEN bool_or(transaction_timestamp < TIMESTAMP '{HALFWAY}')
-                THEN '{SECOND_WRITE}' ELSE '{FIRST_WRITE}' END AS updated_at
-        FROM ({_ONCE}) e LEFT JOIN stream_accounts a ON e.account_id = a.account_id GROUP BY e.account_id)""",
-        "stream_events",
-        "stream_accounts",
-    ),
+    sql(_balances_sql(_ONCE, "second_if_later_first"), "stream_events", "stream_accounts"),
 )
 def _(spark, folder):
-    """The later half arrives first.  Late events still count; the last event time never falls."""
+    """The later half arrives first, with some of the earlier; late events still count, repeats count
+    once, and the last event time never falls."""
     roles = Roles(spark, folder)
-    first = ev.upsert_balances(
-        empty(spark, CURRENT_BALANCES), roles.later_events, roles.stream_accounts, _stamp(FIRST_WRITE)
-    )
-    return ev.upsert_balances(stored(first, "balances"), roles.earlier_events, roles.stream_accounts, _stamp(SECOND_WRITE))
+    again = roles.later_events.filter(F.col("transaction_id").endswith("0"))
+    return _in_two_steps(roles, roles.later_events, roles.earlier_events.unionByName(again))
 
 
 _NEWEST = f"""SELECT *, CASE WHEN transaction_timestamp >= TIMESTAMP '{HALFWAY}'
@@ -153,16 +147,18 @@ def _(spark, folder):
 @query(
     "sla_latency_class",
     sql(
-        """SELECT transaction_id, latency, CASE WHEN latency <= 300 THEN 'full' WHEN latency <= 600 THEN 'partial'
-            ELSE 'none' END AS sla
-        FROM (SELECT transaction_id, CAST(floor(amount) AS BIGINT) * 3 AS latency FROM stream_events)""",
+        """SELECT transaction_id, CAST(micros // 1000000 AS BIGINT) AS latency,
+            CASE WHEN micros <= 300000000 THEN 'full' WHEN micros <= 600000000 THEN 'partial' ELSE 'none' END AS sla
+        FROM (SELECT transaction_id, CAST(floor(amount) AS BIGINT) * 3000000
+            + CASE WHEN CAST(floor(amount) AS BIGINT) % 2 = 0 THEN 900000 ELSE 0 END AS micros FROM stream_events)""",
         "stream_events",
     ),
 )
 def _(spark, folder):
-    """A write delay that depends on the amount: three seconds per unit."""
-    delay = F.floor("amount") * 3
-    written = F.timestamp_add("SECOND", delay.cast("int"), F.col("transaction_timestamp"))
+    """A write delay that depends on the amount: three seconds per unit, and a fraction for even ones."""
+    whole = F.floor("amount").cast("bigint")
+    micros = whole * 3_000_000 + F.when(whole % 2 == 0, 900_000).otherwise(0)
+    written = F.timestamp_micros(F.unix_micros("transaction_timestamp") + micros)
     rows = Roles(spark, folder).events.withColumn("_written", written)
     return rows.select(
         "transaction_id",

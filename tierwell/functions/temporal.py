@@ -52,15 +52,16 @@ def age_band(birth: Column | str, as_of: date) -> Column:
 
 
 def sla_class(event_time: Column | str, written_at: Column | str) -> Column:
-    """``full`` / ``partial`` / ``none`` by the seconds between an event and its write."""
-    delay = latency_seconds(event_time, written_at)
+    """``full`` / ``partial`` / ``none`` by the time between an event and its write, to the microsecond."""
+    delay = F.timestamp_diff("MICROSECOND", as_col(event_time), as_col(written_at))
     return (
         F.when(delay.isNull(), None)
-        .when(delay <= fv.SLA_FULL_SECONDS, "full")
-        .when(delay <= fv.SLA_PARTIAL_SECONDS, "partial")
+        .when(delay <= fv.SLA_FULL_SECONDS * 1_000_000, "full")
+        .when(delay <= fv.SLA_PARTIAL_SECONDS * 1_000_000, "partial")
         .otherwise("none")
     )
 
 
 def latency_seconds(event_time: Column | str, written_at: Column | str) -> Column:
+    """Whole seconds between an event and its write."""
     return F.timestamp_diff("SECOND", as_col(event_time), as_col(written_at))

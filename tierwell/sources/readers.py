@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,14 +13,42 @@ from tierwell import fixed_values as fv
 from tierwell.schemas import CORRUPT, RAW_TRANSACTIONS
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """A CSV file with a header, every column as text; an empty field is NULL.
+#: The file source forgets files by age, by default after a week; this is a hundred years.
+FILES_OF_ANY_AGE = "36500d"
+
 
-    Names come from the header line (nothing else is read ahead), so the order of columns does not
-    matter, columns beyond ``schema`` are kept and those missing from the file are NULL."""
-    found = spark.read.option("header", True).csv(path)
-    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in found.columns]
-    return found.select("*", *absent)
+def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by the names in their first lines.  Spark reads the lines; one row a file comes back."""
+    lines = (
+        spark.read.text(files)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+        .filter(F.col("start") == 0)
+        .withColumn("place", F.monotonically_increasing_id())
+    )
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("line")).collect():
+        found.setdefault(tuple(next(csv.reader([row["line"]]), [])), []).append(row["file"])
+    return found
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """CSV files with a header each, every column as text; an empty field is NULL.
+
+    Every file is read by its own header line, so the order of columns may differ from file to file;
+    columns beyond ``schema`` are kept and those a file lacks are NULL.  A row with more or fewer
+    fields than its header is kept whole in ``_corrupt_record``."""
+    files = spark.read.text(path).inputFiles()
+    out = None
+    for names, own in _headers(spark, files).items() if files else ():
+        fields = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+        reader = spark.read.schema(fields).option("header", True).option("enforceSchema", False)
+        rows = reader.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE").csv(own)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        return empty(spark, T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in out.columns]
+    ordered = [c for c in out.columns if c != CORRUPT]
+    return out.select(*ordered, *absent, CORRUPT)
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_TRANSACTIONS) -> DataFrame:
@@ -32,9 +62,17 @@ def stream_jsonl(
     schema: T.StructType = RAW_TRANSACTIONS,
     files_per_batch: int | None = None,
     glob: str = fv.STREAM_FILE_GLOB,
+    max_file_age: str = FILES_OF_ANY_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
-    """New files of a folder as a stream.  The query's checkpoint remembers which were read."""
-    reader = _json_options(spark.readStream.schema(schema)).option("pathGlobFilter", glob)
+    """New files of a folder as a stream.  The query's checkpoint remembers which were read, by name.
+
+    Files count whatever time they are stamped with, unless ``max_file_age`` says otherwise.
+    ``archive`` names a folder that files move to once read, which keeps the incoming folder and the
+    list of names short; only one query may then read the folder."""
+    reader = _json_options(spark.readStream.schema(schema)).option("pathGlobFilter", glob).option("maxFileAge", max_file_age)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(folder)

@@ -65,14 +65,27 @@ def impact(events: DataFrame) -> DataFrame:
 
 
 def upsert_balances(
-    state: DataFrame, events: DataFrame, accounts: DataFrame, updated_at: Column, count_repeats: bool = False
+    state: DataFrame,
+    events: DataFrame,
+    accounts: DataFrame,
+    updated_at: Column,
+    count_repeats: bool = False,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
-    """The balance table after a set of events that it has not seen yet.
+    """The balance table after a further set of events.
 
-    A new account starts from its balance in ``accounts``, or from zero; untouched rows are carried.
+    ``seen`` holds the keys (account, transaction) of the events the state already contains: such an
+    event moves the account's last event time but not its balance, unless repeats count.  A new
+    account starts from its balance in ``accounts``, or from zero; untouched rows are carried.
     The state is the left side of a join with the impact, so a small set of events is broadcast
     and the state is not shuffled."""
-    change = impact(events if count_repeats else counted_once(events)).select(
+    once = events if count_repeats else counted_once(events)
+    if seen is not None and not count_repeats:
+        keys = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in EVENT_KEY]).distinct()
+        same = [F.col(k) == F.col(f"_seen_{k}") for k in EVENT_KEY]
+        fresh_only = F.when(F.col(f"_seen_{EVENT_KEY[0]}").isNull(), F.col("signed_amount")).otherwise(zero())
+        once = once.join(keys, same, "left").withColumn("signed_amount", fresh_only)
+    change = impact(once).select(
         F.col("account_id").alias("_account"), "delta_sum", F.col("last_transaction_timestamp").alias("_last")
     )
     touched = F.col("_account").isNotNull()
@@ -111,4 +124,6 @@ def merge_recent(existing: DataFrame, new: DataFrame, limit: int = fv.RECENT_LIM
 
 
 def keep_recent(rows: DataFrame, limit: int = fv.RECENT_LIMIT) -> DataFrame:
-    return newest_per_key(newest_deliveries(rows), "account_id", EVENT_ORDER, limit, ["transaction_id"])
+    """By event time, then id.  The time of writing only tells deliveries of one transaction apart, so
+    the result does not depend on how events were split into batches."""
+    return newest_per_key(newest_deliveries(rows), "account_id", ["transaction_timestamp"], limit, ["transaction_id"])
