@@ -97,7 +97,8 @@ def test_gold_tables(finished):
     assert schemas.differences(fact.drop("province"), schemas.FACT_TRANSACTIONS)
     rows = {r["transaction_id"]: r for r in fact.collect()}
     assert set(rows) == {"T1", "T2", "T3", "T4", "T10"}
-    assert str(rows["T2"]["amount"]) == "350.00" and rows["T2"]["transaction_timestamp"].second == 1
+    # The duplicate rule says that the first delivery stays.
+    assert str(rows["T2"]["amount"]) == "349.50" and rows["T2"]["transaction_timestamp"].second == 0
     assert rows["T3"]["merchant_subcategory"] == "Diesel" and rows["T1"]["merchant_subcategory"] is None
     assert rows["T3"]["province"] == "Limpopo" and {r["currency"] for r in rows.values()} == {"ZAR"}
     assert rows["T4"]["transaction_date"] == date(2024, 3, 22)
@@ -111,19 +112,26 @@ def test_quarantine_and_reconciliation(finished):
     tables, _, _ = finished
     reasons = sorted((r["record_key"] or "", r["reason"]) for r in tables["quarantine/transactions"].collect())
     assert reasons == [
-        ("", "NULL_REQUIRED"), ("", "NULL_REQUIRED"), ("", "NULL_REQUIRED"), ("T5", "ORPHANED_ACCOUNT"),
-        ("T6", "UNKNOWN_CUSTOMER"), ("T7", "MISSING_AMOUNT"), ("T8", "MISSING_TRANSACTION_DATE"), ("T9", "MISSING_CHANNEL"),
+        ("", "MALFORMED_LINE"), ("", "NULL_REQUIRED"), ("", "NULL_REQUIRED"), ("T5", "ORPHANED_ACCOUNT"),
+        ("T6", "UNKNOWN_CUSTOMER"), ("T7", "MISSING_AMOUNT"), ("T8", "MISSING_TRANSACTION_DATE"), ("T9", "NULL_REQUIRED"),
     ]
+    # What was delivered is still there, also of a line that was no record.
+    records = {r["reason"]: json.loads(json.loads(r["record"]).get("raw") or "{}") for r in tables["quarantine/transactions"].collect()}
+    assert records["MISSING_AMOUNT"]["amount_raw"] == "n/a"
+    assert records["MISSING_TRANSACTION_DATE"]["transaction_date_raw"] == "soon"
+    assert records["MALFORMED_LINE"][schemas.CORRUPT] == '{"transaction_id": "T11", "account'
     accounts = sorted((r["record_key"] or "", r["reason"]) for r in tables["quarantine/accounts"].collect())
     assert accounts == [("", "NULL_REQUIRED_ACCOUNT"), ("A3", "UNKNOWN_CUSTOMER"), ("A4", "NO_CUSTOMER_REF")]
     assert tables["quarantine/customers"].count() == 1
-    assert batch.transactions_reconciled(tables).first()["unexplained"] == 0
+    totals = {r["table_name"]: r["unexplained"] for r in batch.reconciled(tables).collect()}
+    assert totals == {"transactions": 0, "accounts": 0, "customers": 0}
 
 
 def test_checks_and_reports(finished):
     tables, _, _ = finished
     found = {r["check"]: r["violations"] for r in batch.gold_checks(tables).collect()}
-    assert all(n == 0 for n in found.values()), found
+    # One customer's risk score was delivered as no number.
+    assert {c: n for c, n in found.items() if n} == {"dim_customers.risk_score present": 1}
     fact, accounts, customers = (tables[f"gold/{t}"] for t in ("fact_transactions", "dim_accounts", "dim_customers"))
     assert [tuple(r)[:2] for r in validation.volume_by_type(fact).collect()] == [("CREDIT", 1), ("DEBIT", 3), ("GIFT", 1)]
     assert validation.unlinked_accounts(accounts, customers).first()[0] == 0
@@ -160,6 +168,69 @@ def test_report_document(finished, spark):
     }
 
 
+def _run(spark, folder, name, rules):
+    inputs = batch.Inputs(*[str(folder / n) for n in ("customers.csv", "accounts.csv", "transactions.jsonl")])
+    return batch.run_batch(spark, inputs, batch.Run(str(folder / name), date(2026, 1, 1), datetime(2026, 1, 1, 6)), rules)
+
+
+def test_actions_act(spark, finished):
+    _, run, folder = finished
+    rules = RuleSet.default().changed(
+        CURRENCY_VARIANT={"handling_action": "QUARANTINED"},
+        NULL_REQUIRED={"handling_action": "FLAGGED"},
+        DUPLICATE_DEDUPED={"handling_action": "DEDUPLICATED_KEEP_LAST"},
+    )
+    tables = _run(spark, folder, "run=2", rules)
+    facts = {r["transaction_id"]: r for r in tables["gold/fact_transactions"].collect()}
+    assert set(facts) == {"T1", "T2", "T3", "T10"} and facts["T2"]["transaction_timestamp"].second == 1
+    reasons = {(r["record_key"], r["reason"]) for r in tables["quarantine/transactions"].collect()}
+    assert {("T4", "CURRENCY_VARIANT"), ("T9", "MISSING_CHANNEL")} <= reasons
+    assert {r["unexplained"] for r in batch.reconciled(tables).collect()} == {0}
+    report = batch.quality_report(tables, run, rules, "2026-01-01T06:00:00Z", 1).first()
+    output = {i["issue_type"]: i["records_in_output"] for i in report["dq_issues"]}
+    assert output["currency_variants"] == 0 and output["type_mismatch"] == 1 and output["date_format_inconsistency"] == 0
+
+
+def test_strict_rules_reach_the_run(spark, finished):
+    _, _, folder = finished
+    tables = _run(spark, folder, "run=3", RuleSet.default().changed(TYPE_MISMATCH={"strict": True}, DUPLICATE_DEDUPED={"enabled": False}))
+    found = {r["transaction_id"]: r["dq_flag"] for r in tables["silver/transactions"].collect()}
+    assert found["T7"] == "TYPE_MISMATCH" and found["T1"] is None
+    assert {r["transaction_id"] for r in tables["bronze/transactions"].filter("amount_is_text").collect()} == {"T2", "T7"}
+    strict = RuleSet.default().changed(DATE_FORMAT={"strict": True})
+    from tierwell.plans.silver import ACCOUNT_DATES, unreadable_dates
+
+    rows = unreadable_dates(tables["bronze/accounts"], "account_id", ACCOUNT_DATES, strict).collect()
+    assert {(r["key"], r["field"], r["raw"]) for r in rows} == {("A2", "open_date", "14/06/2021"), ("A2", "last_activity_date", "1711065600")}
+
+
+def test_a_run_joins_transactions_once(spark, finished):
+    """One shuffle by transaction, one by account, over all tables of the run."""
+    tables, _, _ = finished
+    from tierwell.plans import gold
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        owned = gold.owned_transactions(tables["bronze/transactions"], tables["silver/accounts"], tables["gold/dim_customers"])
+        text = owned._jdf.queryExecution().executedPlan().toString()
+        rest = [gold.facts(tables["work/transactions"]), gold.rejects(tables["work/transactions"])]
+        later = "".join(df._jdf.queryExecution().executedPlan().toString() for df in rest)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("hashpartitioning(transaction_id") == 1 and text.count("SortMergeJoin [account_id") == 1
+    assert "Exchange" not in later and "Join" not in later
+
+
+def test_a_run_wants_utc(spark, finished):
+    _, _, folder = finished
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            _run(spark, folder, "run=4", None)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_clean_run_is_stage_one(spark):
     from tierwell.operators.report import report_document
 
@@ -216,3 +287,13 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
     path.write_text('b,a,more\n2,1,9\n,"",\n')
     df = readers.read_csv(spark, str(path), schemas._strings("a", "b", "c"))
     assert [tuple(r) for r in df.select("a", "b", "c", "more").collect()] == [("1", "2", None, "9"), (None,) * 4]
+
+
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n3,4,5\n")
+    (tmp_path / "2.csv").write_text('b,a\n"2, two",1\n')
+    (tmp_path / "3.csv").write_text("b,more\n2,9\n")
+    (tmp_path / "4.csv").write_text("a,b\n")
+    df = readers.read_csv(spark, str(tmp_path), schemas._strings("a", "b", "c"))
+    rows = {tuple(r) for r in df.select("a", "b", "c", "more", schemas.CORRUPT).collect()}
+    assert rows == {("1", "2", None, None, None), ("3", "4", None, None, "3,4,5"), ("1", "2, two", None, None, None), (None, "2", None, "9", None)}

@@ -202,3 +202,43 @@ def test_upsert_in_two_steps_equals_one(spark, many):
     rows = ev.as_recent(frame(many), at)
     merged = ev.merge_recent(ev.keep_recent(ev.as_recent(frame(many[:100]), at), 5), ev.as_recent(frame(many[100:]), at), 5)
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, ev.keep_recent(rows, 5).collect()))
+
+
+def test_files_of_any_age_count(spark, tmp_path):
+    import os
+    import time
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    live = LiveTables(spark, str(tmp_path / "out"))
+    deliver(folder, 1, [event("1", "A", 0, 5)])
+    live.drain(str(folder), clock=lambda: WRITTEN, tables=["current_balances"])
+    deliver(folder, 2, [event("2", "A", 3, 10)])
+    old = time.time() - 30 * 86400
+    os.utime(folder / "stream_20260320_100000_0002.jsonl", (old, old))
+    live.drain(str(folder), clock=lambda: WRITTEN, tables=["current_balances"])
+    assert balances(live.current_balances(accounts(spark))) == {"A": ("85.00", "00:03")}
+
+
+def test_recent_rows_do_not_depend_on_the_split(spark):
+    kinds = "account_id string, transaction_id string, transaction_date string, transaction_time string, transaction_type string, amount string, channel string"
+    events = ev.valid_events(spark.createDataFrame([("A", t, "2026-03-20", "10:00:00", "DEBIT", "1", "app") for t in ("a", "b")], kinds))
+    at = [F.lit(f"2026-03-21 00:00:0{n}").cast("timestamp") for n in (0, 1)]
+    first, second = (ev.as_recent(events.filter(F.col("transaction_id") == t), a) for t, a in zip(("a", "b"), at))
+    split = ev.merge_recent(ev.keep_recent(first, 1), second, 1)
+    assert [r["transaction_id"] for r in split.collect()] == ["a"] == [r["transaction_id"] for r in ev.keep_recent(ev.as_recent(events, at[0]), 1).collect()]
+
+
+def test_repeats_of_seen_events_count_once(spark, many):
+    kinds = "account_id string, transaction_id string, transaction_date string, transaction_time string, transaction_type string, amount string, channel string"
+    names = [k.split()[0] for k in kinds.split(", ")]
+
+    def frame(rows):
+        return ev.valid_events(spark.createDataFrame([tuple(str(r[n]) for n in names) for r in rows], kinds))
+
+    at = F.lit("2026-03-21 00:00:00").cast("timestamp")
+    start = empty(spark, schemas.CURRENT_BALANCES)
+    one = ev.upsert_balances(start, frame(many), accounts(spark), at)
+    half = ev.upsert_balances(start, frame(many[:150]), accounts(spark), at)
+    two = ev.upsert_balances(half, frame(many[100:]), accounts(spark), at, seen=frame(many[:150]))
+    assert balances(one) == balances(two)

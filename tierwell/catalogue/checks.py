@@ -139,33 +139,49 @@ def _(spark, folder):
                 (SELECT CAST(sum(dup_count - 1) AS BIGINT) FROM judged) AS duplicates_rows
             UNION ALL SELECT 'accounts', (SELECT count(*) FROM raw_accounts), (SELECT count(*) FROM dim_accounts),
                 (SELECT count(*) FROM ({REJECTED_ACCOUNTS})),
-                (SELECT count(account_id) - count(DISTINCT account_id) FROM typed_accounts))""",
+                (SELECT count(account_id) - count(DISTINCT account_id) FROM typed_accounts)
+            UNION ALL SELECT 'customers', (SELECT count(*) FROM raw_customers), (SELECT count(*) FROM dim_customers),
+                (SELECT count(*) FROM silver_customers WHERE coalesce(customer_id, '') = ''),
+                (SELECT count(customer_id) - count(DISTINCT customer_id) FROM silver_customers))""",
         *REJECTED_STEPS,
         "raw_transactions",
         "raw_accounts",
+        "raw_customers",
+        "silver_customers",
         "fact",
     ),
 )
 def _(spark, folder):
+    """Transactions in one pass over what one join found out about them."""
     roles = Roles(spark, folder)
     accounts = stored(roles.silver_accounts, "silver-accounts")
     customers = stored(roles.dim_customers, "dim-customers")
-    dim_accounts = gold.dim_accounts(accounts, customers)
-    judged = stored(silver.judged_transactions(roles.transactions, accounts), "judged")
-    transactions = checks.reconcile(
+    owned = gold.owned_transactions(roles.transactions, accounts, customers, evidence=False)
+    reason = gold.reject_reason(owned.columns)
+    transactions = checks.reconciled_counts(
         roles.transactions,
-        gold.fact_transactions(judged, dim_accounts, customers),
-        gold.rejected_transactions(judged, accounts, customers),
-        judged.agg(removed_duplicates(judged).alias("records")),
+        owned.agg(
+            F.count_if(reason.isNull()).alias("kept"),
+            F.count_if(reason.isNotNull()).alias("rejected"),
+            removed_duplicates(owned).alias("duplicates"),
+        ),
         "transactions",
     )
-    copies = silver.account_copies(roles.accounts)
+    account_copies, customer_copies = silver.account_copies(roles.accounts), silver.customer_copies(roles.customers)
     return transactions.unionAll(
         checks.reconcile(
             roles.accounts,
-            dim_accounts,
+            gold.dim_accounts(accounts, customers),
             silver.rejected_accounts(roles.accounts, customers),
-            copies.agg(removed_duplicates(copies).alias("records")),
+            account_copies.agg(removed_duplicates(account_copies).alias("records")),
             "accounts",
         )
+    ).unionAll(
+        checks.reconcile(
+            roles.customers,
+            customers,
+            silver.rejected_customers(roles.customers),
+            customer_copies.agg(removed_duplicates(customer_copies).alias("records")),
+            "customers",
+        )
     )

@@ -8,12 +8,13 @@ from tierwell.catalogue.sql import shown, sql
 from tierwell.operators.dedupe import group_sizes, one_per_key
 from tierwell.operators.linking import keep_known, mark_known, orphan
 from tierwell.plans import gold, silver
+from tierwell.sources.shared import stored
 from tierwell.sources.sinks import quarantine_rows
 
 _SILVER_TXN = shown(
     "transaction_id", "account_id", "transaction_date:d", "transaction_time", "transaction_timestamp:t",
     "transaction_type", "merchant_category", "merchant_subcategory", "amount:n", "currency", "channel",
-    "province", "dq_flag", "ingestion_timestamp:t",
+    "province", "dq_flag", "dq_exclusion", "ingestion_timestamp:t",
 )
 _SURVIVOR = ["transaction_id", "account_id", "transaction_timestamp", "amount", "ingestion_timestamp", "copies"]
 _SURVIVOR_SQL = shown(
@@ -157,7 +158,8 @@ def _(spark, folder):
 
 REJECTED_STEPS = ("judged", "silver_accounts", "dim_customers", "typed_accounts", "newest_accounts")
 REJECTED_TRANSACTIONS = """
-    SELECT transaction_id, t.account_id AS account_id, CASE WHEN coalesce(transaction_id, '') = '' THEN 'NULL_REQUIRED'
+    SELECT transaction_id, t.account_id AS account_id, amount_raw, currency_raw, amount, currency_variant, bits, CASE WHEN coalesce(transaction_id, '') = '' THEN 'NULL_REQUIRED'
+        WHEN dq_exclusion IS NOT NULL THEN dq_exclusion
         WHEN a.account_id IS NULL THEN 'ORPHANED_ACCOUNT' WHEN c.customer_id IS NULL THEN 'UNKNOWN_CUSTOMER'
         WHEN transaction_date IS NULL THEN 'MISSING_TRANSACTION_DATE'
         WHEN transaction_timestamp IS NULL THEN 'MISSING_TRANSACTION_TIMESTAMP'
@@ -176,19 +178,30 @@ REJECTED_ACCOUNTS = """
 @query(
     "quarantine_rows",
     sql(
-        f"""SELECT 'transactions' AS source, transaction_id AS record_key, reason, account_id AS record_account
+        f"""SELECT 'transactions' AS source, transaction_id AS record_key, reason, account_id AS record_account,
+            CASE WHEN bits <> 0 THEN amount_raw END AS delivered_amount,
+            CASE WHEN bits <> 0 THEN currency_raw END AS delivered_currency
             FROM ({REJECTED_TRANSACTIONS}) WHERE reason IS NOT NULL
-        UNION ALL SELECT 'accounts', account_id, reason, account_id FROM ({REJECTED_ACCOUNTS})""",
+        UNION ALL SELECT 'accounts', account_id, reason, account_id, NULL, NULL FROM ({REJECTED_ACCOUNTS})""",
         *REJECTED_STEPS,
     ),
 )
 def _(spark, folder):
     roles = Roles(spark, folder)
-    customers = roles.dim_customers
-    transactions = gold.rejected_from_bronze(roles.transactions, roles.silver_accounts, customers)
+    customers = stored(roles.dim_customers, "dim-customers")
+    known = stored(roles.silver_accounts, "silver-accounts")
+    transactions = gold.rejected_from_bronze(roles.transactions, known, customers)
     accounts = silver.rejected_accounts(roles.accounts, customers)
     rows = quarantine_rows(transactions, "transactions", "transaction_id").unionByName(
         quarantine_rows(accounts, "accounts", "account_id")
     )
-    # The record itself is JSON; one field read back from it shows that it is whole.
-    return rows.withColumn("record_account", F.get_json_object("record", "$.account_id")).drop("record")
+    # The record itself is JSON, and so are the values as delivered in it; fields read back show them.
+    raw = F.get_json_object("record", "$.raw")
+    return rows.select(
+        "source",
+        "record_key",
+        "reason",
+        F.get_json_object("record", "$.account_id").alias("record_account"),
+        F.get_json_object(raw, "$.amount_raw").alias("delivered_amount"),
+        F.get_json_object(raw, "$.currency_raw").alias("delivered_currency"),
+    )

@@ -7,7 +7,7 @@ from tierwell.catalogue.roles import Roles
 from tierwell.catalogue.sql import sql
 from tierwell.operators import report
 from tierwell.operators.rules import RuleSet
-from tierwell.plans import gold, silver, validation
+from tierwell.plans import gold, validation
 from tierwell.sources.shared import stored
 from tierwell.sources.sinks import document
 
@@ -149,16 +149,23 @@ _ISSUE_SETTINGS = """(VALUES
     AS s(issue_code, place, issue_type, handling_action, denominator)"""
 _ISSUES_SQL = f"""SELECT issue_code, issue_type, c.records AS records_affected,
     CAST(round(c.records * 100.0 / d.records, 2) AS DOUBLE) AS percentage_of_total, handling_action,
-    CASE WHEN handling_action IN ('QUARANTINED', 'EXCLUDED_NULL_PK', 'EXCLUDED_CAST_FAILED')
-        THEN 0 ELSE c.records END AS records_in_output, place
+    coalesce(f.records, 0) AS records_in_output, place
     FROM ({_COUNTS_SQL}) c JOIN {_ISSUE_SETTINGS} USING (issue_code)
+    LEFT JOIN (SELECT dq_flag, count(*) AS records FROM fact GROUP BY 1) f ON f.dq_flag = issue_code
     JOIN ({_SOURCES_SQL}) d ON d.name = s.denominator WHERE c.records > 0"""
 
 
-@query("dq_issue_report", sql(_ISSUES_SQL, *_STEPS))
+def _work(roles: Roles):
+    """The frame that silver, facts and rejects come from, stored once."""
+    return stored(roles.owned().drop("_raw"), "work-transactions")
+
+
+@query("dq_issue_report", sql(_ISSUES_SQL, *_STEPS, "fact"))
 def _(spark, folder):
     roles = Roles(spark, folder)
-    return report.issue_report(_counts(roles, roles.silver_transactions), _sources(roles), RuleSet.default())
+    work = _work(roles)
+    in_output = report.flag_counts(gold.facts(work))
+    return report.issue_report(_counts(roles, work), _sources(roles), RuleSet.default(), in_output)
 
 
 @query(
@@ -179,19 +186,18 @@ def _(spark, folder):
 def _(spark, folder):
     """The report as a JSON document; every column here is read back out of the document."""
     roles = Roles(spark, folder)
-    accounts = stored(roles.silver_accounts, "silver-accounts")
-    customers = stored(roles.dim_customers, "dim-customers")
-    dim_accounts = gold.dim_accounts(accounts, customers)
-    transactions = stored(silver.silver_transactions(roles.transactions, accounts), "silver-transactions")
+    work = _work(roles)
+    facts = gold.facts(work)
     gold_counts = report.record_counts(
-        {
-            "fact_transactions": gold.fact_transactions(transactions, dim_accounts, customers),
-            "dim_accounts": dim_accounts,
-            "dim_customers": customers,
-        }
+        {"fact_transactions": facts, "dim_accounts": roles.dim_accounts, "dim_customers": roles.dim_customers}
     )
     whole = report.report_document(
-        _counts(roles, transactions), _sources(roles), gold_counts, RuleSet.default(), "2026-01-01T00:00:00Z"
+        _counts(roles, work),
+        _sources(roles),
+        gold_counts,
+        RuleSet.default(),
+        "2026-01-01T00:00:00Z",
+        in_output=report.flag_counts(facts),
     )
     text = whole.select(document(F.struct(*whole.columns)).alias("document"))
     back = text.select(F.from_json("document", whole.schema).alias("d")).select("d.*")

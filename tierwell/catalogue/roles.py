@@ -177,7 +177,7 @@ class Roles:
     def silver_customers(self) -> DataFrame:
         return silver.silver_customers(self.customers)
 
-    def judged(self, rules: RuleSet | None = None, keep: str = "latest") -> DataFrame:
+    def judged(self, rules: RuleSet | None = None, keep: str | None = None) -> DataFrame:
         return silver.judged_transactions(self.transactions, self.silver_accounts, rules, keep)
 
     @cached_property
@@ -192,6 +192,9 @@ class Roles:
     def dim_accounts(self) -> DataFrame:
         return gold.dim_accounts(self.silver_accounts, self.dim_customers)
 
+    def owned(self, rules: RuleSet | None = None) -> DataFrame:
+        return gold.owned_transactions(self.transactions, self.silver_accounts, self.dim_customers, rules)
+
     @cached_property
     def fact(self) -> DataFrame:
         return gold.fact_from_bronze(self.transactions, self.silver_accounts, self.dim_customers)

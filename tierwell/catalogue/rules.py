@@ -3,13 +3,16 @@
 from pyspark.sql import functions as F
 
 from tierwell import fixed_values as fv
+from tierwell.catalogue.layers import REJECTED_STEPS, REJECTED_TRANSACTIONS
 from tierwell.catalogue.registry import query
 from tierwell.catalogue.roles import Roles
 from tierwell.catalogue.scans import amounts_as_delivered
-from tierwell.catalogue.sql import sql
+from tierwell.catalogue.sql import parsed_date, sql
 from tierwell.operators.report import issue_counts
 from tierwell.operators.rules import RuleSet, split_by_action
-from tierwell.plans.silver import typed_transactions
+from tierwell.plans import gold
+from tierwell.plans.silver import ACCOUNT_DATES, CUSTOMER_DATES, typed_transactions, unreadable_dates
+from tierwell.sources.shared import stored
 
 _ISO = r"regexp_full_match(transaction_date_raw, '\d{4}-\d{2}-\d{2}')"
 _ROW_RULES = [
@@ -112,22 +115,49 @@ def _(spark, folder):
     return issue_counts(Roles(spark, folder).judged())
 
 
+_OUTCOME = "CASE WHEN reason IS NULL THEN 'fact' ELSE reason END"
+
+
 @query(
     "dq_apply_actions",
     sql(
-        """SELECT CASE WHEN null_required THEN 'NULL_REQUIRED' WHEN orphaned THEN 'ORPHANED_ACCOUNT' ELSE 'kept' END AS outcome,
-            count(*) AS records, CAST(sum(amount) AS DOUBLE) AS amount
-        FROM judged GROUP BY 1""",
-        "judged",
+        f"""SELECT 'default' AS rule_set, {_OUTCOME} AS outcome, count(*) AS records, CAST(sum(amount) AS DOUBLE) AS amount
+            FROM ({REJECTED_TRANSACTIONS}) GROUP BY 2
+        UNION ALL SELECT 'currency quarantined', CASE WHEN reason = 'NULL_REQUIRED' THEN reason
+                WHEN currency_variant THEN 'CURRENCY_VARIANT' ELSE {_OUTCOME} END, count(*), CAST(sum(amount) AS DOUBLE)
+            FROM ({REJECTED_TRANSACTIONS}) GROUP BY 2""",
+        *REJECTED_STEPS,
     ),
 )
 def _(spark, folder):
-    judged = Roles(spark, folder).judged()
-    return (
-        judged.groupBy(F.coalesce("dq_exclusion", F.lit("kept")).alias("outcome"))
-        .agg(F.count(F.lit(1)).alias("records"), F.sum("amount").alias("amount"))
+    """Facts and quarantine under two rule sets that differ in one handling action."""
+    roles = Roles(spark, folder)
+    accounts = stored(roles.silver_accounts, "silver-accounts")
+    customers = stored(roles.dim_customers, "dim-customers")
+
+    def outcome(name: str, rules: RuleSet):
+        owned = stored(gold.owned_transactions(roles.transactions, accounts, customers, rules, evidence=False), "owned")
+        kept = gold.facts(owned).select(F.lit("fact").alias("outcome"), "amount")
+        out = gold.rejects(owned).select(F.col("reason").alias("outcome"), "amount")
+        return kept.unionByName(out).groupBy(F.lit(name).alias("rule_set"), "outcome").agg(F.count(F.lit(1)).alias("records"), F.sum("amount").alias("amount"))
+
+    changed = RuleSet.default().changed(**{fv.CURRENCY_VARIANT: {"handling_action": "QUARANTINED"}})
+    return outcome("default", RuleSet.default()).unionByName(outcome("currency quarantined", changed))
+
+
+def _dates(name: str, source: str, key: str, fields: list[str]) -> None:
+    rows = " UNION ALL ".join(
+        f"SELECT trim({key}) AS key, '{f}' AS field, trim({f}) AS raw FROM raw_{source} WHERE {f} IS NOT NULL AND ({parsed_date(f)}) IS NULL" for f in fields
     )
 
+    @query(name, sql(rows, f"raw_{source}"))
+    def _(spark, folder):
+        return unreadable_dates(getattr(Roles(spark, folder), source), key, fields)
+
+
+_dates("dq_date_format_accounts", "accounts", "account_id", ACCOUNT_DATES)
+_dates("dq_date_format_customers", "customers", "customer_id", CUSTOMER_DATES)
+
 
 @query(
     "dq_split_rows",

@@ -186,12 +186,13 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
             merchant_subcategory ASC NULLS FIRST, amount ASC NULLS FIRST, channel ASC NULLS FIRST,
             province ASC NULLS FIRST, bits ASC) = 1
         UNION ALL SELECT *, 1 FROM decided WHERE transaction_id IS NULL"""),
-    "judged": (("single", "silver_accounts"), """
-        SELECT *, CASE WHEN null_required THEN 'NULL_REQUIRED' WHEN type_mismatch THEN 'TYPE_MISMATCH'
+    "judged": (("single_earliest", "silver_accounts"), """
+        SELECT *, CASE WHEN null_required THEN 'NULL_REQUIRED' WHEN orphaned THEN 'ORPHANED_ACCOUNT' END AS dq_exclusion,
+            CASE WHEN null_required THEN 'NULL_REQUIRED' WHEN type_mismatch THEN 'TYPE_MISMATCH'
             WHEN date_format THEN 'DATE_FORMAT' WHEN currency_variant THEN 'CURRENCY_VARIANT'
             WHEN orphaned THEN 'ORPHANED_ACCOUNT' WHEN dup_count > 1 THEN 'DUPLICATE_DEDUPED' END AS dq_flag
         FROM (SELECT t.*, a.account_id IS NULL AS orphaned
-              FROM single t LEFT JOIN silver_accounts a ON t.account_id = a.account_id)"""),
+              FROM single_earliest t LEFT JOIN silver_accounts a ON t.account_id = a.account_id)"""),
     "dim_customers": (("silver_customers",), f"""
         SELECT {surrogate("customer_id")} AS customer_sk, customer_id, gender, province, income_band, segment,
             risk_score, kyc_status,
@@ -208,7 +209,7 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
             amount, 'ZAR' AS currency, channel, c.province AS province, dq_flag, ingestion_timestamp
         FROM judged t JOIN dim_accounts a ON t.account_id = a.account_id
             JOIN dim_customers c ON a.customer_id = c.customer_id
-        WHERE transaction_id IS NOT NULL AND transaction_date IS NOT NULL AND transaction_timestamp IS NOT NULL
+        WHERE dq_exclusion IS NULL AND transaction_id IS NOT NULL AND transaction_date IS NOT NULL AND transaction_timestamp IS NOT NULL
             AND transaction_type IS NOT NULL AND amount IS NOT NULL AND channel IS NOT NULL"""),
     "stream_raw": ((), f"""
         SELECT 'EV-' || event_id AS transaction_id,

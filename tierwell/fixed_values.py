@@ -11,6 +11,8 @@ DATE_FORMAT = "DATE_FORMAT"
 CURRENCY_VARIANT = "CURRENCY_VARIANT"
 ORPHANED_ACCOUNT = "ORPHANED_ACCOUNT"
 DUPLICATE_DEDUPED = "DUPLICATE_DEDUPED"
+DATE_FORMAT_ACCOUNT = "DATE_FORMAT_ACCOUNT"
+DATE_FORMAT_CUSTOMER = "DATE_FORMAT_CUSTOMER"
 FLAG_PRIORITY = [
     NULL_REQUIRED,
     TYPE_MISMATCH,
@@ -50,6 +52,9 @@ DAYS_PER_YEAR = 365.25
 # --- fixed values: handling actions that keep a record out of the output -------------------
 EXCLUDING_ACTIONS = ["QUARANTINED", "EXCLUDED_NULL_PK", "EXCLUDED_CAST_FAILED"]
 
+# --- fixed values: duplicate handling that keeps the latest delivery; all other keeps the first
+KEEP_LATEST_ACTIONS = ["DEDUPLICATED_KEEP_LAST", "DEDUPLICATED_KEEP_LATEST"]
+
 # --- fixed values: columns a fact row must carry -------------------------------------------
 FACT_REQUIRED = [
     "transaction_id",

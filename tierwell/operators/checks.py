@@ -86,20 +86,29 @@ def reconcile(source: DataFrame, kept: DataFrame, rejected: DataFrame, removed:
     """Source rows against kept, rejected and removed rows; ``unexplained`` must be zero.
 
     ``removed`` is a one-row frame with the number of removed duplicates in ``records``."""
+    counted = [_part(kept.agg(F.count(F.lit(1)).alias("n")), "n", "kept"), _part(rejected.agg(F.count(F.lit(1)).alias("n")), "n", "rejected")]
+    return _reconciled(source, [*counted, _part(removed, "records", "duplicates")], name)
 
-    def part(df: DataFrame, column: str) -> DataFrame:
-        counted = df if column == "duplicates" else df.agg(F.count(F.lit(1)).alias("records"))
-        return counted.select(F.lit(column).alias("part"), F.col("records").cast("bigint"))
 
-    parts = (
-        part(source, "source").unionAll(part(kept, "kept")).unionAll(part(rejected, "rejected"))
-        .unionAll(part(removed, "duplicates"))
-    )
+def reconciled_counts(source: DataFrame, counts: DataFrame, name: str) -> DataFrame:
+    """The same from a one-row frame with ``kept``, ``rejected`` and ``duplicates``."""
+    one = counts.select(F.inline(F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).cast("bigint").alias("records")) for p in ("kept", "rejected", "duplicates")])))
+    return _reconciled(source, [one], name)
+
+
+def _part(df: DataFrame, column: str, part: str) -> DataFrame:
+    return df.select(F.lit(part).alias("part"), F.col(column).cast("bigint").alias("records"))
+
+
+def _reconciled(source: DataFrame, parts: list[DataFrame], name: str) -> DataFrame:
+    long = _part(source.agg(F.count(F.lit(1)).alias("n")), "n", "source")
+    for other in parts:
+        long = long.unionAll(other)
 
     def total(p: str):
         return F.coalesce(F.sum(F.when(F.col("part") == p, F.col("records"))), F.lit(0))
 
-    return parts.agg(*[total(p).alias(f"{p}_rows") for p in ("source", "kept", "rejected", "duplicates")]).select(
+    return long.agg(*[total(p).alias(f"{p}_rows") for p in ("source", "kept", "rejected", "duplicates")]).select(
         F.lit(name).alias("table_name"),
         "*",
         (

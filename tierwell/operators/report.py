@@ -61,9 +61,12 @@ def _catalogue(spark: SparkSession, rules: RuleSet) -> DataFrame:
     account = rules.config.get("account_null_required", {})
     account_code = account.get("issue_code", "NULL_REQUIRED_ACCOUNT")
     rows = []
-    for code in dict.fromkeys([*rules.priority, *rules.rules, account_code]):
+    dates = {fv.DATE_FORMAT_ACCOUNT: "accounts_raw", fv.DATE_FORMAT_CUSTOMER: "customers_raw"}
+    for code in dict.fromkeys([*rules.priority, *rules.rules, account_code, *dates]):
         setting = account if code == account_code else rules.setting(code)
         default = ("EXCLUDED_NULL_PK", "accounts_raw") if code == account_code else ("FLAGGED", "transactions_raw")
+        if code in dates:
+            setting, default = {**rules.setting(fv.DATE_FORMAT), "denominator": dates[code]}, ("FLAGGED", dates[code])
         rows.append(
             (
                 code,
@@ -78,11 +81,19 @@ def _catalogue(spark: SparkSession, rules: RuleSet) -> DataFrame:
     )
 
 
-def issue_report(counts: DataFrame, sources: DataFrame, rules: RuleSet) -> DataFrame:
+def date_counts(accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """``(issue_code, records)`` of the date rule for accounts and customers, from ``unreadable_dates``."""
+    parts = [(accounts, fv.DATE_FORMAT_ACCOUNT), (customers, fv.DATE_FORMAT_CUSTOMER)]
+    counted = [df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(code).alias("issue_code"), "records") for df, code in parts]
+    return counted[0].unionByName(counted[1])
+
+
+def issue_report(counts: DataFrame, sources: DataFrame, rules: RuleSet, in_output: DataFrame | None = None) -> DataFrame:
     """One row per issue that occurred, in priority order, then by code.
 
-    ``counts`` is ``(issue_code, records)``, ``sources`` is ``(name, records)``.  All sides are
-    reports of a few rows."""
+    ``counts`` is ``(issue_code, records)``, ``sources`` is ``(name, records)``, ``in_output`` is
+    ``(issue_code, records)`` of the facts (``flag_counts`` of them); without it the handling action
+    tells whether records reach the output.  All sides are reports of a few rows."""
     totals = counts.groupBy("issue_code").agg(F.sum("records").alias("records_affected"))
     known = _catalogue(counts.sparkSession, rules)
     whole = sources.select(F.col("name").alias("denominator"), F.col("records").alias("_whole"))
@@ -98,14 +109,19 @@ def issue_report(counts: DataFrame, sources: DataFrame, rules: RuleSet) -> DataF
         )
         .join(whole, "denominator", "left")
     )
-    excluded = F.col("handling_action").isin(*fv.EXCLUDING_ACTIONS)
+    if in_output is not None:
+        reached = in_output.groupBy("issue_code").agg(F.sum("records").alias("_reached"))
+        joined = joined.join(reached, "issue_code", "left")
+        output = F.coalesce("_reached", F.lit(0))
+    else:
+        output = F.when(F.col("handling_action").isin(*fv.EXCLUDING_ACTIONS), F.lit(0)).otherwise(F.col("records_affected"))
     return joined.select(
         "issue_code",
         "issue_type",
         "records_affected",
         percent_of("records_affected", F.coalesce("_whole", F.lit(0))).alias("percentage_of_total"),
         "handling_action",
-        F.when(excluded, F.lit(0)).otherwise(F.col("records_affected")).cast("bigint").alias("records_in_output"),
+        output.cast("bigint").alias("records_in_output"),
         "place",
     ).orderBy(F.col("place").asc_nulls_last(), "issue_code")
 
@@ -143,12 +159,13 @@ def report_document(
     duration_seconds: int = 0,
     stage: str | None = None,
     schema_name: str = "dq-report/v1",
+    in_output: DataFrame | None = None,
 ) -> DataFrame:
     """The whole report as one row.
 
     The parts are put into one long frame of small rows and folded by a single aggregate, so no
     join without a key is needed.  ``stage`` defaults to "2" when anything was flagged, else "1"."""
-    issues = issue_report(counts, sources, rules)
+    issues = issue_report(counts, sources, rules, in_output)
 
     def rows(df: DataFrame, part: str, code: str, n: str) -> DataFrame:
         return df.select(

@@ -64,6 +64,11 @@ class RuleSet:
     def excludes(self, code: str) -> bool:
         return self.action(code) in fv.EXCLUDING_ACTIONS
 
+    @property
+    def keep(self) -> str:
+        """Which delivery of a transaction stays, by the action of the duplicate rule."""
+        return "latest" if self.action(fv.DUPLICATE_DEDUPED) in fv.KEEP_LATEST_ACTIONS else "earliest"
+
     # -- predicates --------------------------------------------------------------------------
 
     def predicate(self, code: str, columns: Collection[str]) -> Column:
@@ -78,58 +83,49 @@ class RuleSet:
         }.get(code)
         if build is None or not self.enabled(code):
             return F.lit(False)
-        return build(self.setting(code), columns)
+        # What a rule file leaves out comes from the default rules; only domains it leaves out are open.
+        default = {k: v for k, v in fv.DEFAULT_RULES["rules"].get(code, {}).items() if not k.startswith("allowed_")}
+        return build({**default, **self.setting(code)}, columns)
+
+    @staticmethod
+    def _unreadable(raw: str, parsed: str, columns: Collection[str]) -> list[Column]:
+        """Delivered, but not what it should be."""
+        return [F.col(raw).isNotNull() & F.col(parsed).isNull()] if {raw, parsed} <= set(columns) else []
 
     def _null_required(self, rule: Mapping, columns: Collection[str]) -> Column:
-        return any_of(missing(c) for c in rule.get("fields", fv.DEFAULT_NULL_FIELDS) if c in columns)
+        return any_of(missing(c) for c in rule["fields"] if c in columns)
 
     def _type_mismatch(self, rule: Mapping, columns: Collection[str]) -> Column:
-        tests = []
-        raw, cast = rule.get("amount_raw_field", "amount_raw"), rule.get("amount_cast_field", "amount")
-        if raw in columns and cast in columns:
-            tests.append(F.col(raw).isNotNull() & F.col(cast).isNull())
+        tests = self._unreadable(rule["amount_raw_field"], rule["amount_cast_field"], columns)
         as_text = rule.get("amount_is_text_field", "amount_is_text")
         if rule.get("strict") and as_text in columns:
             tests.append(F.col(as_text))
-        stamp = rule.get("timestamp_field", "transaction_timestamp")
-        parts = rule.get("timestamp_source_fields", ["transaction_date", "transaction_time"])
-        parts = [c for c in parts if c in columns]
+        stamp, parts = rule["timestamp_field"], [c for c in rule["timestamp_source_fields"] if c in columns]
         if stamp in columns and parts:
             tests.append(~any_of(F.col(c).isNull() for c in parts) & F.col(stamp).isNull())
-        for name, allowed in (
-            ("transaction_type", rule.get("allowed_transaction_types", [])),
-            ("channel", rule.get("allowed_channels", [])),
-        ):
-            if name in columns:
-                tests.append(outside(name, list(allowed)))
+        domains = {"transaction_type": rule.get("allowed_transaction_types", []), "channel": rule.get("allowed_channels", [])}
+        tests += [outside(name, list(allowed)) for name, allowed in domains.items() if name in columns]
         return any_of(tests)
 
     def _date_format(self, rule: Mapping, columns: Collection[str]) -> Column:
-        raw, parsed = rule.get("source_field", "transaction_date_raw"), rule.get("parsed_field", "transaction_date")
-        if raw not in columns:
-            return F.lit(False)
+        raw = rule["source_field"]
         if rule.get("strict"):
-            return F.col(raw).isNotNull() & ~F.col(raw).rlike(fv.ISO_DATE_REGEX)
-        if parsed not in columns:
-            return F.lit(False)
-        return F.col(raw).isNotNull() & F.col(parsed).isNull()
+            return any_of([F.col(raw).isNotNull() & ~F.col(raw).rlike(fv.ISO_DATE_REGEX)] if raw in columns else [])
+        return any_of(self._unreadable(raw, rule["parsed_field"], columns))
 
     def _currency_variant(self, rule: Mapping, columns: Collection[str]) -> Column:
-        raw, target = rule.get("source_field", "currency_raw"), str(rule.get("target_value", fv.CURRENCY))
-        if raw not in columns:
-            return F.lit(False)
+        raw, target = rule["source_field"], str(rule["target_value"])
         value = as_col(raw).cast("string")
-        if rule.get("strict"):
-            return value.isNotNull() & (value != F.lit(target))
-        return value.isNotNull() & (F.upper(value) != F.lit(target.upper()))
+        shown, wanted = (value, target) if rule.get("strict") else (F.upper(value), target.upper())
+        return any_of([value.isNotNull() & (shown != F.lit(wanted))] if raw in columns else [])
 
     def _orphaned_account(self, rule: Mapping, columns: Collection[str]) -> Column:
-        mark = rule.get("reference_present_field", "_valid_account_id")
-        return F.col(mark).isNull() if mark in columns else F.lit(False)
+        mark = rule["reference_present_field"]
+        return any_of([F.col(mark).isNull()] if mark in columns else [])
 
     def _duplicate(self, rule: Mapping, columns: Collection[str]) -> Column:
-        size = rule.get("duplicate_count_field", "_dup_count")
-        return F.col(size) > 1 if size in columns else F.lit(False)
+        size = rule["duplicate_count_field"]
+        return any_of([F.col(size) > 1] if size in columns else [])
 
     # -- rows --------------------------------------------------------------------------------
 

@@ -19,6 +19,9 @@ from tierwell.sources import readers, sinks
 from tierwell.tuning import tune
 
 
+UTC = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
+
+
 @dataclass(frozen=True)
 class Inputs:
     customers: str
@@ -36,7 +39,7 @@ class Run:
     root: str
     as_of: date
     ingestion_timestamp: datetime
-    keep: str = "latest"
+    keep: str | None = None  # which duplicate stays: "latest" or "earliest"; by default what the rules say
     fmt: str = "parquet"
     partition_facts: bool = False
 
@@ -45,7 +48,12 @@ class Run:
 
 
 def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | None = None) -> dict[str, DataFrame]:
-    """Write all layers and return every table as read back, by ``layer/table``."""
+    """Write all layers and return every table as read back, by ``layer/table``.
+
+    The session has to run in UTC, as dates and times are delivered in it.  Two of its settings are
+    changed where they are at their default, and stay so (see ``tuning``)."""
+    if spark.conf.get("spark.sql.session.timeZone") not in UTC:
+        raise ValueError("set spark.sql.session.timeZone to UTC")
     tune(spark)
     rules = rules or RuleSet.default()
     tables: dict[str, DataFrame] = {}
@@ -61,21 +69,20 @@ def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | No
 
     customers_raw = bronze("customers", readers.read_csv(spark, inputs.customers, schemas.RAW_CUSTOMERS))
     accounts_raw = bronze("accounts", readers.read_csv(spark, inputs.accounts, schemas.RAW_ACCOUNTS))
-    transactions_raw = bronze("transactions", readers.read_jsonl(spark, inputs.transactions))
+    transactions_raw = bronze("transactions", readers.read_jsonl_as_delivered(spark, inputs.transactions))
 
     customers = write("silver", "customers", silver.silver_customers(customers_raw))
     accounts = write("silver", "accounts", silver.silver_accounts(accounts_raw))
-    transactions = write(
-        "silver", "transactions", silver.silver_transactions(transactions_raw, accounts, rules, run.keep)
-    )
-
     dim_customers = write("gold", "dim_customers", gold.dim_customers(customers, run.as_of))
-    dim_accounts = write("gold", "dim_accounts", gold.dim_accounts(accounts, dim_customers))
-    by_day = "transaction_date" if run.partition_facts else None
-    write("gold", "fact_transactions", gold.fact_transactions(transactions, dim_accounts, dim_customers), by_day)
+    write("gold", "dim_accounts", gold.dim_accounts(accounts, dim_customers))
+
+    # All that is known of a transaction, from one join; what follows only projects and filters it.
+    owned = write("work", "transactions", gold.owned_transactions(transactions_raw, accounts, dim_customers, rules, run.keep))
+    write("silver", "transactions", owned.select(*silver.SILVER_TRANSACTIONS))
+    write("gold", "fact_transactions", gold.facts(owned), "transaction_date" if run.partition_facts else None)
 
     rejected = [
-        (gold.rejected_transactions(transactions, accounts, dim_customers), "transactions", "transaction_id"),
+        (gold.rejects(owned), "transactions", "transaction_id"),
         (silver.rejected_accounts(accounts_raw, dim_customers), "accounts", "account_id"),
         (silver.rejected_customers(customers_raw), "customers", "customer_id"),
     ]
@@ -90,8 +97,14 @@ def quality_report(
     """The report over the tables of a run as one row; the counts come from the written files."""
     sources = report.record_counts({f"{t}_raw": tables[f"bronze/{t}"] for t in ("accounts", "transactions", "customers")})
     gold_tables = ("fact_transactions", "dim_accounts", "dim_customers")
-    counts = report.flag_counts(tables["silver/transactions"]).unionByName(
-        report.null_key_count(tables["bronze/accounts"], rules)
+    dates = report.date_counts(
+        silver.unreadable_dates(tables["bronze/accounts"], "account_id", silver.ACCOUNT_DATES, rules),
+        silver.unreadable_dates(tables["bronze/customers"], "customer_id", silver.CUSTOMER_DATES, rules),
+    )
+    counts = (
+        report.flag_counts(tables["silver/transactions"])
+        .unionByName(report.null_key_count(tables["bronze/accounts"], rules))
+        .unionByName(dates)
     )
     return report.report_document(
         counts,
@@ -101,6 +114,7 @@ def quality_report(
         run_timestamp,
         duration_seconds,
         stage,
+        in_output=report.flag_counts(tables["gold/fact_transactions"]),
     )
 
 
@@ -120,6 +134,8 @@ def gold_checks(tables: dict[str, DataFrame]) -> DataFrame:
         checks.references(accounts, "customer_id", customers, "customer_id", "accounts to customers"),
         checks.domains(fact),
         checks.required_nulls(fact, schemas.FACT_TRANSACTIONS, "fact_transactions"),
+        checks.required_nulls(accounts, schemas.DIM_ACCOUNTS, "dim_accounts"),
+        checks.required_nulls(customers, schemas.DIM_CUSTOMERS, "dim_customers"),
         checks.not_empty(fact, "fact_transactions"),
         checks.not_empty(accounts, "dim_accounts"),
         checks.not_empty(customers, "dim_customers"),
@@ -130,16 +146,19 @@ def gold_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def transactions_reconciled(tables: dict[str, DataFrame]) -> DataFrame:
-    """Delivered transactions against facts, quarantine and removed copies."""
-    sizes = report.record_counts(
-        {"bronze": tables["bronze/transactions"], "silver": tables["silver/transactions"]}
-    )
-    signed = F.when(F.col("name") == "bronze", F.col("records")).otherwise(-F.col("records"))
-    return checks.reconcile(
-        tables["bronze/transactions"],
-        tables["gold/fact_transactions"],
-        tables["quarantine/transactions"],
-        sizes.agg(F.sum(signed).alias("records")),
-        "transactions",
-    )
+def reconciled(tables: dict[str, DataFrame]) -> DataFrame:
+    """Delivered rows of all three sources against gold, quarantine and removed copies, a row each."""
+    gold_names = {"transactions": "fact_transactions", "accounts": "dim_accounts", "customers": "dim_customers"}
+    copies = {
+        "transactions": tables["work/transactions"].select("_dup_count"),
+        "accounts": silver.account_copies(tables["bronze/accounts"]),
+        "customers": silver.customer_copies(tables["bronze/customers"]),
+    }
+    out = None
+    for name, gold_name in gold_names.items():
+        removed = copies[name].agg(report.removed_duplicates(copies[name]).alias("records"))
+        one = checks.reconcile(
+            tables[f"bronze/{name}"], tables[f"gold/{gold_name}"], tables[f"quarantine/{name}"], removed, name
+        )
+        out = one if out is None else out.unionAll(one)
+    return out

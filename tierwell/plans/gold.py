@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwell import fixed_values as fv
 from tierwell.functions.keys import hashed_key
 from tierwell.functions.temporal import age_band
 from tierwell.functions.text import missing
-from tierwell.operators.linking import keep_known, mark_known
+from tierwell.operators.linking import keep_known
 from tierwell.operators.rules import RuleSet
 from tierwell.plans.silver import SILVER_TRANSACTIONS, judged_transactions
 from tierwell.schemas import DIM_ACCOUNTS, DIM_CUSTOMERS, FACT_TRANSACTIONS, conform
@@ -50,26 +50,54 @@ def account_owners(accounts: DataFrame, customers: DataFrame, key: str = "custom
     )
 
 
-def fact_transactions(silver: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Complete transactions of known accounts, with the province of the account's owner."""
-    owners = account_owners(accounts, customers)
-    return _facts(mark_known(_complete(silver), "account_id", owners, "account_id", "_account", _OWNER))
+def owned_transactions(
+    bronze: DataFrame,
+    silver_accounts: DataFrame,
+    customers: DataFrame,
+    rules: RuleSet | None = None,
+    keep: str | None = None,
+    keep_keyless: bool = True,
+    evidence: bool = True,
+) -> DataFrame:
+    """Judged transactions with the keys and the province of their owner.
+
+    One shuffle by transaction to deduplicate, one by account to find orphans and bring the owner.
+    Silver, facts and quarantine are projections and filters of this frame."""
+    owners = account_owners(silver_accounts, customers, "customer_ref")
+    return judged_transactions(bronze, owners, rules, keep, _OWNER, keep_keyless, evidence)
 
 
 def fact_from_bronze(
-    bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str = "latest"
+    bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str | None = None
 ) -> DataFrame:
-    """The same rows without a stored silver layer: one join finds orphans and brings the owner."""
-    owners = account_owners(silver_accounts, customers, "customer_ref")
-    return _facts(_complete(judged_transactions(bronze, owners, rules, keep, _OWNER, keep_keyless=False)))
+    """Facts straight from bronze, without rows that could only be rejected."""
+    return facts(owned_transactions(bronze, silver_accounts, customers, rules, keep, keep_keyless=False, evidence=False))
 
 
-def _complete(transactions: DataFrame) -> DataFrame:
-    return transactions.dropna(subset=fv.FACT_REQUIRED).filter(~missing("transaction_id"))
+def rejected_from_bronze(
+    bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str | None = None
+) -> DataFrame:
+    return rejects(owned_transactions(bronze, silver_accounts, customers, rules, keep))
+
+
+def reject_reason(columns: list[str]) -> Column:
+    """Why an owned transaction does not become a fact; NULL if it does."""
+    malformed = F.col("_malformed") if "_malformed" in columns else F.lit(False)
+    reason = (
+        F.when(malformed, F.lit("MALFORMED_LINE"))
+        .when(missing("transaction_id"), F.lit(fv.NULL_REQUIRED))
+        .when(F.col("dq_exclusion").isNotNull(), F.col("dq_exclusion"))
+        .when(F.col("_valid_account_id").isNull(), F.lit(fv.ORPHANED_ACCOUNT))
+        .when(F.col("_customer_sk").isNull(), F.lit("UNKNOWN_CUSTOMER"))
+    )
+    for name in fv.FACT_REQUIRED:
+        reason = reason.when(F.col(name).isNull(), F.lit(f"MISSING_{name.upper()}"))
+    return reason
 
 
-def _facts(owned: DataFrame) -> DataFrame:
-    keyed = owned.filter(F.col("_customer_sk").isNotNull()).withColumns(
+def facts(owned: DataFrame) -> DataFrame:
+    """Complete transactions of known accounts that no rule keeps out, with the province of the owner."""
+    keyed = owned.filter(reject_reason(owned.columns).isNull()).withColumns(
         {
             "transaction_sk": hashed_key("transaction_id"),
             "account_sk": F.col("_account_sk"),
@@ -81,29 +109,9 @@ def _facts(owned: DataFrame) -> DataFrame:
     return conform(keyed, FACT_TRANSACTIONS)
 
 
-def rejected_transactions(silver: DataFrame, silver_accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Silver transactions that do not become facts, each with its reason: exactly the rows
-    ``fact_transactions`` leaves out."""
-    owners = account_owners(silver_accounts, customers, "customer_ref")
-    owned = mark_known(silver, "account_id", owners, "account_id", "_account", _OWNER)
-    return _rejected(owned, "_account", silver.columns)
-
-
-def rejected_from_bronze(
-    bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str = "latest"
-) -> DataFrame:
-    """The same rows without a stored silver layer, again with a single join by account."""
-    owners = account_owners(silver_accounts, customers, "customer_ref")
-    owned = judged_transactions(bronze, owners, rules, keep, _OWNER)
-    return _rejected(owned, "_valid_account_id", SILVER_TRANSACTIONS)
-
-
-def _rejected(owned: DataFrame, mark: str, columns: list[str]) -> DataFrame:
-    reason = (
-        F.when(missing("transaction_id"), F.lit(fv.NULL_REQUIRED))
-        .when(F.col(mark).isNull(), F.lit(fv.ORPHANED_ACCOUNT))
-        .when(F.col("_customer_sk").isNull(), F.lit("UNKNOWN_CUSTOMER"))
-    )
-    for name in fv.FACT_REQUIRED:
-        reason = reason.when(F.col(name).isNull(), F.lit(f"MISSING_{name.upper()}"))
-    return owned.select(*columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
+def rejects(owned: DataFrame) -> DataFrame:
+    """The rows ``facts`` leaves out, each with its reason and, where a rule was broken, the delivered
+    values."""
+    judged = owned.withColumn("reason", reject_reason(owned.columns)).filter(F.col("reason").isNotNull())
+    raw = [F.col("_raw").alias("raw")] if "_raw" in owned.columns else []
+    return judged.select(*SILVER_TRANSACTIONS, *raw, "reason")

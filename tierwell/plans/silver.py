@@ -14,13 +14,16 @@ from tierwell.functions.text import code, currency, missing, text
 from tierwell.operators.dedupe import group_sizes, one_per_key
 from tierwell.operators.linking import mark_known
 from tierwell.operators.rules import RuleSet
+from tierwell.schemas import CORRUPT
 from tierwell.sources.readers import optional
 
 SILVER_TRANSACTIONS = [
     "transaction_id", "account_id", "transaction_date", "transaction_time", "transaction_timestamp",
     "transaction_type", "merchant_category", "merchant_subcategory", "amount", "currency", "channel",
-    "province", "dq_flag", "ingestion_timestamp",
+    "province", "dq_flag", "dq_exclusion", "ingestion_timestamp",
 ]
+#: What a source delivered, kept for rows that break a rule.
+RAW_EVIDENCE = ["transaction_date_raw", "transaction_time", "amount_raw", "currency_raw", CORRUPT]
 
 
 def typed_accounts(bronze: DataFrame) -> DataFrame:
@@ -92,7 +95,7 @@ def typed_transactions(bronze: DataFrame) -> DataFrame:
         code("channel").alias("channel"),
         F.trim(optional(bronze, "location.province")).alias("province"),
         F.col("ingestion_timestamp").cast("timestamp").alias("ingestion_timestamp"),
-        *([F.col("amount_is_text")] if "amount_is_text" in bronze.columns else []),
+        *[F.col(c) for c in ("amount_is_text", CORRUPT) if c in bronze.columns],
     )
     dated = read.withColumn("transaction_date", parse_date("transaction_date_raw"))
     return dated.select(
@@ -112,7 +115,7 @@ def typed_transactions(bronze: DataFrame) -> DataFrame:
         "channel",
         "province",
         "ingestion_timestamp",
-        *([F.col("amount_is_text")] if "amount_is_text" in bronze.columns else []),
+        *[F.col(c) for c in ("amount_is_text", CORRUPT) if c in bronze.columns],
     )
 
 
@@ -120,26 +123,32 @@ def judged_transactions(
     bronze: DataFrame,
     accounts: DataFrame,
     rules: RuleSet | None = None,
-    keep: str = "latest",
+    keep: str | None = None,
     carry: Sequence[str] = (),
     keep_keyless: bool = True,
+    evidence: bool = False,
 ) -> DataFrame:
     """One row per transaction with ``dq_flag``, all ``dq_issues``, ``dq_exclusion`` and the
     number of deliveries.
 
     Rules that need only the row are decided before the shuffle and travel as one integer, so the
     raw text does not.  Transactions without an id are all kept, each on its own, unless the caller
-    has no use for them.  ``carry`` names
-    columns of ``accounts`` that the one join against them brings along."""
+    has no use for them.  ``keep`` says which delivery stays, by default what the rules' handling of
+    duplicates says.  ``carry`` names columns of ``accounts`` that the one join against them brings
+    along.  With ``evidence`` rows that break a rule of their own carry the delivered values as JSON in
+    ``_raw``, and ``_malformed`` tells lines that were no record at all."""
     rules = rules or RuleSet.default()
     typed = typed_transactions(bronze)
-    slim = [c for c in SILVER_TRANSACTIONS if c not in ("dq_flag", "currency")]
-    decided = typed.select(*slim, rules.row_bits(typed.columns).alias("_bits"))
+    slim = [c for c in SILVER_TRANSACTIONS if c not in ("dq_flag", "dq_exclusion", "currency")]
+    decided = typed.select("*", rules.row_bits(typed.columns).alias("_bits"))
+    malformed = optional(typed, CORRUPT).isNotNull()
+    raw = F.when((F.col("_bits") != 0) | malformed, F.to_json(F.struct(*[c for c in RAW_EVIDENCE if c in typed.columns])))
+    decided = decided.select(*slim, "_bits", *([raw.alias("_raw"), malformed.alias("_malformed")] if evidence else []))
     single = one_per_key(
         decided,
         "transaction_id",
         ["ingestion_timestamp", "transaction_timestamp"],
-        keep=keep,
+        keep=keep or rules.keep,
         count_as="_dup_count",
         keep_keyless=keep_keyless,
     ).withColumn("currency", F.lit(fv.CURRENCY))
@@ -148,7 +157,7 @@ def judged_transactions(
 
 
 def silver_transactions(
-    bronze: DataFrame, accounts: DataFrame, rules: RuleSet | None = None, keep: str = "latest"
+    bronze: DataFrame, accounts: DataFrame, rules: RuleSet | None = None, keep: str | None = None
 ) -> DataFrame:
     return judged_transactions(bronze, accounts, rules, keep).select(*SILVER_TRANSACTIONS)
 
@@ -176,3 +185,23 @@ def rejected_customers(bronze: DataFrame) -> DataFrame:
     """Customer records without a key."""
     typed = typed_customers(bronze)
     return typed.filter(missing("customer_id")).withColumn("reason", F.lit(fv.NULL_REQUIRED))
+
+
+def customer_copies(bronze: DataFrame) -> DataFrame:
+    """How often every customer was delivered."""
+    return group_sizes(typed_customers(bronze), "customer_id", "_dup_count")
+
+
+#: The dates of the other two sources.
+ACCOUNT_DATES = ["open_date", "last_activity_date"]
+CUSTOMER_DATES = ["dob"]
+
+
+def unreadable_dates(bronze: DataFrame, key: str, fields: Sequence[str], rules: RuleSet | None = None) -> DataFrame:
+    """``(key, field, raw)`` of every date of a source that breaks the date rule."""
+    rules = rules or RuleSet.default()
+    raw_name, parsed_name = "transaction_date_raw", "transaction_date"
+    pairs = [F.struct(F.lit(f).alias("field"), text(f).alias(raw_name), parse_date(f).alias(parsed_name)) for f in fields]
+    rows = bronze.select(text(key).alias("key"), F.inline(F.array(*pairs)))
+    plain = rules.changed(**{fv.DATE_FORMAT: {"source_field": raw_name, "parsed_field": parsed_name}})
+    return rows.filter(plain.predicate(fv.DATE_FORMAT, rows.columns)).select("key", "field", F.col(raw_name).alias("raw"))

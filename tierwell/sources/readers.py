@@ -56,6 +56,21 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType
     return _json_options(spark.read.schema(schema)).json(path)
 
 
+def read_jsonl_as_delivered(
+    spark: SparkSession, path: str | list[str], field: str = "amount", schema: T.StructType = RAW_TRANSACTIONS
+) -> DataFrame:
+    """JSON lines with ``<field>_is_text``: whether the line had the field as a string.
+
+    The field is read as a variant, which remembers its kind, so every line is still parsed once."""
+    kinds = [T.StructField(f.name, T.VariantType() if f.name == field else f.dataType) for f in schema.fields]
+    found = read_jsonl(spark, path, T.StructType(kinds))
+    value = F.col(field)
+    return found.select(
+        *[F.variant_get(value, "$", "string").alias(c) if c == field else F.col(c) for c in found.columns],
+        F.coalesce(F.schema_of_variant(value) == F.lit("STRING"), F.lit(False)).alias(f"{field}_is_text"),
+    )
+
+
 def stream_jsonl(
     spark: SparkSession,
     folder: str,
