@@ -134,6 +134,7 @@ def test_a_repeated_batch_replaces_its_own_output(spark, tmp_path):
         F.lit("2026-03-20 10:00:00").cast("timestamp").alias("last_transaction_timestamp"),
         F.lit("2026-03-20 10:00:00").cast("timestamp").alias("updated_at"),
     )
+    rows = rows.withColumn("seed", F.lit(None).cast("decimal(18,2)"))
     live.balances.append(rows, 0)
     live.balances.append(rows, 0)
     live.balances.compact()
@@ -242,3 +243,27 @@ def test_repeats_of_seen_events_count_once(spark, many):
     half = ev.upsert_balances(start, frame(many[:150]), accounts(spark), at)
     two = ev.upsert_balances(half, frame(many[100:]), accounts(spark), at, seen=frame(many[:150]))
     assert balances(one) == balances(two)
+
+
+def test_seeds_stay_and_tables_are_published(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    deliver(folder, 1, [event("1", "A", 0, 5), event("2", "Z", 0, 1), event("3", "A", 0, "n/a"), event("", "A", 0)])
+    (folder / "stream_broken.jsonl").write_text('{"account_id": "A", "tran\n')
+    live = LiveTables(spark, str(tmp_path / "out"))
+    live.drain(str(folder), clock=lambda: WRITTEN, accounts=accounts(spark))
+    assert balances(live.current_balances()) == {"A": ("95.00", "00:00"), "Z": ("-1.00", "00:00")}
+    assert sorted(r["reason"] for r in live.rejected_events().collect()) == ["MALFORMED_LINE", "MISSING_AMOUNT", "NULL_REQUIRED"]
+    refreshed = spark.createDataFrame([("A", "95.00"), ("Z", "7.00")], "account_id string, current_balance string")
+    for n in range(2, 6):
+        deliver(folder, n, [event(str(n * 10), "A", n, 1)])
+        live.drain(str(folder), clock=lambda: WRITTEN, accounts=refreshed)
+        live.compact()
+    assert balances(live.current_balances(refreshed)) == {"A": ("91.00", "00:05"), "Z": ("-1.00", "00:00")}
+    paths = live.publish()
+    table = spark.read.parquet(paths["current_balances"])
+    assert schemas.differences(table, schemas.CURRENT_BALANCES) == [] and balances(table)["A"] == ("91.00", "00:05")
+    assert schemas.differences(spark.read.parquet(paths["recent_transactions"]), schemas.RECENT_TRANSACTIONS) == []
+    # Neither the folders of old batches nor their marks are kept for ever.
+    assert len(list((tmp_path / "out/current_balances/log").glob("id=*"))) <= 2
+    assert len(list((tmp_path / "out/current_balances/published-log").glob("id=*"))) <= 2

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from tierwell.catalogue.registry import query
 from tierwell.catalogue.roles import FIRST_WRITE, HALFWAY, SECOND_WRITE, Roles
-from tierwell.catalogue.sql import shown, sql
+from tierwell.catalogue.sql import parsed_date, shown, sql
 from tierwell.functions.temporal import latency_seconds, sla_class
 from tierwell.schemas import CURRENT_BALANCES
-from tierwell.sources.readers import empty
+from tierwell.sources.readers import empty, read_table
 from tierwell.sources.shared import fresh_path, stored
 from tierwell.streaming import events as ev
 from tierwell.streaming.live import LiveTables
@@ -184,6 +184,34 @@ def _live(roles: Roles, **settings) -> LiveTables:
     return live
 
 
+@query(
+    "stream_rejects",
+    sql(
+        """SELECT nullif(trim(transaction_id), '') AS record_key, trim(account_id) AS account_id, amount AS delivered_amount,
+            CASE WHEN coalesce(trim(account_id), '') = '' OR coalesce(trim(transaction_id), '') = '' THEN 'NULL_REQUIRED'
+                WHEN day IS NULL OR NOT coalesce(regexp_full_match(trim(transaction_time), '\\d{2}:\\d{2}:\\d{2}'), false)
+                    THEN 'MISSING_TRANSACTION_TIMESTAMP'
+                WHEN TRY_CAST(amount AS DECIMAL(18,2)) IS NULL THEN 'MISSING_AMOUNT' ELSE 'MISSING_TRANSACTION_TYPE' END AS reason
+        FROM (SELECT *, """
+        + parsed_date("transaction_date")
+        + """ AS day FROM stream_raw)
+        WHERE coalesce(trim(account_id), '') = '' OR coalesce(trim(transaction_id), '') = '' OR day IS NULL
+            OR NOT coalesce(regexp_full_match(trim(transaction_time), '\\d{2}:\\d{2}:\\d{2}'), false)
+            OR TRY_CAST(amount AS DECIMAL(18,2)) IS NULL OR transaction_type IS NULL""",
+        "stream_raw",
+    ),
+)
+def _(spark, folder):
+    """What the stream leaves out, with fields read back from the records as delivered."""
+    found = ev.rejected_events(Roles(spark, folder).stream_raw)
+    return found.select(
+        "record_key",
+        F.trim(F.get_json_object("record", "$.account_id")).alias("account_id"),
+        F.get_json_object("record", "$.amount").alias("delivered_amount"),
+        "reason",
+    )
+
+
 @query(
     "live_current_balances",
     sql(
@@ -199,8 +227,9 @@ def _live(roles: Roles, **settings) -> LiveTables:
 )
 def _(spark, folder):
     roles = Roles(spark, folder)
-    live = _live(roles, tables=["current_balances"])
-    return live.current_balances(roles.stream_accounts).drop("updated_at")
+    live = _live(roles, tables=["current_balances"], accounts=roles.stream_accounts)
+    path = live.publish()["current_balances"]
+    return read_table(spark, path).drop("updated_at")
 
 
 @query(
@@ -213,4 +242,4 @@ def _(spark, folder):
 )
 def _(spark, folder):
     live = _live(Roles(spark, folder), tables=["recent_transactions"])
-    return live.recent_transactions().drop("updated_at")
+    return read_table(spark, live.publish()["recent_transactions"]).drop("updated_at")

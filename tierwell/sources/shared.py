@@ -29,6 +29,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder of any file system Spark reaches; nothing if there is none."""
+    system, at = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(at)) if system.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written."""
+    system, at = _folder(spark, path)
+    system.delete(at, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, for frames with several readers."""
     path = fresh_path(df.sparkSession, label)

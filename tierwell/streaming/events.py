@@ -6,6 +6,8 @@ change a result."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,14 @@ from tierwell.functions.temporal import compose_timestamp, parse_date
 from tierwell.functions.text import code, missing, text
 from tierwell.operators.dedupe import newest_per_key, one_per_key
 from tierwell.operators.linking import keep_known
-from tierwell.schemas import CURRENT_BALANCES, RECENT_TRANSACTIONS, conform
+from tierwell.schemas import CORRUPT, CURRENT_BALANCES, RECENT_TRANSACTIONS, conform
+from tierwell.sources.readers import optional
 
 EVENT_KEY = ["account_id", "transaction_id"]
 EVENT_ORDER = ["transaction_timestamp", "updated_at"]
 
 
-def typed_events(raw: DataFrame) -> DataFrame:
+def typed_events(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     dated = raw.withColumn("transaction_date", parse_date("transaction_date"))
     return dated.select(
         text("account_id").alias("account_id"),
@@ -30,6 +33,7 @@ def typed_events(raw: DataFrame) -> DataFrame:
         money("amount").alias("amount"),
         code("transaction_type").alias("transaction_type"),
         code("channel").alias("channel"),
+        *carry,
     )
 
 
@@ -46,6 +50,22 @@ def valid_events(raw: DataFrame) -> DataFrame:
     return typed_events(raw).filter(is_valid()).withColumn("signed_amount", signed("amount", "transaction_type"))
 
 
+def rejected_events(raw: DataFrame) -> DataFrame:
+    """The events ``valid_events`` leaves out, each with its reason and as it was delivered."""
+    kept = raw.withColumn("_record", F.to_json(F.struct(*raw.columns))).withColumn("_malformed", optional(raw, CORRUPT).isNotNull())
+    reason = (
+        F.when(F.col("_malformed"), "MALFORMED_LINE")
+        .when(missing("account_id") | missing("transaction_id"), F.lit(fv.NULL_REQUIRED))
+        .when(F.col("transaction_timestamp").isNull(), "MISSING_TRANSACTION_TIMESTAMP")
+        .when(F.col("amount").isNull(), "MISSING_AMOUNT")
+        .when(F.col("transaction_type").isNull(), "MISSING_TRANSACTION_TYPE")
+    )
+    judged = typed_events(kept, ["_record", "_malformed"]).withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return judged.select(
+        F.lit("stream").alias("source"), F.col("transaction_id").alias("record_key"), "reason", F.col("_record").alias("record")
+    )
+
+
 def known_events(events: DataFrame, accounts: DataFrame) -> DataFrame:
     """Events of accounts that exist."""
     return keep_known(events, "account_id", accounts, "account_id")

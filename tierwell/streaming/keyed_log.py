@@ -2,9 +2,12 @@
 
 A micro-batch writes only the rows it touched, into a folder named by its batch id, so a retried
 batch replaces its own output.  A folder counts only once its id has been published, which happens
-after the write has succeeded.  Reading folds base and newer batches with the table's own reducer;
-``compact`` stores that fold as the next base.  Nothing is ever changed in place, so readers,
-retries and lost executors do not disturb each other."""
+after the write has succeeded.  Reading folds the base and the published batches after it with the
+table's own reducer; ``compact`` stores that fold as the next base.  Nothing is ever changed in place.
+
+What a compaction has folded is deleted by the next one, and of the published ids the newest two are
+kept.  So a reader looks at what has come since the base, however long the table has been running,
+and has from one compaction to the next but one to finish."""
 
 from __future__ import annotations
 
@@ -14,11 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwell.sources.readers import empty, read_or_empty
+from tierwell.sources.readers import empty
+from tierwell.sources.shared import names_in, remove
 from tierwell.sources.sinks import overwrite
 
-_PUBLISHED = T.StructType([T.StructField("kind", T.StringType()), T.StructField("id", T.LongType())])
-
 
 class KeyedLog:
     def __init__(
@@ -35,11 +37,16 @@ class KeyedLog:
         self._publish("log", batch)
 
     def compact(self) -> int | None:
-        """Fold everything published so far into a new base."""
-        newest = self._newest("log")
-        if newest is not None and newest != self._newest("base"):
+        """Fold everything published so far into a new base, and delete what the one before replaced."""
+        newest, former = self._newest("log"), self._newest("base")
+        if newest is not None and newest != former:
             overwrite(self._fold(newest), f"{self.root}/base/id={newest}")
             self._publish("base", newest)
+            if former is not None:
+                for kind, last in (("log", former), ("base", former - 1)):
+                    for number in self._ids(kind):
+                        if number <= last:
+                            remove(self.spark, f"{self.root}/{kind}/id={number}")
         return newest
 
     def read(self) -> DataFrame:
@@ -49,24 +56,36 @@ class KeyedLog:
             return empty(self.spark, self.schema)
         return self._fold(newest).select(*self.schema.fieldNames())
 
+    def newest(self) -> int | None:
+        """The last published batch."""
+        return self._newest("log")
+
     def _fold(self, newest: int) -> DataFrame:
         base = self._newest("base")
-        log = self._stored("log").filter(F.col("id") <= newest)
-        if base is None:
-            return self.fold(log.drop("id"))
-        newer = log.filter(F.col("id") > base).drop("id")
-        return self.fold(self._stored("base").filter(F.col("id") == base).drop("id").unionByName(newer))
+        after = -1 if base is None else base
+        paths = [f"{self.root}/log/id={k}" for k in self._ids("log") if after < k <= newest]
+        paths += [] if base is None else [f"{self.root}/base/id={base}"]
+        return self.fold(self.spark.read.schema(self.stored).parquet(*paths))
 
-    def _stored(self, kind: str) -> DataFrame:
-        with_id = T.StructType([*self.stored.fields, T.StructField("id", T.LongType())])
-        return read_or_empty(self.spark, f"{self.root}/{kind}", with_id)
+    def _ids(self, kind: str) -> list[int]:
+        """The folders of a kind: those since the last compaction but one."""
+        names = names_in(self.spark, f"{self.root}/{kind}")
+        return sorted(int(n.removeprefix("id=")) for n in names if n.startswith("id="))
 
     def _publish(self, kind: str, number: int) -> None:
-        row = self.spark.createDataFrame([(kind, number)], _PUBLISHED)
-        overwrite(row.coalesce(1), f"{self.root}/published/{kind}-{number}")
+        folder = f"{self.root}/published-{kind}"
+        row = self.spark.createDataFrame([(number,)], "id long")
+        overwrite(row.coalesce(1), f"{folder}/id={number}")
+        for old in self._published(kind)[:-2]:
+            remove(self.spark, f"{folder}/id={old}")
+
+    def _published(self, kind: str) -> list[int]:
+        """Published ids, oldest first: folders whose write has been committed, a handful at most."""
+        folder = f"{self.root}/published-{kind}"
+        names = [n for n in names_in(self.spark, folder) if n.startswith("id=")]
+        done = [n for n in names if "_SUCCESS" in names_in(self.spark, f"{folder}/{n}")]
+        return sorted(int(n.removeprefix("id=")) for n in done)
 
     def _newest(self, kind: str) -> int | None:
-        """The newest published id: one number, from one tiny file per batch."""
-        path = f"{self.root}/published/{kind}-*"
-        published = read_or_empty(self.spark, path, _PUBLISHED)
-        return published.agg(F.max("id")).first()[0]
+        found = self._published(kind)
+        return found[-1] if found else None

@@ -1,8 +1,9 @@
 """Balances and recent transactions kept current from a folder of event files.
 
-Two Structured Streaming queries read the same folder, each with its own checkpoint: files are
-remembered there, so a restart neither skips nor repeats one.  There is no watermark, because late
-events must count."""
+Structured Streaming queries, one a table, read the same folder, each with its own checkpoint: files
+are remembered there by name, whatever time they are stamped with, so a restart neither skips nor
+repeats one.  There is no watermark, because late events must count.  Events that cannot count go to
+a table of their own."""
 
 from __future__ import annotations
 
@@ -18,19 +19,22 @@ from tierwell import fixed_values as fv
 from tierwell.functions.money import balance, signed, zero
 from tierwell.schemas import CURRENT_BALANCES, RECENT_TRANSACTIONS, conform
 from tierwell.sources.readers import stream_jsonl
-from tierwell.streaming.events import EVENT_KEY, as_recent, impact, keep_recent, valid_events
+from tierwell.sources.sinks import overwrite
+from tierwell.streaming.events import EVENT_KEY, as_recent, impact, keep_recent, rejected_events, valid_events
 from tierwell.streaming.keyed_log import KeyedLog
 
 Clock = Callable[[], datetime]
-TABLES = ("current_balances", "recent_transactions")
+TABLES = ("current_balances", "recent_transactions", "rejected_events")
 _CHANGE = T.StructType(
     [
         T.StructField("account_id", T.StringType()),
         T.StructField("delta_sum", T.DecimalType(18, 2)),
         T.StructField("last_transaction_timestamp", T.TimestampType()),
         T.StructField("updated_at", T.TimestampType()),
+        T.StructField("seed", T.DecimalType(18, 2)),
     ]
 )
+_REJECT = T.StructType([T.StructField(n, T.StringType()) for n in ("source", "record_key", "reason", "record")])
 
 
 def _added_up(rows: DataFrame) -> DataFrame:
@@ -38,6 +42,8 @@ def _added_up(rows: DataFrame) -> DataFrame:
         F.sum("delta_sum").cast(fv.MONEY).alias("delta_sum"),
         F.max("last_transaction_timestamp").alias("last_transaction_timestamp"),
         F.max("updated_at").alias("updated_at"),
+        # The balance an account started from when it was first touched, whatever it is later on.
+        F.min_by("seed", F.when(F.col("seed").isNotNull(), F.col("batch"))).alias("seed"),
         F.max("batch").alias("batch"),
     )
 
@@ -74,7 +80,7 @@ def _now() -> datetime:
 
 
 class LiveTables:
-    """The two tables below ``root``.  ``root`` must be reachable by every executor."""
+    """The tables below ``root``.  ``root`` must be reachable by every executor."""
 
     def __init__(self, spark: SparkSession, root: str, limit: int = fv.RECENT_LIMIT):
         self.spark, self.root, self.limit = spark, root.rstrip("/"), limit
@@ -85,23 +91,39 @@ class LiveTables:
         self.recent = KeyedLog(
             spark, f"{self.root}/recent_transactions", RECENT_TRANSACTIONS, lambda rows: keep_recent(rows, limit)
         )
+        self.rejects = KeyedLog(spark, f"{self.root}/rejected_events", _REJECT, lambda rows: rows)
 
     # -- reading -----------------------------------------------------------------------------
 
-    def current_balances(self, accounts: DataFrame, keep_orphans: bool = True) -> DataFrame:
+    def current_balances(self, accounts: DataFrame | None = None, keep_orphans: bool = True) -> DataFrame:
         """One row per account with events: its starting balance plus all effects.
 
-        Accounts unknown to ``accounts`` start from zero, or are left out."""
+        An account starts from the balance stored when it was first touched (see ``start``), else from
+        its balance in ``accounts``, else from zero.  With ``keep_orphans`` off, accounts unknown to
+        ``accounts`` are left out."""
+        if accounts is None:
+            total = (balance("seed") + F.coalesce("delta_sum", zero())).cast(fv.MONEY)
+            return conform(self.balances.read().withColumn("current_balance", total), CURRENT_BALANCES)
         seeds = accounts.select(F.col("account_id").alias("_seed_account"), F.col("current_balance").alias("_seed"))
         joined = self.balances.read().join(
             seeds, F.col("account_id") == F.col("_seed_account"), "left" if keep_orphans else "inner"
         )
-        total = (balance("_seed") + F.coalesce("delta_sum", zero())).cast(fv.MONEY)
+        total = (balance("seed", "_seed") + F.coalesce("delta_sum", zero())).cast(fv.MONEY)
         return conform(joined.withColumn("current_balance", total), CURRENT_BALANCES)
 
     def recent_transactions(self) -> DataFrame:
         return self.recent.read()
 
+    def rejected_events(self) -> DataFrame:
+        """Events that could not count, each as delivered and with its reason."""
+        return self.rejects.read()
+
+    def publish(self, accounts: DataFrame | None = None, fmt: str = "parquet") -> dict[str, str]:
+        """Write both tables as of the last micro-batch, in their specified schemas, for any reader of
+        files; the path of each.  An older state stays where it is."""
+        tables = {"current_balances": (self.balances, self.current_balances(accounts)), "recent_transactions": (self.recent, self.recent_transactions())}
+        return {name: overwrite(df, f"{self.root}/tables/{name}/batch={log.newest()}", fmt) for name, (log, df) in tables.items() if log.newest() is not None}
+
     # -- running -----------------------------------------------------------------------------
 
     def start(
@@ -113,13 +135,15 @@ class LiveTables:
         every: str | None = None,
         glob: str = fv.STREAM_FILE_GLOB,
         tables: Sequence[str] = TABLES,
+        accounts: DataFrame | None = None,
     ) -> list[StreamingQuery]:
         """Start the queries for ``tables``: over what is there now, or with ``every`` (e.g.
         "30 seconds") for good.
 
         A repeated delivery of an (account, transaction) counts once; with ``count_repeats`` each
         delivery counts.  Copies are taken to carry the same amount: what counts is the newest of those
-        in the first micro-batch that brings one."""
+        in the first micro-batch that brings one.  With ``accounts`` an account's balance there is stored
+        when it is first touched (zero if it has none), so that later states of ``accounts`` change nothing."""
         session = self._session()
 
         def append(log: KeyedLog, prepare: Callable[[DataFrame], DataFrame]):
@@ -141,7 +165,15 @@ class LiveTables:
             trigger = {"processingTime": every} if every else {"availableNow": True}
             return writer.trigger(**trigger).start()
 
-        events = valid_events(stream_jsonl(session, folder, files_per_batch=files_per_batch, glob=glob))
+        raw = stream_jsonl(session, folder, files_per_batch=files_per_batch, glob=glob)
+        events = valid_events(raw)
+
+        def seeded(change: DataFrame) -> DataFrame:
+            if accounts is None:
+                return change.withColumn("seed", F.lit(None).cast(fv.MONEY))
+            seeds = accounts.select(F.col("account_id").alias("_seed_account"), F.col("current_balance").alias("_seed"))
+            return change.join(seeds, F.col("account_id") == F.col("_seed_account"), "left").withColumn("seed", balance("_seed"))
+
         starts = {
             "current_balances": lambda name: run(
                 name,
@@ -149,7 +181,7 @@ class LiveTables:
                 "append" if count_repeats else "update",
                 append(
                     self.balances,
-                    lambda b: impact(b if count_repeats else _change(b)).withColumn("updated_at", stamp()),
+                    lambda b: seeded(impact(b if count_repeats else _change(b))).withColumn("updated_at", stamp()),
                 ),
             ),
             "recent_transactions": lambda name: run(
@@ -158,6 +190,7 @@ class LiveTables:
                 "append",
                 append(self.recent, lambda b: keep_recent(as_recent(b, stamp()), self.limit)),
             ),
+            "rejected_events": lambda name: run(name, rejected_events(raw), "append", append(self.rejects, lambda b: b)),
         }
         return [starts[name](name) for name in tables]
 
@@ -167,8 +200,8 @@ class LiveTables:
             query.awaitTermination()
 
     def compact(self) -> None:
-        self.balances.compact()
-        self.recent.compact()
+        for log in (self.balances, self.recent, self.rejects):
+            log.compact()
 
     def _session(self) -> SparkSession:
         """A sibling session whose state store keeps keys on disk, so state may exceed memory."""
