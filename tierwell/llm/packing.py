@@ -129,6 +129,11 @@ class ChunkEncoder:
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
+def _forget() -> None:
+    """Give up what this process remembers, once its tasks no longer tokenise."""
+    _ENCODERS.clear()
+
+
 def _encoder(vocabulary: str) -> ChunkEncoder:
     if vocabulary not in _ENCODERS:
         _ENCODERS.clear()
@@ -284,6 +289,7 @@ def plan(histogram: dict[int, int], units: int, depth: int = DEPTH) -> Plan:
 
 def _placed(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         for batch in batches:
             sequence, slot, last = shared.value.place(np.asarray(batch.column("bin")), np.asarray(batch.column("rank")))
             yield pa.RecordBatch.from_arrays(
@@ -325,6 +331,7 @@ def _greedy(window: int, total: int):
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a piece, with its ids."""
+    _forget()
     for batch in batches:
         for begin in range(0, batch.num_rows, 256):
             part = batch.slice(begin, 256)
