@@ -13,13 +13,37 @@ def db():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.oracle_sql()))
 def test_query_equals_its_sql(spark, db, name):
     ok, note = compare(spark, db, SMALL, name)
     assert ok, note
     assert "TYPES" not in note, note
 
 
+def test_every_library_query_has_its_sql():
+    from tierwell.catalogue import ENTRIES
+
+    assert set(ENTRIES) <= set(contract.oracle_sql())
+
+
+def test_the_rest_stands_without_the_operators_for_training_data():
+    """Nothing else imports them, and the contract does without them."""
+    import subprocess
+    import sys
+
+    code = """
+import importlib.abc, sys
+class Gone(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path=None, target=None):
+        if name.startswith("tierwell.llm") or name == "corpus_pipeline":
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+assert "q1_volume_by_type" in e.queries() and not any(n.startswith("op") or n == "pipeline" for n in e.queries())
+"""
+    assert subprocess.run([sys.executable, "-c", code], timeout=120).returncode == 0
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
