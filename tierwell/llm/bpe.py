@@ -21,9 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwell.llm.common import BLOCK, text_slices
+from tierwell.llm.common import text_slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Characters encoded at once.
+BLOCK = 1 << 19
 #: Slices a process remembers; then it starts anew.
 CACHED = 200_000
 #: Longer slices are merged one by one with a heap.
@@ -392,7 +394,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            for start, texts in text_slices(batch.column("text")):
+            for start, texts in text_slices(batch.column("text"), BLOCK):
                 found = encode_texts(encoder, texts)
                 places = [np.cumsum(encoder.vocabulary.sizes[f]) - encoder.vocabulary.sizes[f] for f in found]
                 yield pa.RecordBatch.from_arrays(

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Characters handled at once by one Python worker; bounds its memory for texts of any length.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 
 
 def fold_is(doc_id: str, remainder: int, folds: int = 3) -> Column:

@@ -95,7 +95,7 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, share: f
         curve = float(np.linalg.norm(step)) or 1.0
         probe = step / curve
     rate = 1.0 / (0.3 * curve + PENALTY)
-    for turn in range(1, 601):
+    for turn in range(1, 301):
         margin = np.bincount(owner, values * ahead[indices], minlength=n) + ahead_bias
         miss = each * (1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60))) - labels)
         grad = np.bincount(indices, values * miss[owner], minlength=k) + PENALTY * ahead
