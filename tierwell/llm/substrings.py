@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwell.sources.shared import stored
@@ -322,7 +322,10 @@ def _covered(places: list[dict], length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _remove(length: int):
+def _remove(length: int, as_text: bool):
+    def shown(kept: list[bytes]) -> pa.Array:
+        return pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
@@ -337,17 +340,18 @@ def _remove(length: int):
                     spans.append([{"start": a, "stop": b} for a, b in runs])
                 keep = [c for c in part.schema.names if c not in ("text", "places")]
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, kind)], names=[*keep, "n_bytes", "kept", "spans"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(sizes, pa.int64()), shown(kept), pa.array(spans, kind)], names=[*keep, "n_bytes", "kept", "spans"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, as_text: bool = False) -> DataFrame:
     """row (all columns of ``docs`` but text, as a struct), missing (text is null), n_bytes, kept (the bytes left), spans (removed
     [start, stop) runs) for every row of ``docs`` (doc_id, text, ...).
 
     Every byte under a string of ``length`` UTF-8 bytes that also begins elsewhere, in any row or the
-    same one, is removed, all occurrences alike; strings are judged on the input.  Texts shorter than
+    same one, is removed, all occurrences alike; strings are judged on the input.  With ``as_text`` the
+    bytes left come as text, without those that are no whole character.  Texts shorter than
     that, null and empty ones stay as they are (null as empty).  Repeated rows repeat each other.
     Ids may be null or repeated; further columns are carried along whatever their names."""
     row = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
@@ -356,7 +360,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     by_text = places.groupBy("doc", "print").agg(F.collect_list(F.struct("first", "last")).alias("places"))
     joined = own.join(by_text.hint("shuffle_hash"), ["doc", "print"], "left").select("row", "missing", "text", "places")
     kind = own.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_remove(length), f"row {kind}, missing boolean, n_bytes long, kept binary, spans array<struct<start:long,stop:long>>")
+    return joined.mapInArrow(_remove(length, as_text), f"row {kind}, missing boolean, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,stop:long>>")
 
 
 def digest(removed: DataFrame) -> DataFrame:
@@ -367,17 +371,7 @@ def digest(removed: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with repeats removed from text, all columns kept; a character that a cut
     splits goes whole, ``n_chars`` follows where there is one, null texts stay null."""
-    left = F.when(~F.col("missing"), decoded(F.col("kept")))
-    texts = remove_repeats(docs).select("row", left.alias("text"))
+    left = F.when(~F.col("missing"), F.col("kept"))
+    texts = remove_repeats(docs, as_text=True).select("row", left.alias("text"))
     columns = [F.col("text") if c == "text" else F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns]
     return texts.select(*columns)
-
-
-def decoded(kept: Column) -> Column:
-    """Bytes as text, without the bytes that are no whole character."""
-
-    @F.arrow_udf("string")
-    def decode(bodies: pa.Array) -> pa.Array:
-        return pa.array([b.decode("utf-8", "ignore") for b in bodies.to_pylist()], pa.string())
-
-    return decode(kept)
