@@ -94,6 +94,32 @@ def test_block_layout_covers_every_pair():
         assert blocks - agree >= simhash.RADIUS and 64 // blocks >= bits
 
 
+def edited(rng, words, times):
+    words = list(words)
+    for _ in range(times):
+        words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("chunk", [512, 8])
+def test_near_duplicates_of_the_pipeline_by_brute_force(spark, chunk):
+    """Five-word shingles at a Jaccard similarity of 0.8 or more; with small chunks, cells are split."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(25):
+        base = [f"w{rng.randrange(900)}" for _ in range(rng.randint(60, 300))]
+        texts += [" ".join(base)] + [edited(rng, base, rng.randint(0, len(base) // 30)) for _ in range(3)] + [edited(rng, base, len(base) // 12)]
+    common = [f"c{i}" for i in range(200)]
+    texts += [edited(rng, common, 1) for _ in range(40)] + [" ".join(common[:100] + [f"d{i}x{k}" for k in range(150)]) for i in range(20)]
+    texts += [None, "", " ", "a b", "A  b", "a b c"]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for t in texts)]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert len(near) > 800
+    group = roots(len(texts), near)
+    got = sorted(r["doc_id"] for r in simhash.keep_one_each(documents(spark, texts), chunk).collect())
+    assert got == sorted({g: i for i, g in reversed(list(enumerate(group)))}.values())
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 1, *["x"] * N_CLASHING) for i, v in rows], f"vec_id long, embedding array<float>, label_no int, {CLASHING}")
 
