@@ -30,12 +30,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id."""
+    """Of each group of documents alike to 0.8 or more in runs of five words the one with the smallest id."""
     return keep_one_each(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that occur more than once."""
+    """All documents, without the passages of over 50 words that occur more than once."""
     return drop_repeats(docs)
 
 

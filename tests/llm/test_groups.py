@@ -232,6 +232,25 @@ def test_repeated_passages_of_400_bytes(spark):
     assert all((r["text"] is None) == (r["doc_id"] == 1) and r["n_chars"] == len(r["text"] or "") for r in left.collect())
 
 
+def test_repeats_of_over_50_words_are_dropped(spark):
+    """Words as units, by brute force; short words, so that 51 of them stay far below 400 bytes."""
+    rng = random.Random(6)
+
+    def prose(n):
+        return [f"{rng.randrange(4000):x}" for _ in range(n)]
+
+    caught, spared = prose(51), prose(50)
+    texts = [prose(80) + caught + prose(30), prose(10) + caught + prose(90), prose(40) + spared + prose(70), prose(5) + spared, prose(20) + (again := prose(70)) + prose(9) + again, prose(300), []]
+    seen = collections.Counter(tuple(t[i : i + 51]) for t in texts for i in range(len(t) - 50))
+    gone = [{k for i in range(len(t) - 50) if seen[tuple(t[i : i + 51])] > 1 for k in range(i, i + 51)} for t in texts]
+    assert [len(g) for g in gone] == [51, 51, 0, 0, 140, 0, 0]
+    # Blanks differ between the copies.
+    left = substrings.drop_repeats(documents(spark, [(" \n" if i % 2 else " ").join(t) for i, t in enumerate(texts)])).collect()
+    for r in left:
+        assert r["text"].split() == [w for k, w in enumerate(texts[r["doc_id"]]) if k not in gone[r["doc_id"]]]
+        assert r["n_chars"] == len(r["text"])
+
+
 def test_both_orders_equal_pairs():
     rng = random.Random(9)
     for n in (2, 5, 40):

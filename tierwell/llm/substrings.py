@@ -16,6 +16,7 @@ falls into the same class in both orders, at the depths to which it reaches left
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,9 @@ from tierwell.sources.shared import stored
 
 LENGTH = 400
 GRAM = 48
+#: Shortest passage that drop_repeats takes for a repeat, in words, and the bytes of a word's hash.
+WORDS = 51
+TOKEN = 4
 #: Bytes parsed at once.
 CHUNK = 1 << 19
 #: Distinct phrases of one trigger that are compared in memory; beyond, strings are grouped by Spark.
@@ -322,7 +326,29 @@ def _covered(places: list[dict], length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _remove(length: int, as_text: bool):
+_WORD = re.compile(rb"\S+")
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text as the hashes of its words, TOKEN bytes each."""
+    digest = xxhash.xxh3_64_digest
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 256):
+            part = batch.slice(begin, 256)
+            found = [b"".join([digest(w)[:TOKEN] for w in bytes(t.as_buffer() or b"").split()]) for t in part.column("text")]
+            yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("print"), pa.array(found, pa.binary())], names=["doc", "print", "text"])
+
+
+def _bytes_of_words(body: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of token bytes as runs of the text's bytes, from the first word's start to the last one's end."""
+    if not runs:
+        return []
+    words = [m.span() for m in _WORD.finditer(body)]
+    whole = [(-(-a // TOKEN), b // TOKEN) for a, b in runs]
+    return [(words[a][0], words[b - 1][1]) for a, b in whole if a < b]
+
+
+def _remove(length: int, as_text: bool, by_words: bool = False):
     def shown(kept: list[bytes]) -> pa.Array:
         return pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
 
@@ -334,6 +360,8 @@ def _remove(length: int, as_text: bool):
                 for text, places in zip(part.column("text"), part.column("places").to_pylist(), strict=True):
                     body = memoryview(text.as_buffer() or b"")
                     runs = _covered(places or [], length)
+                    if by_words:
+                        runs = _bytes_of_words(bytes(body), runs)
                     edges = [0, *itertools.chain.from_iterable(runs), len(body)]
                     kept.append(b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                     sizes.append(len(body))
@@ -345,7 +373,7 @@ def _remove(length: int, as_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, as_text: bool = False, by_words: bool = False) -> DataFrame:
     """row (all columns of ``docs`` but text, as a struct), missing (text is null), n_bytes, kept (the bytes left), spans (removed
     [start, stop) runs) for every row of ``docs`` (doc_id, text, ...).
 
@@ -353,14 +381,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     same one, is removed, all occurrences alike; strings are judged on the input.  With ``as_text`` the
     bytes left come as text, without those that are no whole character.  Texts shorter than
     that, null and empty ones stay as they are (null as empty).  Repeated rows repeat each other.
-    Ids may be null or repeated; further columns are carried along whatever their names."""
+    Ids may be null or repeated; further columns are carried along whatever their names.  ``by_words``:
+    strings are ``length`` words, whatever the blanks between them; words are compared by hashes of
+    TOKEN bytes, so two strings that differ in one word are taken for equal once in 2**32 times."""
     row = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
     own = docs.select(row, F.col("text").isNull().alias("missing"), F.xxhash64("doc_id").alias("doc"), F.xxhash64("text").alias("print"), F.col("text").alias("text"))
-    places = repeated_places(own.select("doc", "print", "text"), length, gram, group)
+    texts = own.select("doc", "print", "text")
+    if by_words:
+        texts, length = stored(texts.mapInArrow(_tokens, "doc long, print long, text binary"), "word-hashes"), length * TOKEN
+    places = repeated_places(texts, length, gram, group)
     by_text = places.groupBy("doc", "print").agg(F.collect_list(F.struct("first", "last")).alias("places"))
     joined = own.join(by_text.hint("shuffle_hash"), ["doc", "print"], "left").select("row", "missing", "text", "places")
     kind = own.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_remove(length, as_text), f"row {kind}, missing boolean, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,stop:long>>")
+    return joined.mapInArrow(_remove(length, as_text, by_words), f"row {kind}, missing boolean, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,stop:long>>")
 
 
 def digest(removed: DataFrame) -> DataFrame:
@@ -368,10 +401,10 @@ def digest(removed: DataFrame) -> DataFrame:
     return removed.select("row.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def drop_repeats(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with repeats removed from text, all columns kept; a character that a cut
-    splits goes whole, ``n_chars`` follows where there is one, null texts stay null."""
+def drop_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` without the passages of ``words`` words or more that repeat, all columns kept;
+    words stand between blanks, ``n_chars`` follows where there is one, null texts stay null."""
     left = F.when(~F.col("missing"), F.col("kept"))
-    texts = remove_repeats(docs, as_text=True).select("row", left.alias("text"))
+    texts = remove_repeats(docs, words, as_text=True, by_words=True).select("row", left.alias("text"))
     columns = [F.col("text") if c == "text" else F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns]
     return texts.select(*columns)
