@@ -170,6 +170,18 @@ def test_keywords_never_hide_a_rule():
         assert {k[:4] for k in gated.scan(t).kept} == {k[:4] for k in plain.scan(t).kept}
 
 
+def test_gates_never_hide_a_rule(monkeypatch):
+    """Against a scanner without gates, the forms that need no "licen" first."""
+    names = ("the GNU GPL v3", "MPL 2.0", "EPL 1.0", "the WTFPL", "CC BY 4.0")
+    heads = ("Use of this file is subject to the terms of", "subject to the terms and conditions of", "subject to the conditions of", "under the terms of", "is licensed under", "released under", "SPDX-License-Identifier:", "dedicated to the public domain,")
+    texts = [f"{head} {name}." for head in heads for name in names] + LICENSE_TEXTS
+    texts += [key + " " + re.sub(r"\(\?:[^()]*\)\?|\.\{[^}]*\}\?", "", pattern) for _, key, pattern, _, _ in licenses.TEXTS]
+    gated = [licenses.Scanner().scan(t) for t in texts]
+    monkeypatch.setattr(licenses, "GATES", (b"",))
+    assert gated == [licenses.Scanner().scan(t) for t in texts]
+    assert [k[2] for s in gated[:5] for k in s.kept] == ["gpl-3.0", "mpl-2.0", "epl-1.0", "wtfpl", "cc-by-4.0"]
+
+
 URLS = [
     ("http://a.example.org/es/1", "a.example.org", "/es/1", "example.org/es/", "block"),
     ("http://Example.ORG/en/12?x=/es/", "example.org", "/en/12", "example.org/en/1", "block"),

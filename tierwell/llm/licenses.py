@@ -135,7 +135,7 @@ def rules() -> tuple[Rule, ...]:
 
 _WORD = bytes.maketrans(bytes(range(0x80)), bytes(c if chr(c).isalnum() else 32 for c in bytes(range(0x80)).lower()))
 #: No rule matches a text that holds none of these.
-GATES = (b"licen", b"spdx", b" under ", b"permission", b"redistribution", b"public domain", b"free software", b"all rights reserved", b"confidential", b"neither the name", b"as is", b"unless required", b"source code form")
+GATES = (b"licen", b"spdx", b" under ", b"subject to the", b"permission", b"redistribution", b"public domain", b"free software", b"all rights reserved", b"confidential", b"neither the name", b"as is", b"unless required", b"source code form")
 
 
 @dataclass(frozen=True)
