@@ -231,6 +231,53 @@ def test_url_model_by_brute_force(spark):
     assert held and all((score[t] >= model.threshold) == (v == "allow") for t, v in held)
 
 
+def plain_url_scores(known, asked):
+    """Log ratios by plain loops: exact counts of every context of 0 to 4 bytes."""
+    follow, context = ({y: {} for y in (0, 1)} for _ in range(2))
+
+    def places(text):
+        raw = b"\0" * 4 + text.encode() + b"\0"
+        return [raw[i - 4 : i + 1] for i in range(4, len(raw))]
+
+    for text, side in known:
+        for g in places(text):
+            for k in range(1, 6):
+                follow[side][g[-k:]] = follow[side].get(g[-k:], 0) + 1
+                key = (k, g[-k:-1])
+                context[side][key] = context[side].get(key, 0) + 1
+    out = {}
+    for text in asked:
+        total = 0.0
+        for g in places(text):
+            for side, sign in ((0, -1), (1, 1)):
+                p = 1 / 256
+                for k in range(1, 6):
+                    p = (follow[side].get(g[-k:], 0) + 4 * p) / (context[side].get((k, g[-k:-1]), 0) + 4)
+                total += sign * np.log(p)
+        out[text] = total / len(places(text))
+    return out
+
+
+def test_url_scores_count_every_gram_exactly(spark):
+    """More distinct grams than 65,536, the held-out fifth among them, repeated URLs counted each."""
+    rng = random.Random(8)
+
+    def some(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789-é") for _ in range(n))
+
+    found = [f"h://{some(9)}.com/{kind}/{some(14)}" for kind in ("fr", "de", "de") for _ in range(1500)]
+    found += [f"h://{some(5)}.net/{kind}/{some(4)}" for kind in ("fr", "de", "xx") for _ in range(20)] + found[:3] * 40
+    rows = urls.judge(pages(spark, found)).collect()
+    assert len(rows) == len(found)
+    body = {r["page_id"]: r["host"] + r["path"] for r in rows}
+    known = [(body[r["page_id"]], int(r["verdict"] == "allow")) for r in rows if r["rule"]]
+    assert len({b[i : i + 5] for b, _ in known for i in range(len(b) - 4)}) > 65536
+    want = plain_url_scores(known, {body[r["page_id"]] for r in rows if not r["rule"]})
+    assert all(abs(r["score"] - want[body[r["page_id"]]]) < 1e-8 for r in rows if not r["rule"])
+    verdict = {found[r["page_id"]]: r["verdict"] for r in rows if not r["rule"]}
+    assert all(v == ("allow" if "/fr/" in u else "block") for u, v in verdict.items() if "/xx/" not in u)
+
+
 @pytest.fixture(scope="module")
 def reference_encoding():
     with open(bpe.VOCABULARY, "rb") as file:

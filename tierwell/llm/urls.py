@@ -1,10 +1,11 @@
 """URL filters: rules for hosts and paths, and a character language-model ratio for the rest.
 
 Two variable-order Markov models, one of accepted and one of rejected URLs, learn from the URLs the
-rules decide.  An order's estimate is smoothed with the next shorter one's.  Counts live in tables
-of ``SLOTS`` hashed cells an order, so a model has the same size whatever the corpus holds; tasks
-add up their URLs, Spark adds up the tasks.  A URL is judged by its log-likelihood difference per
-character against a threshold calibrated on a held-out fold of the decided URLs."""
+rules decide.  An order's estimate is smoothed with the next shorter one's.  Counts are exact: the
+table of distinct ``ORDER``-grams grows with the corpus and stays in Spark; a place in a URL is worth
+what its gram is worth, so distinct grams are valued by joins, order by order, and URLs add up their
+grams.  A URL is judged by its log-likelihood difference per character.  The threshold comes from a
+fifth of the decided URLs under a model of the others; the judging model counts all of them."""
 
 from __future__ import annotations
 
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwell.llm.common import text_slices
+from tierwell.sources.shared import stored
 
 #: (verdict, host, path).  A rule fits its host and all subdomains where the path starts with its own.
 RULES = (
@@ -32,6 +34,8 @@ PRIOR = 4.0
 ALPHABET = 256
 BINS = 2000
 REACH = 4.0
+#: Log ratios are added up as whole multiples of 1 / UNIT, in any order alike.
+UNIT = 1e9
 
 
 def lower_ascii(c: Column) -> Column:
@@ -94,7 +98,9 @@ def _cell(slot: np.ndarray, char: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class UrlModel:
-    """Counts by side (0 rejected, 1 accepted), order and slot: contexts, and characters after them."""
+    """A hashed model of bounded size, for samples; ``judge`` counts exactly.
+
+    Counts by side (0 rejected, 1 accepted), order and slot: contexts, and characters after them."""
 
     context: np.ndarray
     follow: np.ndarray
@@ -153,18 +159,102 @@ def train(judged: DataFrame) -> UrlModel:
     shape = (2, ORDER, SLOTS)
     model = UrlModel(tables[0].reshape(shape).astype(np.float32), tables[1].reshape(shape).astype(np.float32))
     score = _scorer(judged, model)
-    width = 2 * REACH / BINS
-    bins = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((score(F.col("body")) + REACH) / width))).cast("int")
+    bins = _bin(score(F.col("body")))
     held = np.zeros((2, BINS))
     for r in known.where("held").select("side", bins.alias("bin")).groupBy("side", "bin").agg(F.count("*").alias("n")).collect():
         held[r["side"], r["bin"]] = r["n"]
+    return UrlModel(model.context, model.follow, _balance(held))
+
+
+def _bin(score: Column) -> Column:
+    return F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((score + REACH) / (2 * REACH / BINS)))).cast("int")
+
+
+def _balance(held: np.ndarray) -> float:
+    """The threshold at which the error shares of both sides (rejected, accepted; a column a bin) add up
+    to the least; 0 without rows on a side."""
     if not held.sum(axis=1).all():
-        return model
+        return 0.0
     lost = np.concatenate(([0.0], np.cumsum(held[1]))) / held[1].sum()
     passed = 1.0 - np.concatenate(([0.0], np.cumsum(held[0]))) / held[0].sum()
     error = lost + passed
     best = np.flatnonzero(error <= error.min() + 1e-12)
-    return UrlModel(model.context, model.follow, float(-REACH + width * (best[0] + best[-1]) / 2))
+    return float(-REACH + 2 * REACH / BINS * (best[0] + best[-1]) / 2)
+
+
+def grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, gram) of each character: it and the ORDER - 1 bytes before, as one number, oldest first."""
+    raw = [b"\0" * (ORDER - 1) + t.encode("utf-8", "surrogatepass") + b"\0" for t in texts]
+    codes = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    sizes = np.array([len(r) for r in raw], dtype=np.int64)
+    rows = np.repeat(np.arange(len(raw)), sizes)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
+    at = np.flatnonzero(np.arange(len(codes)) - starts[rows] >= ORDER - 1)
+    key = np.zeros(len(at), dtype=np.int64)
+    for k in range(ORDER - 1, -1, -1):
+        key = (key << 8) | codes[at - k]
+    return rows[at], key
+
+
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kind, weight = (np.asarray(batch.column(c), dtype=np.int64) for c in ("kind", "n"))
+        for start, texts in text_slices(batch.column("body")):
+            rows, key = grams(texts)
+            own, place = np.unique(key * 4 + kind[start + rows], return_inverse=True)
+            n = np.zeros(len(own), dtype=np.int64)
+            np.add.at(n, place, weight[start + rows])
+            yield pa.RecordBatch.from_arrays([pa.array(own >> 2), pa.array((own & 3).astype("<i4")), pa.array(n)], names=["gram", "kind", "n"])
+
+
+def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        uids = np.asarray(batch.column("uid"))
+        for start, texts in text_slices(batch.column("body")):
+            rows, key = grams(texts)
+            yield pa.RecordBatch.from_arrays([pa.array(uids[start + rows]), pa.array(key)], names=["uid", "gram"])
+
+
+#: Counts of the rejected and accepted URLs, outside the held-out fifth and altogether.
+_SUMS = ("learned0", "learned1", "all0", "all1")
+
+
+def gram_values(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """gram, learned, every: log P(accepted) - log P(rejected) in units of 1 / UNIT of each of ``wanted``
+    (gram, distinct) under the models of ``counts`` (gram and _SUMS)."""
+    p: DataFrame | None = None
+    for k in range(ORDER):
+        gram = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).cast("long").alias("gram")
+        follow = stored(counts.select(gram, *_SUMS).groupBy("gram").agg(*[F.sum(c).alias(c) for c in _SUMS]), "url-followers")
+        context = follow.groupBy(F.shiftright("gram", 8).alias("context")).agg(*[F.sum(c).alias(f"of_{c}") for c in _SUMS])
+        rows = wanted.select(gram).distinct().join(follow, "gram", "left").withColumn("context", F.shiftright("gram", 8)).join(context, "context", "left")
+        if p is not None:
+            shorter = p.select(F.col("gram").alias("suffix"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in _SUMS])
+            rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).cast("long")).join(shorter, "suffix")
+        prior = {c: F.lit(1.0 / ALPHABET) if p is None else F.col(f"q_{c}") for c in _SUMS}
+        value = [((F.coalesce(c, F.lit(0)) + PRIOR * prior[c]) / (F.coalesce(f"of_{c}", F.lit(0)) + PRIOR)).alias(f"p_{c}") for c in _SUMS]
+        p = stored(rows.select("gram", *value), "url-grams")
+    ratio = {name: F.round((F.log(f"p_{name}1") - F.log(f"p_{name}0")) * UNIT).cast("long") for name in ("learned", "all")}
+    return p.select("gram", ratio["learned"].alias("learned"), ratio["all"].alias("every"))
+
+
+def scored_bodies(bodies: DataFrame) -> tuple[DataFrame, float]:
+    """(uid, score) of the bodies without a verdict, and the threshold, for ``bodies`` (uid, body, verdict, n)."""
+    held = (F.crc32("body") % 5 == 0).cast("int")
+    known = bodies.where(F.col("verdict").isNotNull()).select("uid", "body", "n", (F.col("verdict") == "allow").cast("int").alias("side"), held.alias("held"))
+    kinds = known.select("body", (F.col("side") * 2 + F.col("held")).alias("kind"), "n").mapInArrow(_gram_counts, "gram long, kind int, n long")
+    sums = {f"learned{y}": F.col("kind") == 2 * y for y in (0, 1)} | {f"all{y}": F.col("kind").isin(2 * y, 2 * y + 1) for y in (0, 1)}
+    counts = stored(kinds.groupBy("gram").agg(*[F.sum(F.when(of, F.col("n")).otherwise(0)).alias(c) for c, of in sums.items()]), "url-counts")
+    asked = stored(known.where("held = 1").select("uid", "body").unionByName(bodies.where(F.col("verdict").isNull()).select("uid", "body")).mapInArrow(_gram_rows, "uid long, gram long"), "url-places")
+    values = gram_values(counts, asked.select("gram").distinct())
+    total = stored(
+        asked.join(values, "gram").groupBy("uid").agg(F.count("*").alias("places"), *[F.sum(c).alias(c) for c in ("learned", "every")]).select("uid", *[(F.col(c) / UNIT / F.col("places")).alias(c) for c in ("learned", "every")]),
+        "url-scores",
+    )
+    found = np.zeros((2, BINS))
+    for r in known.where("held = 1").join(total, "uid").groupBy("side", _bin(F.col("learned")).alias("bin")).agg(F.sum("n").alias("n")).collect():
+        found[r["side"], r["bin"]] = r["n"]
+    return total.select("uid", F.col("every").alias("score")), _balance(found)
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -177,8 +267,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     split = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ruled = split.select("page_id", "host", "path", name.alias("rule"), verdict.alias("ruled"), F.concat("host", "path").alias("body"))
-    model = train(ruled.select("body", F.col("ruled").alias("verdict")))
-    score = _scorer(pages, model)
-    scored = ruled.select("page_id", "host", "path", "rule", "ruled", score(F.col("body")).alias("score"))
-    own = F.when(F.col("score") >= model.threshold, "allow").otherwise("block")
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), F.when(F.col("ruled").isNull(), F.col("score")).alias("score"))
+    counted = ruled.groupBy("body", "ruled").agg(F.count("*").alias("n")).select("body", F.col("ruled").alias("verdict"), "n")
+    bodies = stored(counted.withColumn("uid", F.monotonically_increasing_id()), "url-bodies")
+    scores, threshold = scored_bodies(bodies)
+    judged = bodies.where(F.col("verdict").isNull()).join(scores, "uid").select(F.col("body").alias("_b"), "score")
+    decided = ruled.where(F.col("ruled").isNotNull()).withColumn("score", F.lit(None).cast("double"))
+    rows = decided.unionByName(ruled.where(F.col("ruled").isNull()).join(judged, F.col("body") == F.col("_b")).drop("_b"))
+    own = F.when(F.col("score") >= threshold, "allow").otherwise("block")
+    return rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "score")
