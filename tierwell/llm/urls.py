@@ -260,13 +260,13 @@ def scored_bodies(bodies: DataFrame) -> tuple[DataFrame, float]:
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, score for every row of ``pages`` (page_id, url).
 
-    A null url or one without ``://`` has an empty host and path, which no rule fits; the method then
-    judges an empty text.  The method's score is null where a rule decides.  If the rules decide
+    A null url or one without ``://`` has an empty host and path, which no rule fits.  The method learns
+    and judges the whole url, its scheme, query and fragment too; null is an empty text.  The method's score is null where a rule decides.  If the rules decide
     nothing, all scores are 0 and the method allows.  Repeated rows each get their row and count
     each; a tie with the threshold is allowed.  Further columns are not looked at."""
-    split = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    split = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.coalesce("url", F.lit("")).alias("body"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    ruled = split.select("page_id", "host", "path", name.alias("rule"), verdict.alias("ruled"), F.concat("host", "path").alias("body"))
+    ruled = split.select("page_id", "host", "path", name.alias("rule"), verdict.alias("ruled"), "body")
     counted = ruled.groupBy("body", "ruled").agg(F.count("*").alias("n")).select("body", F.col("ruled").alias("verdict"), "n")
     bodies = stored(counted.withColumn("uid", F.monotonically_increasing_id()), "url-bodies")
     scores, threshold = scored_bodies(bodies)
