@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwell.llm import bpe, packing, substrings
+from tierwell.llm import bpe, merkle, packing, sharding, sql, substrings
 from tierwell.llm.embeddings import near_vectors
 from tierwell.llm.language import identify
 from tierwell.llm.licenses import scan_licenses
@@ -14,6 +14,7 @@ from tierwell.llm.simhash import near_duplicates
 from tierwell.llm.topk import top_products
 from tierwell.llm.toxicity import score_toxicity
 from tierwell.llm.urls import judge
+from tierwell.llm.whitening import whiten
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +63,18 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def byte_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.digest(sharding.placements(table(spark, folder, "documents")))
+
+
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"), merkle.tampered())
+
+
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_simhash_dedup": simhash_dedup,
     "op2_embedding_dedup": embedding_dedup,
@@ -73,10 +86,15 @@ QUERIES: dict[str, Run] = {
     "op8_language_id": language_id,
     "op9_packing": pack_sequences,
     "op10_toxicity": toxicity,
+    "op11_sharding": byte_shards,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_embedding_whitening": embedding_whitening,
 }
 
 #: SQL for those queries it can express.
 SQL: dict[str, str] = {
+    "op11_sharding": sql.SHARDS,
+    "op12_merkle_manifest": sql.MERKLE,
     "op7_exact_top_k": """
         WITH v AS (
           SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS w FROM embeddings
