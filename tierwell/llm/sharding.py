@@ -38,9 +38,9 @@ def placements(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     doc_id first, repeats of one by checksum, size and place in the scan; each repeated row has its
     own slot, and equal texts need not share a shard.  Texts are read whole, whatever their length,
     and not shuffled.  Further columns are not looked at; no documents give no rows."""
-    sized = running_sums(
-        docs.select(*_keys()).withColumn("one", F.lit(1).cast("long")), ORDER, {"bytes_before": "size", "rows_before": "one"}
-    )
+    # Written first: finding the ranges reads its input once more, and that should not be the texts.
+    light = stored(docs.select(*_keys(), F.lit(1).cast("long").alias("one")), "sizes")
+    sized = running_sums(light, ORDER, {"bytes_before": "size", "rows_before": "one"})
     total = sized.agg((F.max(F.col("bytes_before") + F.col("size"))).alias("n")).first()["n"] or 1
     # Twice the middle of the row, in decimals wide enough for any total.
     middle = F.col("bytes_before").cast("decimal(19,0)") * 2 + F.col("size")
