@@ -397,8 +397,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
 
 
 def digest(removed: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    return removed.select("row.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the text that is left; a character cut in
+    two is shown as U+FFFD there."""
+    return removed.select(
+        "row.doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+    )
 
 
 def drop_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
