@@ -157,8 +157,8 @@ def _(spark, folder):
 
 
 REJECTED_STEPS = ("judged", "silver_accounts", "dim_customers", "typed_accounts", "newest_accounts")
-REJECTED_TRANSACTIONS = """
-    SELECT transaction_id, t.account_id AS account_id, amount_raw, currency_raw, amount, currency_variant, bits, CASE WHEN coalesce(transaction_id, '') = '' THEN 'NULL_REQUIRED'
+#: Why a row of ``judged t`` with its account ``a`` and customer ``c`` becomes no fact.
+REASON = """CASE WHEN coalesce(transaction_id, '') = '' THEN 'NULL_REQUIRED'
         WHEN dq_exclusion IS NOT NULL THEN dq_exclusion
         WHEN a.account_id IS NULL THEN 'ORPHANED_ACCOUNT' WHEN c.customer_id IS NULL THEN 'UNKNOWN_CUSTOMER'
         WHEN transaction_date IS NULL THEN 'MISSING_TRANSACTION_DATE'
@@ -167,10 +167,12 @@ REJECTED_TRANSACTIONS = """
         WHEN channel IS NULL THEN 'MISSING_CHANNEL' END AS reason
     FROM judged t LEFT JOIN silver_accounts a ON t.account_id = a.account_id
         LEFT JOIN dim_customers c ON a.customer_ref = c.customer_id"""
+REJECTED_TRANSACTIONS = f"""
+    SELECT transaction_id, t.account_id AS account_id, amount_raw, currency_raw, amount, currency_variant, bits, {REASON}"""
 REJECTED_ACCOUNTS = """
-    SELECT account_id, 'NULL_REQUIRED_ACCOUNT' AS reason FROM typed_accounts WHERE coalesce(account_id, '') = ''
+    SELECT account_id, 'NULL_REQUIRED_ACCOUNT' AS reason, current_balance FROM typed_accounts WHERE coalesce(account_id, '') = ''
     UNION ALL
-    SELECT account_id, CASE WHEN customer_ref IS NULL THEN 'NO_CUSTOMER_REF' ELSE 'UNKNOWN_CUSTOMER' END
+    SELECT account_id, CASE WHEN customer_ref IS NULL THEN 'NO_CUSTOMER_REF' ELSE 'UNKNOWN_CUSTOMER' END, current_balance
     FROM newest_accounts
     WHERE customer_ref IS NULL OR customer_ref NOT IN (SELECT customer_id FROM dim_customers)"""
 
@@ -180,9 +182,9 @@ REJECTED_ACCOUNTS = """
     sql(
         f"""SELECT 'transactions' AS source, transaction_id AS record_key, reason, account_id AS record_account,
             CASE WHEN bits <> 0 THEN amount_raw END AS delivered_amount,
-            CASE WHEN bits <> 0 THEN currency_raw END AS delivered_currency
+            CASE WHEN bits <> 0 THEN currency_raw END AS delivered_currency, NULL AS delivered_balance
             FROM ({REJECTED_TRANSACTIONS}) WHERE reason IS NOT NULL
-        UNION ALL SELECT 'accounts', account_id, reason, account_id, NULL, NULL FROM ({REJECTED_ACCOUNTS})""",
+        UNION ALL SELECT 'accounts', account_id, reason, account_id, NULL, NULL, CAST(current_balance AS VARCHAR) FROM ({REJECTED_ACCOUNTS})""",
         *REJECTED_STEPS,
     ),
 )
@@ -204,4 +206,5 @@ def _(spark, folder):
         F.get_json_object("record", "$.account_id").alias("record_account"),
         F.get_json_object(raw, "$.amount_raw").alias("delivered_amount"),
         F.get_json_object(raw, "$.currency_raw").alias("delivered_currency"),
+        F.get_json_object(raw, "$.current_balance").alias("delivered_balance"),
     )

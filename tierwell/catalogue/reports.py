@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from tierwell.catalogue.issues import ledger_of, ledger_sql
 from tierwell.catalogue.registry import query
 from tierwell.catalogue.roles import Roles
 from tierwell.catalogue.sql import sql
-from tierwell.operators import report
+from tierwell.operators import ledger, report
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold, validation
 from tierwell.sources.shared import stored
@@ -139,65 +140,59 @@ def _(spark, folder):
 
 
 _ISSUE_SETTINGS = """(VALUES
-    ('NULL_REQUIRED', 0, 'null_required', 'EXCLUDED_NULL_PK', 'transactions_raw'),
-    ('TYPE_MISMATCH', 1, 'type_mismatch', 'CAST_TO_DECIMAL', 'transactions_raw'),
-    ('DATE_FORMAT', 2, 'date_format_inconsistency', 'NORMALISED_DATE', 'transactions_raw'),
-    ('CURRENCY_VARIANT', 3, 'currency_variants', 'NORMALISED_CURRENCY', 'transactions_raw'),
-    ('ORPHANED_ACCOUNT', 4, 'orphaned_transactions', 'QUARANTINED', 'transactions_raw'),
-    ('DUPLICATE_DEDUPED', 5, 'duplicate_transactions', 'DEDUPLICATED_KEEP_FIRST', 'transactions_raw'),
-    ('NULL_REQUIRED_ACCOUNT', NULL, 'null_account_id', 'EXCLUDED_NULL_PK', 'accounts_raw'))
-    AS s(issue_code, place, issue_type, handling_action, denominator)"""
-_ISSUES_SQL = f"""SELECT issue_code, issue_type, c.records AS records_affected,
-    CAST(round(c.records * 100.0 / d.records, 2) AS DOUBLE) AS percentage_of_total, handling_action,
-    coalesce(f.records, 0) AS records_in_output, place
-    FROM ({_COUNTS_SQL}) c JOIN {_ISSUE_SETTINGS} USING (issue_code)
-    LEFT JOIN (SELECT dq_flag, count(*) AS records FROM fact GROUP BY 1) f ON f.dq_flag = issue_code
-    JOIN ({_SOURCES_SQL}) d ON d.name = s.denominator WHERE c.records > 0"""
-
-
-def _work(roles: Roles):
-    """The frame that silver, facts and rejects come from, stored once."""
-    return stored(roles.owned().drop("_raw"), "work-transactions")
-
-
-@query("dq_issue_report", sql(_ISSUES_SQL, *_STEPS, "fact"))
+    ('transactions', 'NULL_REQUIRED', 0, 'null_required', 'EXCLUDED_NULL_PK'),
+    ('transactions', 'TYPE_MISMATCH', 1, 'type_mismatch', 'CAST_TO_DECIMAL'),
+    ('transactions', 'DATE_FORMAT', 2, 'date_format_inconsistency', 'NORMALISED_DATE'),
+    ('transactions', 'CURRENCY_VARIANT', 3, 'currency_variants', 'NORMALISED_CURRENCY'),
+    ('transactions', 'ORPHANED_ACCOUNT', 4, 'orphaned_transactions', 'QUARANTINED'),
+    ('transactions', 'DUPLICATE_DEDUPED', 5, 'duplicate_transactions', 'DEDUPLICATED_KEEP_FIRST'),
+    ('accounts', 'NULL_REQUIRED_ACCOUNT', NULL, 'null_account_id', 'EXCLUDED_NULL_PK'),
+    ('accounts', 'DATE_FORMAT_ACCOUNT', NULL, 'date_format_inconsistency', 'NORMALISED_DATE'),
+    ('customers', 'DATE_FORMAT_CUSTOMER', NULL, 'date_format_inconsistency', 'NORMALISED_DATE'),
+    ('accounts', 'DUPLICATE_DEDUPED', NULL, 'duplicate_accounts', 'DEDUPLICATED_KEEP_LAST'))
+    AS s(source, issue_code, place, issue_type, handling_action)"""
+_ISSUES_SQL = f"""SELECT c.source AS source, c.issue_code AS issue_code, coalesce(issue_type, lower(c.issue_code) || '_' || c.source) AS issue_type,
+    CAST(c.affected AS BIGINT) AS records_affected, CAST(round(c.affected * 100.0 / d.records, 2) AS DOUBLE) AS percentage_of_total,
+    coalesce(handling_action, 'QUARANTINED') AS handling_action, CAST(c.reached AS BIGINT) AS records_in_output, place
+    FROM (SELECT source, issue_code, sum(CASE WHEN issue_code = 'DUPLICATE_DEDUPED' AND outcome <> 'removed copy' THEN 0 ELSE records END) AS affected,
+            coalesce(sum(records) FILTER (outcome = 'gold'), 0) AS reached FROM ledger GROUP BY 1, 2) c
+    LEFT JOIN {_ISSUE_SETTINGS} ON s.source = c.source AND s.issue_code = c.issue_code
+    JOIN ({_SOURCES_SQL}) d ON d.name = c.source || '_raw' WHERE c.affected > 0"""
+_FLAGS_SQL = "SELECT issue_code, sum(flagged) AS records FROM ledger GROUP BY 1 HAVING sum(flagged) > 0"
+
+
+@query("dq_issue_report", ledger_sql(_ISSUES_SQL))
 def _(spark, folder):
+    """Every record under each of its issues, dates of all three sources included."""
     roles = Roles(spark, folder)
-    work = _work(roles)
-    in_output = report.flag_counts(gold.facts(work))
-    return report.issue_report(_counts(roles, work), _sources(roles), RuleSet.default(), in_output)
+    entries = stored(ledger_of(roles, RuleSet.default())[0], "ledger")
+    return ledger.issues(entries, _sources(roles), RuleSet.default())
 
 
 @query(
     "dq_report_json",
-    sql(
-        f"""SELECT '2' AS stage, '2026-01-01T00:00:00Z' AS run_timestamp, total_records, clean_records, flagged_records,
+    ledger_sql(
+        f"""SELECT '2' AS stage, '2026-01-01T00:00:00Z' AS run_timestamp, total_records, total_records - flagged_records AS clean_records, flagged_records,
             (SELECT records FROM ({_SOURCES_SQL}) WHERE name = 'transactions_raw') AS transactions_raw,
             (SELECT count(*) FROM fact) AS fact_transactions, (SELECT count(*) FROM dim_accounts) AS dim_accounts,
             (SELECT count(*) FROM dim_customers) AS dim_customers,
-            (SELECT string_agg(issue_type || ':' || records_affected || ':' || records_in_output, ',' ORDER BY place NULLS LAST)
-             FROM ({_ISSUES_SQL})) AS issues,
-            (SELECT string_agg(issue_code || '=' || records, ',' ORDER BY issue_code) FROM ({_COUNTS_SQL})) AS flag_counts
-        FROM ({_SUMMARY_SQL})""",
-        *_STEPS,
-        "fact",
+            (SELECT string_agg(issue_type || ':' || records_affected || ':' || records_in_output, ',' ORDER BY place NULLS LAST, issue_code, issue_type,
+                records_affected) FROM ({_ISSUES_SQL})) AS issues,
+            (SELECT string_agg(issue_code || '=' || CAST(records AS BIGINT), ',' ORDER BY issue_code) FROM ({_FLAGS_SQL})) AS flag_counts
+        FROM (SELECT CAST((SELECT sum(records) FROM ({_SOURCES_SQL})) AS BIGINT) AS total_records,
+            CAST((SELECT sum(flagged) FROM ledger) AS BIGINT) AS flagged_records)"""
     ),
 )
 def _(spark, folder):
     """The report as a JSON document; every column here is read back out of the document."""
-    roles = Roles(spark, folder)
-    work = _work(roles)
-    facts = gold.facts(work)
+    roles, rules = Roles(spark, folder), RuleSet.default()
+    entries, work, accounts = ledger_of(roles, rules)
+    entries, sources = stored(entries, "ledger"), _sources(roles)
     gold_counts = report.record_counts(
-        {"fact_transactions": facts, "dim_accounts": roles.dim_accounts, "dim_customers": roles.dim_customers}
+        {"fact_transactions": gold.facts(work), "dim_accounts": gold.dim_accounts_from(accounts), "dim_customers": roles.dim_customers}
     )
     whole = report.report_document(
-        _counts(roles, work),
-        _sources(roles),
-        gold_counts,
-        RuleSet.default(),
-        "2026-01-01T00:00:00Z",
-        in_output=report.flag_counts(facts),
+        ledger.flag_totals(entries), sources, gold_counts, rules, "2026-01-01T00:00:00Z", issues=ledger.issues(entries, sources, rules)
     )
     text = whole.select(document(F.struct(*whole.columns)).alias("document"))
     back = text.select(F.from_json("document", whole.schema).alias("d")).select("d.*")

@@ -59,6 +59,8 @@ def _pick(n: Column, *values: str) -> Column:
 
 
 class Roles:
+    as_of = AS_OF
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tune(spark), folder
 

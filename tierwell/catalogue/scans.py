@@ -11,20 +11,40 @@ from tierwell.schemas import CORRUPT, RAW_CUSTOMERS, RAW_TRANSACTIONS
 from tierwell.sources import readers, sinks
 from tierwell.sources.shared import fresh_path
 
-# An empty value reads as NULL.
-_CUSTOMER = ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_CUSTOMERS.fieldNames())
+def csv_file_of(df: DataFrame, path: str, cut: Column, fields: int) -> None:
+    """Append ``df`` to a folder of CSV files with headers, the lines where ``cut`` holds cut off after so many
+    fields."""
+    names = df.columns
+    blanks = dict(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    whole, short = F.to_csv(F.struct(*names), blanks), F.to_csv(F.struct(*names[:fields]), blanks)
+    # The separator never occurs, so that lines and header come out as they are.
+    options = dict(header=True, sep="\u0001", escapeQuotes=False, **blanks)
+    df.select(F.when(cut, short).otherwise(whole).alias(",".join(names))).write.options(**options).mode("append").csv(path)
+
+
+#: A folder name as users have them; it is no glob.
+ODD_FOLDER = "in coming [1] 100%25 {x}"
+_CUT_CUSTOMER = "risk_score = 'n/a' AND gender <> 'm'"
+# An empty value reads as NULL, and so does what a line that was cut off lacks.
+_CUSTOMER = ", ".join(
+    f"nullif({c}, '') AS {c}" if c in ("customer_id", "id_number", "first_name") else f"CASE WHEN NOT cut THEN nullif({c}, '') END AS {c}"
+    for c in RAW_CUSTOMERS.fieldNames()
+)
 
 
-@query("scan_csv_bronze", sql(f"SELECT {_CUSTOMER} FROM raw_customers", "raw_customers"))
+@query(
+    "scan_csv_bronze",
+    sql(f"SELECT {_CUSTOMER}, cut AS malformed FROM (SELECT *, coalesce({_CUT_CUSTOMER}, false) AS cut FROM raw_customers)", "raw_customers"),
+)
 def _(spark, folder):
-    path = fresh_path(spark, "customers-csv")
+    """CSV files with their columns this way and the other way round, some lines cut off, in a folder whose
+    name looks like a glob."""
+    path = f"{fresh_path(spark, 'customers-csv')}/{ODD_FOLDER}"
     rows = Roles(spark, folder).customers.select(*RAW_CUSTOMERS.fieldNames())
-    options = dict(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    # Half of the files with their columns the other way round.
-    even = F.crc32("customer_id") % 2 == 0
-    rows.filter(even).write.options(**options).csv(path)
-    rows.filter(~even).select(*reversed(rows.columns)).write.options(**options).mode("append").csv(path)
-    return readers.read_csv(spark, path, RAW_CUSTOMERS).select(*RAW_CUSTOMERS.fieldNames())
+    reverse = F.col("gender") == "m"
+    csv_file_of(rows.filter(~reverse), path, F.col("risk_score") == "n/a", 3)
+    csv_file_of(rows.filter(reverse).select(*reversed(rows.columns)), path, F.lit(False), 3)
+    return readers.read_csv(spark, path, RAW_CUSTOMERS).select(*RAW_CUSTOMERS.fieldNames(), F.col(CORRUPT).isNotNull().alias("malformed"))
 
 
 def json_lines(transactions: DataFrame) -> Column:

@@ -138,6 +138,20 @@ DEFAULT_RULES = {
     },
 }
 
+# --- fixed values: where a delivered record ended up ----------------------------------------
+GOLD = "gold"
+QUARANTINE = "quarantine"
+REMOVED_COPY = "removed copy"
+
+# --- fixed values: codes of records that never became rows of their layer -------------------
+MALFORMED_LINE = "MALFORMED_LINE"
+UNKNOWN_CUSTOMER = "UNKNOWN_CUSTOMER"
+NO_CUSTOMER_REF = "NO_CUSTOMER_REF"
+NULL_REQUIRED_ACCOUNT = "NULL_REQUIRED_ACCOUNT"
+
+# --- fixed values: what a dimension says of members nobody has described yet ----------------
+UNKNOWN_MEMBER = "UNKNOWN"
+
 # --- fixed values: streaming limits ---------------------------------------------------------
 STREAM_FILE_GLOB = "stream_*.jsonl"
 RECENT_LIMIT = 50

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,21 +41,29 @@ def references(df: DataFrame, column: str, target: DataFrame, key: str, name: st
     return _unpivot(keep_unknown(df, column, target, key).agg(F.count(F.lit(1)).alias(name)))
 
 
+def domain_counts() -> list[Column]:
+    """What ``domains`` counts, also to be counted while facts are written."""
+    currency, flag = F.col("currency"), F.col("dq_flag")
+    return [
+        F.count_if(currency.isNull() | (currency != fv.CURRENCY)).alias("currency standard"),
+        F.count_if(flag.isNotNull() & ~flag.isin(*fv.FLAG_PRIORITY)).alias("dq_flag known"),
+    ]
+
+
 def domains(fact: DataFrame) -> DataFrame:
     """Rows with another currency than the standard one, and rows with an unknown flag."""
-    currency, flag = F.col("currency"), F.col("dq_flag")
-    return _unpivot(
-        fact.agg(
-            F.count_if(currency.isNull() | (currency != fv.CURRENCY)).alias("currency standard"),
-            F.count_if(flag.isNotNull() & ~flag.isin(*fv.FLAG_PRIORITY)).alias("dq_flag known"),
-        )
-    )
+    return _unpivot(fact.agg(*domain_counts()))
+
+
+def required_counts(schema: T.StructType, name: str) -> list[Column]:
+    """What ``required_nulls`` counts, also to be counted while a table is written."""
+    required = [f.name for f in schema.fields if not f.nullable]
+    return [F.count_if(F.col(c).isNull()).alias(f"{name}.{c} present") for c in required]
 
 
 def required_nulls(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     """NULLs in columns the schema declares as required, all in one pass."""
-    required = [f.name for f in schema.fields if not f.nullable]
-    return _unpivot(df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{name}.{c} present") for c in required]))
+    return _unpivot(df.agg(*required_counts(schema, name)))
 
 
 def not_empty(df: DataFrame, name: str) -> DataFrame:
@@ -64,12 +72,12 @@ def not_empty(df: DataFrame, name: str) -> DataFrame:
 
 
 def report_sound(document: DataFrame) -> DataFrame:
-    """What is wrong with a report document: missing parts, more flagged than delivered, issues
-    that do not add up to the flagged total."""
-    issues = F.aggregate("dq_issues", F.lit(0).cast("bigint"), lambda total, i: total + i["records_affected"])
+    """What is wrong with a report document: missing parts, more flagged than delivered, flags that do
+    not add up to the flagged total."""
+    flags = F.aggregate(F.map_values("flag_counts"), F.lit(0).cast("bigint"), lambda total, n: total + n)
     tests = {f"report.{c} present": F.col(f"`{c}`").isNull() for c in document.columns}
     tests["report flagged within total"] = F.col("flagged_records") > F.col("total_records")
-    tests["report issues add up"] = issues != F.col("flagged_records")
+    tests["report issues add up"] = flags != F.col("flagged_records")
     return _unpivot(document.agg(*[F.count_if(test).alias(name.replace("$", "")) for name, test in tests.items()]))
 
 

@@ -7,7 +7,7 @@ breaks ties, so the survivor never depends on row order."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -36,10 +36,12 @@ def one_per_key(
     keep: str = "latest",
     count_as: str | None = None,
     keep_keyless: bool = False,
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Keep the latest or earliest row of every key by ``order_by``, NULLs last either way.
 
-    ``count_as`` names a column for the number of rows the key had.  Rows without a key are never
+    ``count_as`` names a column for the number of rows the key had; ``totals`` adds aggregates over all of
+    them, by name.  Rows without a key are never
     put into one group: they are left out, or with ``keep_keyless`` all kept as they are.  Those are
     told apart by their place in the input, in the same pass; so with ``keep_keyless`` the input
     must come in the same order when a task is retried, as a file scan does."""
@@ -60,9 +62,10 @@ def one_per_key(
         grouped = df.withColumn("_lone", own_place).groupBy(*keys, "_lone")
     else:
         grouped = df.filter(~keyless(df, keys)).groupBy(*keys)
-    kept = grouped.agg(pick(row).alias("_best"), F.count(F.lit(1)).alias(count_as or "_copies"))
+    added = [total.alias(name) for name, total in (totals or {}).items()]
+    kept = grouped.agg(pick(row).alias("_best"), F.count(F.lit(1)).alias(count_as or "_copies"), *added)
     best = {c: F.col(f"_best.{c}").alias(c) for c in ranked + rest}
-    return kept.select(*[best.get(c, F.col(c)) for c in df.columns], *([count_as] if count_as else []))
+    return kept.select(*[best.get(c, F.col(c)) for c in df.columns], *([count_as] if count_as else []), *(totals or {}))
 
 
 def group_sizes(df: DataFrame, keys: str | Sequence[str], name: str) -> DataFrame:

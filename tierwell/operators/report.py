@@ -160,12 +160,17 @@ def report_document(
     stage: str | None = None,
     schema_name: str = "dq-report/v1",
     in_output: DataFrame | None = None,
+    issues: DataFrame | None = None,
 ) -> DataFrame:
     """The whole report as one row.
 
+    ``counts`` has every flagged record once.  ``issues`` is ``ledger.issues``, which counts a record under
+    each of its issues; without it the issues are those of ``counts``.
+
     The parts are put into one long frame of small rows and folded by a single aggregate, so no
     join without a key is needed.  ``stage`` defaults to "2" when anything was flagged, else "1"."""
-    issues = issue_report(counts, sources, rules, in_output)
+    issues = issue_report(counts, sources, rules, in_output) if issues is None else issues
+    flags = counts.groupBy("issue_code").agg(F.sum("records").alias("records")).filter(F.col("records") > 0)
 
     def rows(df: DataFrame, part: str, code: str, n: str) -> DataFrame:
         return df.select(
@@ -179,6 +184,7 @@ def report_document(
     long = (
         rows(sources, "source", "name", "records")
         .unionByName(rows(gold, "gold", "name", "records"))
+        .unionByName(rows(flags, "flag", "issue_code", "records"))
         .unionByName(
             issues.select(
                 F.lit("issue").alias("part"), "place", F.col("issue_code").alias("code"),
@@ -207,8 +213,8 @@ def report_document(
         ).alias("dq_issues"),
         part_map("gold").alias("gold_layer_record_counts"),
         part_sum("source").alias("total_records"),
-        part_sum("issue").alias("flagged_records"),
-        part_map("issue").alias("flag_counts"),
+        part_sum("flag").alias("flagged_records"),
+        part_map("flag").alias("flag_counts"),
     )
     default_stage = F.when(F.col("flagged_records") > 0, "2").otherwise("1")
     return folded.select(

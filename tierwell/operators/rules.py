@@ -64,6 +64,16 @@ class RuleSet:
     def excludes(self, code: str) -> bool:
         return self.action(code) in fv.EXCLUDING_ACTIONS
 
+    @property
+    def keeps_orphans(self) -> bool:
+        """Whether transactions of unknown accounts become facts, of an unknown member."""
+        return self.enabled(fv.ORPHANED_ACCOUNT) and not self.excludes(fv.ORPHANED_ACCOUNT)
+
+    def broken_date(self, raw: str, parsed: str, columns: Collection[str]) -> Column:
+        """The date rule for a date of another source."""
+        other = self.changed(**{fv.DATE_FORMAT: {"source_field": raw, "parsed_field": parsed}})
+        return F.coalesce(other.predicate(fv.DATE_FORMAT, columns), F.lit(False))
+
     @property
     def keep(self) -> str:
         """Which delivery of a transaction stays, by the action of the duplicate rule."""
@@ -154,6 +164,10 @@ class RuleSet:
             bits = bits + F.when(self.predicate(code, columns), F.lit(1 << place)).otherwise(F.lit(0))
         return bits
 
+    def broken_totals(self, bits: str, columns: Collection[str]) -> dict[str, Column]:
+        """For each row rule how many rows of a group break it, as aggregates by column name."""
+        return {f"_n_{c}": F.sum(F.shiftright(bits, i).bitwiseAND(1).cast("bigint")) for i, c in enumerate(self.row_rules(columns))}
+
     def predicates_from_bits(self, bits: str, columns: Collection[str]) -> dict[str, Column]:
         known = {c: F.col(bits).bitwiseAND(1 << i) != 0 for i, c in enumerate(self.row_rules(columns))}
         return {c: known.get(c, self.predicate(c, columns)) for c in dict.fromkeys(self.priority)}

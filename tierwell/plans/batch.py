@@ -8,14 +8,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tierwell import fixed_values as fv
 from tierwell import schemas
-from tierwell.operators import checks, report
+from tierwell.operators import checks, ledger, report
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold, silver
 from tierwell.sources import readers, sinks
+from tierwell.sources.shared import remove
 from tierwell.tuning import tune
 
 
@@ -47,9 +50,32 @@ class Run:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
 
+#: The layers' counts, taken while they were written: ``(layer, table, metric, value)``.
+METRICS = "layer string, table string, metric string, value long"
+_RECORDS = "records"
+_REMOVED = "removed copies"
+_PLACEHOLDERS = "placeholders"
+
+
+def _counts(layer: str, table: str) -> list[Column]:
+    """What is counted while a table is written: its rows, and what the checks want to know of gold."""
+    counts = [F.count(F.lit(1)).alias(_RECORDS)]
+    if layer == "work" and table != "ledger":
+        counts.append(F.sum(F.col("_dup_count") - 1).alias(_REMOVED))
+    if layer == "gold":
+        counts += checks.required_counts(_GOLD[table], table)
+        counts += checks.domain_counts() if table == "fact_transactions" else [F.count_if(F.col("customer_id") == fv.UNKNOWN_MEMBER).alias(_PLACEHOLDERS)]
+    return counts
+
+
+_GOLD = {"fact_transactions": schemas.FACT_TRANSACTIONS, "dim_accounts": schemas.DIM_ACCOUNTS, "dim_customers": schemas.DIM_CUSTOMERS}
+
+
 def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | None = None) -> dict[str, DataFrame]:
     """Write all layers and return every table as read back, by ``layer/table``.
 
+    Besides the layers there are ``work/...``, what one pass found out of each source's records;
+    ``work/ledger``, all issues (``operators.ledger``); and ``work/metrics``, counts taken while writing.
     The session has to run in UTC, as dates and times are delivered in it.  Two of its settings are
     changed where they are at their default, and stay so (see ``tuning``)."""
     if spark.conf.get("spark.sql.session.timeZone") not in UTC:
@@ -57,9 +83,12 @@ def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | No
     tune(spark)
     rules = rules or RuleSet.default()
     tables: dict[str, DataFrame] = {}
+    metrics: list[tuple[str, str, str, int]] = []
 
     def write(layer: str, table: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        path = sinks.overwrite(df, run.path(layer, table), run.fmt, partition_by)
+        path = run.path(layer, table)
+        found = sinks.overwrite_counted(df, path, _counts(layer, table), run.fmt, partition_by)
+        metrics.extend((layer, table, name, value) for name, value in found.items())
         # Partition values come back last; the layer's own column order is restored.
         tables[f"{layer}/{table}"] = readers.read_table(spark, path, run.fmt).select(*df.columns)
         return tables[f"{layer}/{table}"]
@@ -67,54 +96,72 @@ def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | No
     def bronze(table: str, df: DataFrame) -> DataFrame:
         return write("bronze", table, sinks.stamped(df, run.ingestion_timestamp))
 
-    customers_raw = bronze("customers", readers.read_csv(spark, inputs.customers, schemas.RAW_CUSTOMERS))
-    accounts_raw = bronze("accounts", readers.read_csv(spark, inputs.accounts, schemas.RAW_ACCOUNTS))
-    transactions_raw = bronze("transactions", readers.read_jsonl_as_delivered(spark, inputs.transactions))
+    def bronze_csv(table: str, path: str, schema: StructType) -> DataFrame:
+        lines = run.path("work", f"lines-{table}")
+        found = bronze(table, readers.read_csv(spark, path, schema, lines))
+        remove(spark, lines)  # bronze has it all
+        return found
 
-    customers = write("silver", "customers", silver.silver_customers(customers_raw))
-    accounts = write("silver", "accounts", silver.silver_accounts(accounts_raw))
-    dim_customers = write("gold", "dim_customers", gold.dim_customers(customers, run.as_of))
-    write("gold", "dim_accounts", gold.dim_accounts(accounts, dim_customers))
+    customers_raw = bronze_csv("customers", inputs.customers, schemas.RAW_CUSTOMERS)
+    accounts_raw = bronze_csv("accounts", inputs.accounts, schemas.RAW_ACCOUNTS)
+    transactions_raw = bronze("transactions", readers.read_jsonl_as_delivered(spark, inputs.transactions))
 
-    # All that is known of a transaction, from one join; what follows only projects and filters it.
-    owned = write("work", "transactions", gold.owned_transactions(transactions_raw, accounts, dim_customers, rules, run.keep))
+    # What is known of the records of each source, from one pass; what follows only projects and filters.
+    customers = write("work", "customers", silver.judged_customers(customers_raw, rules))
+    silver_customers = write("silver", "customers", silver.customers_from(customers))
+    people = gold.dim_customers(silver_customers, run.as_of)
+    if rules.keeps_orphans:
+        people = people.unionByName(gold.placeholder_customer(spark))
+    dim_customers = write("gold", "dim_customers", people)
+    accounts = write("work", "accounts", silver.judged_accounts(accounts_raw, dim_customers, rules))
+    silver_accounts = write("silver", "accounts", silver.accounts_from(accounts))
+    owned = write("work", "transactions", gold.owned_transactions(transactions_raw, silver_accounts, dim_customers, rules, run.keep))
+
+    members = gold.dim_accounts_from(accounts)
+    if rules.keeps_orphans:
+        members = members.unionByName(gold.placeholder_accounts(owned, rules))
+    write("gold", "dim_accounts", members)
     write("silver", "transactions", owned.select(*silver.SILVER_TRANSACTIONS))
-    write("gold", "fact_transactions", gold.facts(owned), "transaction_date" if run.partition_facts else None)
+    write("gold", "fact_transactions", gold.facts(owned, rules), "transaction_date" if run.partition_facts else None)
 
     rejected = [
-        (gold.rejects(owned), "transactions", "transaction_id"),
-        (silver.rejected_accounts(accounts_raw, dim_customers), "accounts", "account_id"),
-        (silver.rejected_customers(customers_raw), "customers", "customer_id"),
+        (gold.rejects(owned, rules), "transactions", "transaction_id"),
+        (silver.rejected(accounts, silver.ACCOUNT_COLUMNS), "accounts", "account_id"),
+        (silver.rejected(customers, silver.CUSTOMER_COLUMNS), "customers", "customer_id"),
     ]
     for df, source, key in rejected:
         write("quarantine", source, sinks.quarantine_rows(df, source, key))
+    entries = ledger.transaction_entries(owned, rules, gold.reject_reason(owned.columns, rules))
+    write("work", "ledger", entries.unionByName(ledger.account_entries(accounts, rules)).unionByName(ledger.customer_entries(customers)))
+
+    path = sinks.overwrite(spark.createDataFrame(metrics, METRICS).coalesce(1), run.path("work", "metrics"), run.fmt)
+    tables["work/metrics"] = readers.read_table(spark, path, run.fmt)
     return tables
 
 
+def _records(tables: dict[str, DataFrame], layer: str, names: dict[str, str]) -> DataFrame:
+    """``(name, records)`` of the tables of a layer, from the counts taken while they were written."""
+    found = tables["work/metrics"].filter((F.col("layer") == layer) & (F.col("metric") == _RECORDS))
+    shown = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("table")]
+    return found.select(shown.alias("name"), F.col("value").alias("records")).filter(F.col("name").isNotNull())
+
+
 def quality_report(
     tables: dict[str, DataFrame], run: Run, rules: RuleSet, run_timestamp: str, duration_seconds: int, stage: str | None = None
 ) -> DataFrame:
-    """The report over the tables of a run as one row; the counts come from the written files."""
-    sources = report.record_counts({f"{t}_raw": tables[f"bronze/{t}"] for t in ("accounts", "transactions", "customers")})
-    gold_tables = ("fact_transactions", "dim_accounts", "dim_customers")
-    dates = report.date_counts(
-        silver.unreadable_dates(tables["bronze/accounts"], "account_id", silver.ACCOUNT_DATES, rules),
-        silver.unreadable_dates(tables["bronze/customers"], "customer_id", silver.CUSTOMER_DATES, rules),
-    )
-    counts = (
-        report.flag_counts(tables["silver/transactions"])
-        .unionByName(report.null_key_count(tables["bronze/accounts"], rules))
-        .unionByName(dates)
-    )
+    """The report over the tables of a run as one row: aggregates of the ledger and the counts taken while
+    writing.  No layer is read again."""
+    found = tables["work/ledger"]
+    sources = _records(tables, "bronze", {t: f"{t}_raw" for t in ("accounts", "transactions", "customers")})
     return report.report_document(
-        counts,
+        ledger.flag_totals(found),
         sources,
-        report.record_counts({t: tables[f"gold/{t}"] for t in gold_tables}),
+        _records(tables, "gold", {t: t for t in _GOLD}),
         rules,
         run_timestamp,
         duration_seconds,
         stage,
-        in_output=report.flag_counts(tables["gold/fact_transactions"]),
+        issues=ledger.issues(found, sources, rules),
     )
 
 
@@ -123,8 +170,13 @@ def write_report(document: DataFrame, path: str) -> str:
 
 
 def gold_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """All checks a finished gold layer must pass, as ``(check, violations)``."""
-    fact, accounts, customers = (tables[f"gold/{t}"] for t in ("fact_transactions", "dim_accounts", "dim_customers"))
+    """All checks a finished gold layer must pass, as ``(check, violations)``.
+
+    Keys are counted and matched; nulls, domains and emptiness were counted while the tables were
+    written."""
+    fact, accounts, customers = (tables[f"gold/{t}"] for t in _GOLD)
+    counted = tables["work/metrics"].filter((F.col("layer") == "gold") & (F.col("metric") != _PLACEHOLDERS))
+    empty = F.col("metric") == _RECORDS
     parts = [
         checks.key_unique(fact, "transaction_sk", "fact_transactions"),
         checks.key_unique(accounts, "account_sk", "dim_accounts"),
@@ -132,13 +184,10 @@ def gold_checks(tables: dict[str, DataFrame]) -> DataFrame:
         checks.references(fact, "account_sk", accounts, "account_sk", "fact to accounts"),
         checks.references(fact, "customer_sk", customers, "customer_sk", "fact to customers"),
         checks.references(accounts, "customer_id", customers, "customer_id", "accounts to customers"),
-        checks.domains(fact),
-        checks.required_nulls(fact, schemas.FACT_TRANSACTIONS, "fact_transactions"),
-        checks.required_nulls(accounts, schemas.DIM_ACCOUNTS, "dim_accounts"),
-        checks.required_nulls(customers, schemas.DIM_CUSTOMERS, "dim_customers"),
-        checks.not_empty(fact, "fact_transactions"),
-        checks.not_empty(accounts, "dim_accounts"),
-        checks.not_empty(customers, "dim_customers"),
+        counted.select(
+            F.when(empty, F.concat("table", F.lit(" not empty"))).otherwise(F.col("metric")).alias("check"),
+            F.when(empty, (F.col("value") == 0).cast("bigint")).otherwise(F.col("value")).alias("violations"),
+        ),
     ]
     out, *others = parts
     for other in others:
@@ -147,18 +196,42 @@ def gold_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def reconciled(tables: dict[str, DataFrame]) -> DataFrame:
-    """Delivered rows of all three sources against gold, quarantine and removed copies, a row each."""
-    gold_names = {"transactions": "fact_transactions", "accounts": "dim_accounts", "customers": "dim_customers"}
-    copies = {
-        "transactions": tables["work/transactions"].select("_dup_count"),
-        "accounts": silver.account_copies(tables["bronze/accounts"]),
-        "customers": silver.customer_copies(tables["bronze/customers"]),
+    """Delivered rows of all three sources against gold, quarantine and removed copies, a row each, from
+    the counts taken while they were written.  Placeholders were not delivered."""
+    sources = {"transactions": "fact_transactions", "accounts": "dim_accounts", "customers": "dim_customers"}
+    named = F.create_map(*[F.lit(x) for source, table in sources.items() for x in (table, source)])
+    source = F.when(F.col("layer") == "gold", named[F.col("table")]).otherwise(F.col("table"))
+    counted = tables["work/metrics"].withColumn("source", source).filter(F.col("source").isin(*sources))
+
+    def total(layer: str, metric: str = _RECORDS) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("layer") == layer) & (F.col("metric") == metric), F.col("value"))), F.lit(0))
+
+    return counted.groupBy(F.col("source").alias("table_name")).agg(
+        total("bronze").alias("source_rows"),
+        (total("gold") - total("gold", _PLACEHOLDERS)).alias("kept_rows"),
+        total("quarantine").alias("rejected_rows"),
+        total("work", _REMOVED).alias("duplicates_rows"),
+    ).withColumn("unexplained", F.expr("source_rows - kept_rows - rejected_rows - duplicates_rows"))
+
+
+def settle(earlier: dict[str, DataFrame], later: dict[str, DataFrame], run: Run) -> dict[str, DataFrame]:
+    """Gold of an earlier run after accounts it did not know have arrived with a later one.
+
+    The dimensions hold the members of both; placeholders give way to accounts that have arrived, and
+    facts that waited for them get their owner's key and province.  Written below ``run.root`` as
+    ``settled/...``; the earlier run stays as it is."""
+    spark = later["gold/dim_accounts"].sparkSession
+    merged = {
+        "dim_customers": gold.with_arrived(earlier["gold/dim_customers"], later["gold/dim_customers"], "customer_id"),
+        "dim_accounts": gold.with_arrived(earlier["gold/dim_accounts"], later["gold/dim_accounts"], "account_id"),
     }
-    out = None
-    for name, gold_name in gold_names.items():
-        removed = copies[name].agg(report.removed_duplicates(copies[name]).alias("records"))
-        one = checks.reconcile(
-            tables[f"bronze/{name}"], tables[f"gold/{gold_name}"], tables[f"quarantine/{name}"], removed, name
-        )
-        out = one if out is None else out.unionAll(one)
+    out: dict[str, DataFrame] = {}
+
+    def write(table: str, df: DataFrame) -> None:
+        path = sinks.overwrite(df, run.path("settled", table), run.fmt)
+        out[f"settled/{table}"] = readers.read_table(spark, path, run.fmt).select(*df.columns)
+
+    for table, df in merged.items():
+        write(table, df)
+    write("fact_transactions", gold.rekeyed(earlier["gold/fact_transactions"], out["settled/dim_accounts"], out["settled/dim_customers"]))
     return out

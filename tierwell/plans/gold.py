@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tierwell import fixed_values as fv
 from tierwell.functions.keys import hashed_key
 from tierwell.functions.temporal import age_band
 from tierwell.functions.text import missing
-from tierwell.operators.linking import keep_known
+from tierwell.operators.linking import keep_known, keep_unknown
 from tierwell.operators.rules import RuleSet
 from tierwell.plans.silver import SILVER_TRANSACTIONS, judged_transactions
 from tierwell.schemas import DIM_ACCOUNTS, DIM_CUSTOMERS, FACT_TRANSACTIONS, conform
@@ -34,6 +35,12 @@ def dim_accounts(silver: DataFrame, customers: DataFrame) -> DataFrame:
     return conform(keyed, DIM_ACCOUNTS)
 
 
+def dim_accounts_from(judged: DataFrame) -> DataFrame:
+    """The same out of ``silver.judged_accounts``, which knows the owners: no further join."""
+    kept = judged.filter(F.col("reason").isNull())
+    return conform(kept.select("*", F.col("customer_ref").alias("customer_id"), hashed_key("account_id").alias("account_sk")), DIM_ACCOUNTS)
+
+
 _OWNER = ["_account_sk", "_customer_sk", "_province"]
 
 
@@ -71,47 +78,111 @@ def fact_from_bronze(
     bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str | None = None
 ) -> DataFrame:
     """Facts straight from bronze, without rows that could only be rejected."""
-    return facts(owned_transactions(bronze, silver_accounts, customers, rules, keep, keep_keyless=False, evidence=False))
+    return facts(owned_transactions(bronze, silver_accounts, customers, rules, keep, keep_keyless=False, evidence=False), rules)
 
 
 def rejected_from_bronze(
     bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rules: RuleSet | None = None, keep: str | None = None
 ) -> DataFrame:
-    return rejects(owned_transactions(bronze, silver_accounts, customers, rules, keep))
+    return rejects(owned_transactions(bronze, silver_accounts, customers, rules, keep), rules)
+
 
+def reject_reason(columns: list[str], rules: RuleSet | None = None) -> Column:
+    """Why an owned transaction does not become a fact; NULL if it does.
 
-def reject_reason(columns: list[str]) -> Column:
-    """Why an owned transaction does not become a fact; NULL if it does."""
+    The handling action of the orphan rule decides about transactions of unknown accounts: they are
+    rejected, or become facts of an unknown member (see ``placeholder_accounts``)."""
+    orphan = F.col("_valid_account_id").isNull()
+    keeps = (rules or RuleSet.default()).keeps_orphans
     malformed = F.col("_malformed") if "_malformed" in columns else F.lit(False)
     reason = (
-        F.when(malformed, F.lit("MALFORMED_LINE"))
+        F.when(malformed, F.lit(fv.MALFORMED_LINE))
         .when(missing("transaction_id"), F.lit(fv.NULL_REQUIRED))
         .when(F.col("dq_exclusion").isNotNull(), F.col("dq_exclusion"))
-        .when(F.col("_valid_account_id").isNull(), F.lit(fv.ORPHANED_ACCOUNT))
-        .when(F.col("_customer_sk").isNull(), F.lit("UNKNOWN_CUSTOMER"))
+        .when(orphan & F.lit(not keeps), F.lit(fv.ORPHANED_ACCOUNT))
+        .when(~orphan & F.col("_customer_sk").isNull(), F.lit(fv.UNKNOWN_CUSTOMER))
     )
     for name in fv.FACT_REQUIRED:
         reason = reason.when(F.col(name).isNull(), F.lit(f"MISSING_{name.upper()}"))
     return reason
 
 
-def facts(owned: DataFrame) -> DataFrame:
-    """Complete transactions of known accounts that no rule keeps out, with the province of the owner."""
-    keyed = owned.filter(reject_reason(owned.columns).isNull()).withColumns(
+def _member() -> Column:
+    """The account a fact names; those that name none share the unknown one."""
+    return F.when(missing("account_id"), F.lit(fv.UNKNOWN_MEMBER)).otherwise(F.col("account_id"))
+
+
+def facts(owned: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+    """Complete transactions that no rule keeps out, with the province of the owner.
+
+    Those of accounts nobody has described yet, if the rules keep them, carry the key that the account
+    will have, and the customer and province of the unknown member."""
+    orphan = F.col("_valid_account_id").isNull()
+    keyed = owned.filter(reject_reason(owned.columns, rules).isNull()).withColumns(
         {
             "transaction_sk": hashed_key("transaction_id"),
-            "account_sk": F.col("_account_sk"),
-            "customer_sk": F.col("_customer_sk"),
-            "province": F.col("_province"),
+            "account_sk": F.when(orphan, hashed_key(_member())).otherwise(F.col("_account_sk")),
+            "customer_sk": F.when(orphan, hashed_key(F.lit(fv.UNKNOWN_MEMBER))).otherwise(F.col("_customer_sk")),
+            "province": F.when(orphan, F.lit(fv.UNKNOWN_MEMBER)).otherwise(F.col("_province")),
             "currency": F.lit(fv.CURRENCY),
         }
     )
     return conform(keyed, FACT_TRANSACTIONS)
 
 
-def rejects(owned: DataFrame) -> DataFrame:
+# -- members nobody has described yet ---------------------------------------------------------
+
+_NO_DATE = date(1900, 1, 1)
+
+
+def placeholder_accounts(owned: DataFrame, rules: RuleSet) -> DataFrame:
+    """A row of the account dimension for every unknown account that has facts; none unless the rules keep
+    orphans.  The key is the one the account will have, so its facts keep theirs."""
+    orphan = F.col("_valid_account_id").isNull() & F.lit(rules.keeps_orphans)
+    named = owned.filter(orphan & reject_reason(owned.columns, rules).isNull()).select(_member().alias("account_id"))
+    unknown = {c: F.lit(fv.UNKNOWN_MEMBER) for c in ("customer_id", "account_type", "account_status", "product_tier", "digital_channel")}
+    others = {"open_date": F.lit(_NO_DATE), "credit_limit": F.lit(None), "current_balance": F.lit(0), "last_activity_date": F.lit(None)}
+    return conform(named.distinct().withColumns({"account_sk": hashed_key("account_id"), **unknown, **others}), DIM_ACCOUNTS)
+
+
+def placeholder_customer(spark: SparkSession) -> DataFrame:
+    """The unknown customer, to whom all placeholder accounts belong."""
+    unknown = {f.name: F.lit(fv.UNKNOWN_MEMBER) for f in DIM_CUSTOMERS.fields if isinstance(f.dataType, StringType)}
+    row = spark.range(1).withColumns({**unknown, "customer_sk": hashed_key(F.lit(fv.UNKNOWN_MEMBER)), "risk_score": F.lit(0)})
+    return conform(row, DIM_CUSTOMERS)
+
+
+def with_arrived(earlier: DataFrame, later: DataFrame, key: str) -> DataFrame:
+    """A dimension after more members have been described: all of ``later``, and what only ``earlier`` has.
+    A placeholder gives way to its member and never takes the place of one."""
+    owner = "customer_id" if key == "account_id" else key
+    described = later.filter(F.col(owner) != fv.UNKNOWN_MEMBER)
+    known = earlier.filter(F.col(owner) != fv.UNKNOWN_MEMBER)
+    real = described.unionByName(keep_unknown(known, key, described, key))
+    blanks = earlier.filter(F.col(owner) == fv.UNKNOWN_MEMBER).unionByName(later.filter(F.col(owner) == fv.UNKNOWN_MEMBER))
+    return real.unionByName(keep_unknown(blanks.dropDuplicates([key]), key, real, key))
+
+
+def rekeyed(facts: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Facts after accounts have arrived: those of the unknown customer get the customer and province their
+    account has now.  The flag still says what was wrong when they were delivered.
+
+    All other facts pass by without a shuffle; only waiting ones meet the dimensions."""
+    unknown = hashed_key(F.lit(fv.UNKNOWN_MEMBER))
+    owners = account_owners(accounts.filter(F.col("customer_id") != fv.UNKNOWN_MEMBER), customers)
+    waiting = facts.filter(F.col("customer_sk") == unknown)
+    found = waiting.join(owners, F.col("account_sk") == F.col("_account_sk"), "left").withColumns(
+        {
+            "province": F.when(F.col("_customer_sk").isNull(), F.col("province")).otherwise(F.col("_province")),
+            "customer_sk": F.coalesce("_customer_sk", "customer_sk"),
+        }
+    )
+    return conform(facts.filter(F.col("customer_sk") != unknown).unionByName(found.select(*facts.columns)), FACT_TRANSACTIONS)
+
+
+def rejects(owned: DataFrame, rules: RuleSet | None = None) -> DataFrame:
     """The rows ``facts`` leaves out, each with its reason and, where a rule was broken, the delivered
     values."""
-    judged = owned.withColumn("reason", reject_reason(owned.columns)).filter(F.col("reason").isNotNull())
+    judged = owned.withColumn("reason", reject_reason(owned.columns, rules)).filter(F.col("reason").isNotNull())
     raw = [F.col("_raw").alias("raw")] if "_raw" in owned.columns else []
     return judged.select(*SILVER_TRANSACTIONS, *raw, "reason")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierwell import fixed_values as fv
 from tierwell.functions.money import money
 from tierwell.functions.temporal import compose_timestamp, parse_date
-from tierwell.functions.text import code, currency, missing, text
+from tierwell.functions.text import any_of, code, currency, missing, text
 from tierwell.operators.dedupe import group_sizes, one_per_key
 from tierwell.operators.linking import mark_known
 from tierwell.operators.rules import RuleSet
@@ -26,7 +26,12 @@ SILVER_TRANSACTIONS = [
 RAW_EVIDENCE = ["transaction_date_raw", "transaction_time", "amount_raw", "currency_raw", CORRUPT]
 
 
-def typed_accounts(bronze: DataFrame) -> DataFrame:
+def readable(bronze: DataFrame) -> DataFrame:
+    """The rows whose line was a whole record."""
+    return bronze.filter(F.col(CORRUPT).isNull()) if CORRUPT in bronze.columns else bronze
+
+
+def typed_accounts(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return bronze.select(
         text("account_id").alias("account_id"),
         text("customer_ref").alias("customer_ref"),
@@ -40,21 +45,22 @@ def typed_accounts(bronze: DataFrame) -> DataFrame:
         money("current_balance").alias("current_balance"),
         parse_date("last_activity_date").alias("last_activity_date"),
         F.col("ingestion_timestamp").cast("timestamp").alias("ingestion_timestamp"),
+        *carry,
     )
 
 
 def silver_accounts(bronze: DataFrame) -> DataFrame:
     """The newest delivery of every account, if it names a customer."""
-    newest = one_per_key(typed_accounts(bronze), "account_id", ["ingestion_timestamp"])
+    newest = one_per_key(typed_accounts(readable(bronze)), "account_id", ["ingestion_timestamp"])
     return newest.filter(F.col("customer_ref").isNotNull())
 
 
 def account_copies(bronze: DataFrame) -> DataFrame:
     """How often every account was delivered."""
-    return group_sizes(typed_accounts(bronze), "account_id", "_dup_count")
+    return group_sizes(typed_accounts(readable(bronze)), "account_id", "_dup_count")
 
 
-def typed_customers(bronze: DataFrame) -> DataFrame:
+def typed_customers(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return bronze.select(
         text("customer_id").alias("customer_id"),
         text("id_number").alias("id_number"),
@@ -69,12 +75,13 @@ def typed_customers(bronze: DataFrame) -> DataFrame:
         code("kyc_status").alias("kyc_status"),
         text("product_flags").alias("product_flags"),
         F.col("ingestion_timestamp").cast("timestamp").alias("ingestion_timestamp"),
+        *carry,
     )
 
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
     """The newest delivery of every customer."""
-    return one_per_key(typed_customers(bronze), "customer_id", ["ingestion_timestamp"])
+    return one_per_key(typed_customers(readable(bronze)), "customer_id", ["ingestion_timestamp"])
 
 
 def typed_transactions(bronze: DataFrame) -> DataFrame:
@@ -136,7 +143,8 @@ def judged_transactions(
     has no use for them.  ``keep`` says which delivery stays, by default what the rules' handling of
     duplicates says.  ``carry`` names columns of ``accounts`` that the one join against them brings
     along.  With ``evidence`` rows that break a rule of their own carry the delivered values as JSON in
-    ``_raw``, and ``_malformed`` tells lines that were no record at all."""
+    ``_raw``, ``_malformed`` tells lines that were no record at all, and ``_n_<rule>`` counts the deliveries
+    that break a row rule."""
     rules = rules or RuleSet.default()
     typed = typed_transactions(bronze)
     slim = [c for c in SILVER_TRANSACTIONS if c not in ("dq_flag", "dq_exclusion", "currency")]
@@ -151,6 +159,7 @@ def judged_transactions(
         keep=keep or rules.keep,
         count_as="_dup_count",
         keep_keyless=keep_keyless,
+        totals=rules.broken_totals("_bits", typed.columns) if evidence else None,
     ).withColumn("currency", F.lit(fv.CURRENCY))
     linked = mark_known(single, "account_id", accounts, "account_id", "_valid_account_id", carry)
     return rules.resolve(linked, "_bits")
@@ -162,39 +171,96 @@ def silver_transactions(
     return judged_transactions(bronze, accounts, rules, keep).select(*SILVER_TRANSACTIONS)
 
 
-def rejected_accounts(bronze: DataFrame, customers: DataFrame) -> DataFrame:
-    """Account records that reach no gold table, each with its reason.
+ACCOUNT_COLUMNS = [
+    "account_id", "customer_ref", "account_type", "account_status", "open_date", "product_tier", "mobile_number",
+    "digital_channel", "credit_limit", "current_balance", "last_activity_date", "ingestion_timestamp",
+]
+CUSTOMER_COLUMNS = [
+    "customer_id", "id_number", "first_name", "last_name", "dob", "gender", "province", "income_band", "segment",
+    "risk_score", "kyc_status", "product_flags", "ingestion_timestamp",
+]
+#: The dates of the other two sources.
+ACCOUNT_DATES = ["open_date", "last_activity_date"]
+CUSTOMER_DATES = ["dob"]
+
 
-    Older deliveries of an account that was kept are duplicates, not rejects."""
-    typed = typed_accounts(bronze)
-    no_key = typed.filter(missing("account_id")).withColumn("reason", F.lit("NULL_REQUIRED_ACCOUNT"))
-    newest = one_per_key(typed, "account_id", ["ingestion_timestamp"])
+def _judged(bronze: DataFrame, typed: Callable[..., DataFrame], key: str, dates: Sequence[str], converted: Sequence[str], rules: RuleSet) -> DataFrame:
+    """The newest delivery of every record, with what was delivered of ``converted`` (``_raw``), whether its
+    line was malformed, whether a date breaks the date rule, the number of deliveries and of those with
+    a broken date.  Malformed lines have no key and, like other rows without one, stay on their own."""
+    raw = {f"_raw_{c}": text(c) for c in converted} | {f"_raw_{CORRUPT}": optional(bronze, CORRUPT)}
+    rows = typed(bronze.withColumns(raw | {"_malformed": optional(bronze, CORRUPT).isNotNull()}), ["_malformed", *raw])
+    broken = any_of(rules.broken_date(f"_raw_{c}", c, rows.columns) for c in dates)
+    kept = [c for c in rows.columns if c not in raw]
+    rows = rows.select(
+        *[F.when(~F.col("_malformed"), F.col(key)).alias(key) if c == key else F.col(c) for c in kept],
+        F.struct(*[F.col(n).alias(n.removeprefix("_raw_")) for n in raw]).alias("_raw"),
+        (broken & ~F.col("_malformed")).alias("_bad_date"),
+    )
+    return one_per_key(
+        rows, key, ["ingestion_timestamp"], count_as="_dup_count", keep_keyless=True, totals={"_n_bad_date": F.sum(F.col("_bad_date").cast("bigint"))}
+    )
+
+
+def judged_accounts(bronze: DataFrame, customers: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+    """Every account record that deduplication leaves, with ``reason``: why it reaches no gold table, else NULL.
+
+    Silver, the dimension, quarantine and the ledger are projections and filters of this frame."""
+    rules = rules or RuleSet.default()
+    newest = _judged(bronze, typed_accounts, "account_id", ACCOUNT_DATES, [*ACCOUNT_DATES, "credit_limit", "current_balance"], rules)
     linked = mark_known(newest, "customer_ref", customers, "customer_id", "_customer")
-    no_owner = (
-        linked.filter(F.col("_customer").isNull())
-        .drop("_customer")
-        .withColumn(
-            "reason",
-            F.when(F.col("customer_ref").isNull(), "NO_CUSTOMER_REF").otherwise("UNKNOWN_CUSTOMER"),
-        )
+    reason = (
+        F.when(F.col("_malformed"), fv.MALFORMED_LINE)
+        .when(missing("account_id"), fv.NULL_REQUIRED_ACCOUNT)
+        .when(F.lit(rules.excludes(fv.DATE_FORMAT)) & F.col("_bad_date"), fv.DATE_FORMAT_ACCOUNT)
+        .when(F.col("customer_ref").isNull(), fv.NO_CUSTOMER_REF)
+        .when(F.col("_customer").isNull(), fv.UNKNOWN_CUSTOMER)
+    )
+    return linked.withColumn("reason", reason).drop("_customer")
+
+
+def accounts_from(judged: DataFrame) -> DataFrame:
+    """The silver table out of ``judged_accounts``."""
+    kept = F.col("reason").isNull() | (F.col("reason") == fv.UNKNOWN_CUSTOMER)
+    return judged.filter(kept).select(*ACCOUNT_COLUMNS)
+
+
+def judged_customers(bronze: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+    """Every customer record that deduplication leaves, with ``reason`` as for accounts."""
+    rules = rules or RuleSet.default()
+    newest = _judged(bronze, typed_customers, "customer_id", CUSTOMER_DATES, [*CUSTOMER_DATES, "risk_score"], rules)
+    reason = (
+        F.when(F.col("_malformed"), fv.MALFORMED_LINE)
+        .when(missing("customer_id"), fv.NULL_REQUIRED)
+        .when(F.lit(rules.excludes(fv.DATE_FORMAT)) & F.col("_bad_date"), fv.DATE_FORMAT_CUSTOMER)
     )
-    return no_key.unionByName(no_owner)
+    return newest.withColumn("reason", reason)
+
+
+def customers_from(judged: DataFrame) -> DataFrame:
+    """The silver table out of ``judged_customers``."""
+    return judged.filter(F.col("reason").isNull()).select(*CUSTOMER_COLUMNS)
+
+
+def rejected(judged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Records that reach no gold table, each with its reason and the values as delivered.
+
+    Older deliveries of a record that was kept are duplicates, not rejects."""
+    raw = F.to_json("_raw").alias("raw")
+    return judged.filter(F.col("reason").isNotNull()).select(*columns, raw, "reason")
+
+
+def rejected_accounts(bronze: DataFrame, customers: DataFrame) -> DataFrame:
+    return rejected(judged_accounts(bronze, customers), ACCOUNT_COLUMNS)
 
 
 def rejected_customers(bronze: DataFrame) -> DataFrame:
-    """Customer records without a key."""
-    typed = typed_customers(bronze)
-    return typed.filter(missing("customer_id")).withColumn("reason", F.lit(fv.NULL_REQUIRED))
+    return rejected(judged_customers(bronze), CUSTOMER_COLUMNS)
 
 
 def customer_copies(bronze: DataFrame) -> DataFrame:
     """How often every customer was delivered."""
-    return group_sizes(typed_customers(bronze), "customer_id", "_dup_count")
-
-
-#: The dates of the other two sources.
-ACCOUNT_DATES = ["open_date", "last_activity_date"]
-CUSTOMER_DATES = ["dob"]
+    return group_sizes(typed_customers(readable(bronze)), "customer_id", "_dup_count")
 
 
 def unreadable_dates(bronze: DataFrame, key: str, fields: Sequence[str], rules: RuleSet | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,49 +12,89 @@ from pyspark.sql.utils import AnalysisException
 
 from tierwell import fixed_values as fv
 from tierwell.schemas import CORRUPT, RAW_TRANSACTIONS
+from tierwell.sources.shared import exists, fresh_path
+from tierwell.sources.sinks import overwrite
 
 
 #: The file source forgets files by age, by default after a week; this is a hundred years.
 FILES_OF_ANY_AGE = "36500d"
 
 
-def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files by the names in their first lines.  Spark reads the lines; one row a file comes back."""
-    lines = (
-        spark.read.text(files)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
-        .filter(F.col("start") == 0)
-        .withColumn("place", F.monotonically_increasing_id())
+def literal(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Paths as readers take them.  One that exists as it is written means just that, whatever blanks,
+    brackets or other glob characters it has; one that does not is a glob."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return [_GLOB_CHARACTERS.sub(r"\\\1", p) if exists(spark, p) else p for p in paths]
+
+
+_GLOB_CHARACTERS = re.compile(r"([\\{}\[\]*?])")
+
+
+def csv_lines(spark: SparkSession, path: str | list[str], at: str | None = None) -> DataFrame:
+    """The lines of text files, blank ones left out, each with its file, the start of its block there and its
+    place in the scan.  The text is read once; what comes back is a table written to ``at``."""
+    lines = spark.read.text(literal(spark, path)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
     )
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("line")).collect():
-        found.setdefault(tuple(next(csv.reader([row["line"]]), [])), []).append(row["file"])
-    return found
+    at = at or fresh_path(spark, "csv-lines")
+    overwrite(lines.filter(F.length(F.trim("value")) > 0), at)
+    return read_table(spark, at)
+
+
+def _names(header: str, spelled: dict[str, str]) -> list[str]:
+    """The columns of a header line, where only the case differs spelled as they first were.  Empty and
+    repeated names get their position."""
+    names: list[str] = []
+    for place, name in enumerate(next(csv.reader([header.removeprefix("\ufeff")]), [])):
+        name = name.strip() or f"_c{place}"
+        name = spelled.setdefault(name.lower(), name)
+        names.append(f"{name}_c{place}" if name in names else name)
+    return names
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, lines_at: str | None = None) -> DataFrame:
     """CSV files with a header each, every column as text; an empty field is NULL.
 
-    Every file is read by its own header line, so the order of columns may differ from file to file;
-    columns beyond ``schema`` are kept and those a file lacks are NULL.  A row with more or fewer
-    fields than its header is kept whole in ``_corrupt_record``."""
-    files = spark.read.text(path).inputFiles()
-    out = None
-    for names, own in _headers(spark, files).items() if files else ():
-        fields = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
-        reader = spark.read.schema(fields).option("header", True).option("enforceSchema", False)
-        rows = reader.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE").csv(own)
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    if out is None:
-        return empty(spark, T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in out.columns]
-    ordered = [c for c in out.columns if c != CORRUPT]
-    return out.select(*ordered, *absent, CORRUPT)
+    The lines are read once and written with their file (``csv_lines``, to ``lines_at``).  Every line is
+    parsed by the header of its own file, so the order of columns may differ from file to file; columns
+    beyond ``schema`` are kept and those a file lacks are NULL.  A line with more or fewer fields than its
+    header is kept whole in ``_corrupt_record``.  The driver sees the distinct header lines."""
+    lines = csv_lines(spark, path, lines_at)
+    headers = lines.filter(F.col("start") == 0).groupBy("file").agg(
+        F.min_by("value", "place").alias("header"), F.min("place").alias("header_place")
+    )
+    found = sorted(r["header"] for r in headers.select("header").distinct().collect())
+    spelled = {n.lower(): n for n in schema.fieldNames()}
+    layouts = [_names(h, spelled) for h in found]
+    columns = list(dict.fromkeys([*schema.fieldNames(), *(n for names in layouts for n in names)]))
+    if not found:
+        return empty(spark, T.StructType([T.StructField(n, T.StringType()) for n in (*columns, CORRUPT)]))
+    number = F.lit(0)
+    for place, header in enumerate(found):
+        number = F.when(F.col("header") == header, F.lit(place)).otherwise(number)
+    own = lines.join(headers.select("file", "header_place", number.alias("layout")), "file").filter(F.col("place") != F.col("header_place"))
+
+    def parsed(place: int, names: list[str]) -> Column:
+        fields = ", ".join(f"`{n.replace('`', '``')}` string" for n in (*names, CORRUPT))
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        row = F.from_csv("value", fields, options)
+        return F.when(F.col("layout") == place, row).alias(f"_{place}")
+
+    rows = own.select(*[parsed(k, names) for k, names in enumerate(layouts)])
+
+    def delivered(name: str) -> Column:
+        parts = [F.col(f"_{k}")[name] for k, names in enumerate(layouts) if name in names or name == CORRUPT]
+        return F.coalesce(*parts).alias(name) if parts else F.lit(None).cast("string").alias(name)
+
+    return rows.select(*[delivered(c) for c in (*columns, CORRUPT)])
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_TRANSACTIONS) -> DataFrame:
     """JSON lines.  Absent keys read as NULL; a malformed line is kept in ``_corrupt_record``."""
-    return _json_options(spark.read.schema(schema)).json(path)
+    return _json_options(spark.read.schema(schema)).json(literal(spark, path))
 
 
 def read_jsonl_as_delivered(
@@ -99,7 +140,7 @@ def _json_options(reader):
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw lines as text in ``value``, for checks on how a value was delivered."""
-    return spark.read.text(path)
+    return spark.read.text(literal(spark, path))
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

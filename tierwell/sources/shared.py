@@ -40,6 +40,12 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(at)) if system.exists(at) else []
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder has exactly this name, glob characters included."""
+    system, at = _folder(spark, path)
+    return system.exists(at)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has written."""
     system, at = _folder(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -32,11 +32,31 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str
 
     With ``partition_by`` rows are first brought together by its value; the rebalance hint lets
     adaptive execution split a value that is far larger than the others."""
-    writer = (df.hint("rebalance", partition_by) if partition_by else df).write.format(fmt).mode("overwrite")
+    return _written(_brought_together(df, partition_by), path, fmt, partition_by)
+
+
+def _brought_together(df: DataFrame, partition_by: str | None) -> DataFrame:
+    return df.hint("rebalance", partition_by) if partition_by else df
+
+
+def _written(df: DataFrame, path: str, fmt: str, partition_by: str | None) -> str:
+    writer = df.write.format(fmt).mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).save(path)
     return path
 
 
+def overwrite_counted(
+    df: DataFrame, path: str, counts: Sequence[Column], fmt: str = "parquet", partition_by: str | None = None
+) -> dict[str, int]:
+    """The same, and the values of the aggregates ``counts``, taken from the rows as they are written.
+
+    They are observed in the tasks that write, of which each counts once, however often it is tried; so
+    nothing is read again to know what a table holds."""
+    seen = Observation()
+    _written(_brought_together(df, partition_by).observe(seen, *counts), path, fmt, partition_by)
+    return {name: value or 0 for name, value in seen.get.items()}
+
+
 def quarantine_rows(df: DataFrame, source: str, key: str, reason: str = "reason") -> DataFrame:
     """Excluded rows in one common shape: where from, which, why, and the row itself."""
     body = [c for c in df.columns if c != reason]
