@@ -15,7 +15,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from tests.llm.cases import CLASHING, N_CLASHING, ODD_IDS, ODD_TEXTS, documents, no_documents, odd_documents
 from tests.oracle import compare, connect
-from tierwell.llm import embeddings, packing, simhash, substrings, topk
+from tierwell.llm import embeddings, packing, simhash, substrings, topk, words
 from tierwell.llm.components import components, local_roots
 
 SMALL = "/root/testdata/sf0.001"
@@ -324,6 +324,60 @@ def test_chunks_equal_the_whole_text():
         assert np.frombuffer(encoder([text])[0], dtype=encoder.dtype).tolist() == want, repr(text)
 
 
+def test_pieces_equal_the_whole_text():
+    vocabulary = packing.read_vocabulary(packing.VOCABULARY)
+    encoder = vocabulary.encoder()
+    assert isinstance(encoder, packing.TextEncoder)
+    whole = packing.WholeEncoder(vocabulary.file)
+
+    def check(texts):
+        got = [np.frombuffer(g, dtype=encoder.dtype).tolist() for g in encoder(texts)]
+        want = [np.frombuffer(w, dtype=whole.dtype).tolist() for w in whole(texts)]
+        for text, g, w in zip(texts, got, want, strict=True):
+            assert g == w, repr(text)
+
+    rng = random.Random(9)
+    parts = ["the", "The", "it's", "'", ".", '."', "»", "é", "a\u0301", "É", "×", "÷", "ÿÞ", "İ", "ß", "12", "٣", "$$$", " ", "  ", "\n", "\x1c", "\x00", "\x7f", "\x85", "\u2028", "日", "😀", "<|endoftext|>", "antidisestablishmentarianism", "x" * 500]
+    # A small table, so that pieces take each other's place and the table is given up now and then.
+    encoder.pieces = words.PieceEncoder(vocabulary.ranks, encoder.dtype, encoder.pieces.others, encoder.pieces.chunks, bits=4)
+    for _ in range(300):
+        check(["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(1, 8))])
+    check(["", "", "a", ""])
+    check([""])
+    check(["word " * 4000, "9" * 1000, "é" * 20])
+
+
+def test_plain_words_equal_the_library(spark):
+    """Every distinct word of the given documents, and random ones of all plain letters."""
+    vocabulary = packing.read_vocabulary(packing.VOCABULARY)
+    library = packing.ChunkEncoder(vocabulary.file)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {w for r in docs.collect() for w in library._chunks(r["text"] or "")}
+    rng = random.Random(10)
+    letters = [bytes([b]).decode() for b in range(0x61, 0x7B)] + [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
+    found |= {"".join(rng.choices(letters, weights=[9] * 26 + [1] * 32, k=rng.randint(1, 30))) for _ in range(20000)}
+    plain = sorted(w for w in found if library._WORD.fullmatch(w))
+    ids, counts = words.Words(vocabulary.ranks, library.dtype)(np.frombuffer(("\x00".join(plain) + "\x00").encode(), dtype=np.uint8))
+    want = library._encoded(library.letters, plain)
+    ends = np.cumsum(counts)
+    assert len(plain) > 20000 and all(ids[e - n : e].tobytes() == want[w] for w, n, e in zip(plain, counts, ends, strict=True))
+
+
+def test_other_vocabularies_encode_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not packing.read_vocabulary(path).pieces
+    texts = ["It's  a\n test", "", None, "é ß " * 700]
+    rows = packing.pack(documents(spark, texts), vocabulary=path).collect()
+    tokenizer = Tokenizer.from_file(path)
+    for i, text in enumerate(texts):
+        own = sorted((r for r in rows if r["row"]["doc_id"] == i), key=lambda r: r["start"])
+        got = np.frombuffer(b"".join(r["ids"] for r in own), dtype="<u4").tolist()
+        assert got == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
 def test_least_squares_and_plan():
     rng = np.random.default_rng(0)
     a = rng.random((6, 9))

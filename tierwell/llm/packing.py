@@ -13,6 +13,7 @@ the greedy stream are running sums within each input partition plus offsets of w
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwell.llm.common import text_slices
+from tierwell.llm.words import PieceEncoder, WordRanks, word_ranks
 from tierwell.sources.shared import stored
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -126,7 +128,83 @@ class ChunkEncoder:
         return [b"".join(map(ids.__getitem__, p)) for p in parts]
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+# How a tokenizer has to normalise and split for its texts to be encoded piece by piece.
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def splits_into_pieces(vocabulary: str) -> bool:
+    """Whether ``ChunkEncoder`` and ``PieceEncoder`` hold for a tokenizer's file."""
+    found = json.loads(vocabulary)
+    before = (found.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        (found.get("normalizer") or {}).get("normalizers") == NORMALIZERS
+        and len(before) == 2
+        and before[0].get("pattern") == {"Regex": SPLIT}
+        and (before[0].get("behavior"), before[0].get("invert")) == ("Removed", True)
+        and (before[1].get("type"), before[1].get("add_prefix_space"), before[1].get("use_regex")) == ("ByteLevel", False, False)
+        and not found.get("post_processor")
+    )
+
+
+class WholeEncoder:
+    """Ids of whole texts by the tokenizer, for vocabularies of any kind."""
+
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        self.dtype = "<u4"
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+class TextEncoder:
+    """Ids of texts: by their pieces, odd chunks on their own."""
+
+    def __init__(self, vocabulary: str, ranks: WordRanks):
+        chunks = ChunkEncoder(vocabulary, cached=CACHED // 5)
+        self.dtype = chunks.dtype
+
+        def signs(pieces: list[str]) -> list[bytes]:
+            found = chunks._encoded(chunks.whole, pieces)
+            return [found[p] for p in pieces]
+
+        self.pieces = PieceEncoder(ranks, self.dtype, signs, chunks)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return self.pieces(texts)
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """A tokenizer's file, and what the driver has found out of it: whether texts can be encoded by pieces,
+    and the ranks of plain words."""
+
+    file: str
+    pieces: bool
+    ranks: WordRanks | None
+
+    def encoder(self) -> WholeEncoder | ChunkEncoder | TextEncoder:
+        if not self.pieces:
+            return WholeEncoder(self.file)
+        return TextEncoder(self.file, self.ranks) if self.ranks else ChunkEncoder(self.file)
+
+
+def read_vocabulary(path: str) -> Vocabulary:
+    with open(path, encoding="utf-8") as file:
+        text = file.read()
+    pieces = splits_into_pieces(text)
+    return Vocabulary(text, pieces, word_ranks(text) if pieces else None)
+
+
+_ENCODERS: dict[str, WholeEncoder | ChunkEncoder | TextEncoder] = {}
 
 
 def _forget() -> None:
@@ -134,11 +212,11 @@ def _forget() -> None:
     _ENCODERS.clear()
 
 
-def _encoder(vocabulary: str) -> ChunkEncoder:
-    if vocabulary not in _ENCODERS:
+def _encoder(vocabulary: Vocabulary) -> WholeEncoder | ChunkEncoder | TextEncoder:
+    if vocabulary.file not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[vocabulary] = ChunkEncoder(vocabulary)
-    return _ENCODERS[vocabulary]
+        _ENCODERS[vocabulary.file] = vocabulary.encoder()
+    return _ENCODERS[vocabulary.file]
 
 
 def _tokenise(shared, window: int, step: int):
@@ -367,8 +445,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW, st
     for each power of two below the window.  Repeated rows are packed each; ids of documents may be null
     or repeated; further columns are not looked at; no documents give no pieces."""
     spark = docs.sparkSession
-    with open(vocabulary, encoding="utf-8") as file:
-        shared = spark.sparkContext.broadcast(file.read())
+    shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
     own = docs.select(F.struct("doc_id").alias("row"), "text")
     kind = own.schema["row"].dataType.simpleString()
     tokens = stored(own.mapInArrow(_tokenise(shared, window, step), f"row {kind}, part int, at long, n long, full_before long, bin int, rank long, ids binary"), "tokens")
