@@ -416,3 +416,41 @@ def test_pipeline_stages(spark):
 def test_eleven_queries_are_registered():
     names = contract.queries()
     assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+
+
+# -- vectors of any size --------------------------------------------------------------------------
+
+
+def test_top_k_of_large_components(spark):
+    big = [[2.0**25, 1.0], [2.0**24, -2.0], [2.0**23, 2.0**24], [1.0, 0.0], [-(2.0**24), 3.0]]
+    frame = spark.createDataFrame([(20 * i, v) for i, v in enumerate(big)], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_products(frame).orderBy("query_id", "rank").collect()]
+    whole = [[int(np.floor(64 * c)) for c in v] for v in big]
+    want = []
+    for i, q in enumerate(whole):
+        scores = sorted((-sum(a * b for a, b in zip(q, c, strict=True)), 20 * j) for j, c in enumerate(whole) if j != i)
+        want += [(20 * i, k, j, -s) for k, (s, j) in enumerate(scores, start=1)]
+    assert got == want
+
+
+def test_top_k_beyond_longs(spark):
+    frame = spark.createDataFrame([(0, [1e300, 0.0]), (1, [1e300, 0.0]), (2, [-1e300, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in topk.top_products(frame).orderBy("rank").collect()]
+    assert got == [(1, (1 << 63) - 1), (3, 0), (2, -(1 << 63))]
+
+
+def test_vectors_of_extreme_lengths_link(spark):
+    vectors = [[1e200, 1e200], [2e200, 2e200], [1e-300, 1e-300], [5e-324, 5e-324], [1e308, -1e308], [1.0, -1.0], [1e-160, 0.0]]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(frame).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (3, 0), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
+def test_queries_split_hot_keys(spark):
+    """Registered queries set what splits a hot key's partition, whatever ran before them."""
+    from tierwell.llm import queries
+
+    name = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    spark.conf.unset(name)
+    queries.table(spark, SMALL, "documents")
+    assert spark.conf.get(name) == "true"

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -212,25 +213,6 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in urls.judge(pages(spark, ["http://a.net/q", None])).collect()} == {"allow"}
 
 
-def test_url_model_by_brute_force(spark):
-    """Counts and scores of the Spark training against a plain loop over the characters."""
-    texts = [(f"a{i}.example.com/fr/{i * 7}", "allow") for i in range(60)] + [(f"b{i}.example.com/de/{i * 3}", "block") for i in range(60)]
-    frame = spark.createDataFrame(texts, "body string, verdict string")
-    model = urls.train(frame)
-    learned = [(t, v) for t, v in texts if zlib.crc32(t.encode()) % 5]
-    slots = urls.Contexts()
-    context, follow = np.zeros_like(model.context), np.zeros_like(model.follow)
-    for t, v in learned:
-        _, chars, found = slots([t])
-        for k, s in enumerate(found):
-            np.add.at(context[int(v == "allow"), k], s, 1)
-            np.add.at(follow[int(v == "allow"), k], urls._cell(s, chars), 1)
-    assert (context == model.context).all() and (follow == model.follow).all()
-    score = dict(zip([t for t, _ in texts], model.scores([t for t, _ in texts]), strict=True))
-    held = [(t, v) for t, v in texts if not zlib.crc32(t.encode()) % 5]
-    assert held and all((score[t] >= model.threshold) == (v == "allow") for t, v in held)
-
-
 def plain_url_scores(known, asked):
     """Log ratios by plain loops: exact counts of every context of 0 to 4 bytes."""
     follow, context = ({y: {} for y in (0, 1)} for _ in range(2))
@@ -346,3 +328,131 @@ def test_text_slices_cover_all_rows():
     found = [(s, t) for s, part in text_slices(texts, 20) for s, t in zip(range(s, s + len(part)), part, strict=True)]
     assert [t for _, t in found] == [t or "" for t in texts.to_pylist()] and [s for s, _ in found] == list(range(5))
     assert ODD_IDS[4] == ODD_IDS[3]
+
+
+# -- licenses: priority, containment, versions, long texts ----------------------------------------
+
+
+def plain_uncontained(found):
+    """By comparing all pairs."""
+    kept = []
+    for one in sorted(found, key=lambda x: (-x[3], x[0] - x[1], x)):
+        if not any(k[0] <= one[0] and one[1] <= k[1] for k in kept):
+            kept.append(one)
+    return sorted(kept)
+
+
+def test_priority_and_containment_by_brute_force():
+    rng = random.Random(11)
+    for _ in range(400):
+        spans = set()
+        for _ in range(rng.randint(0, 14)):
+            a = rng.randint(0, 12)
+            spans.add((a, a + rng.randint(1, 6), rng.choice("xyz")))
+        found = [(*s, rng.choice((10, 50, 90)), 0.5) for s in spans]
+        assert sorted(licenses.uncontained(found)) == plain_uncontained(found)
+
+
+def test_license_versions():
+    def labels(text):
+        return sorted({k[2] for k in licenses.Scanner().scan(text).kept})
+
+    assert labels("Licensed under the GNU Free Documentation License, Version 1.1.") == ["gfdl-1.1"]
+    assert labels("Licensed under the EUPL version 1.1") == ["eupl-1.1"] and labels("Licensed under the EUPL v1.2") == ["eupl-1.2"]
+    assert labels("Licensed under CDDL 1.1 only") == ["cddl-1.1"] and labels("Licensed under CDDL") == ["cddl"]
+    assert labels("Licensed under the MIT and Apache 2.0 licenses.") == ["apache-2.0", "mit"]
+
+
+def test_license_scan_is_linear_in_the_text():
+    scanner = licenses.Scanner()
+    start = time.process_time()
+    found = scanner.scan("mit license " * 90_000)  # 1.08 MB
+    assert len(found.base) == 90_000 and found.base[-1] == (2 * 90_000 - 2, "mit") and found.n_words == 180_000
+    # "mit license" and, between two of them, "license mit".
+    assert len(found.kept) == 179_999 and found.kept[-1][:3] == (2 * 90_000 - 2, 2 * 90_000, "mit")
+    # Far below the minutes that comparing all pairs would take, on a slow machine too.
+    assert time.process_time() - start < 8
+    assert len({(r.label, r.pattern, r.priority) for r, _ in scanner.rules}) == len(scanner.rules)
+
+
+# -- more languages than are scored at once -------------------------------------------------------
+
+
+def test_any_number_of_languages(spark):
+    rng = random.Random(12)
+    names = [f"l{i:03d}" for i in range(150)]
+    words = {n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(3)] for n in names}
+    texts = [" ".join(rng.choices(words[n], k=12)) for n in names for _ in range(4)]
+    langs = [n for n in names for _ in range(4)]
+    docs = documents(spark, texts, list(range(len(texts))), langs)
+    rows = language.identify(docs).collect()
+    assert len(rows) == 600
+    right = sum(r["lang_pred"] == langs[r["doc_id"]] for r in rows)
+    assert right > 560 and all(0 < r["score"] <= 1 for r in rows)
+    # Scores in groups are those of all languages at once.
+    model = language.train(language.training_rows(docs))
+    assert len(model.languages) > 140
+    got = language.score_texts(model, texts[:40])
+    for text, name, score in zip(texts, *got, strict=False):
+        total = model.log_prior.astype(float).copy()
+        grams = language.Grams(language.ORDERS, language.BITS)
+        for codes, owner in grams.blocks([text]):
+            for _, slot in grams.hashed(codes, owner):
+                total += model.log_prob[slot].sum(axis=0, dtype=float)
+        share = np.exp(total - total.max())
+        assert model.languages[int(total.argmax())] == name and score == pytest.approx(1 / share.sum(), rel=1e-6)
+
+
+def test_language_counts_of_many_groups(spark):
+    """Counts handed on in the middle add up to the same."""
+    names = [f"l{i:03d}" for i in range(64 * 6)]
+    docs = documents(spark, ["ab " + n for n in names] * 2, list(range(2 * len(names))), names * 2).coalesce(1)
+    model = language.train(docs)
+    slots = {s for codes, owner in language.Grams(language.ORDERS, language.BITS).blocks(["ab l"]) for _, s in language.Grams(language.ORDERS, language.BITS).hashed(codes, owner) for s in s.tolist()}
+    assert len(model.languages) == len(names) and model.log_prob.shape == (1 << language.BITS, len(names))
+    assert np.allclose(model.log_prob[sorted(slots)], model.log_prob[sorted(slots)][:, :1])
+
+
+# -- toxicity: what counts towards the bound, repeats, and the fit ---------------------------------
+
+
+def test_labels_without_a_text_take_no_place(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PER_CLASS", 10)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    some = ids[-40:]
+    docs = documents(spark, [None if i == some[0] else f"text {i}" for i in some], some)
+    sample, share = toxicity.training_sample(docs, labels)
+    assert {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()} == {0: 10, 1: 10}
+    rated = [k % 2 for k, i in enumerate(ids) if i in some[1:]]
+    assert share == pytest.approx(sum(rated) / len(rated))
+
+
+def test_repeated_documents_teach_once(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PER_CLASS", 5)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:8]
+    docs = documents(spark, ["b", "a", *["c"] * 500, *"defghi"], [ids[0], ids[0], *[ids[1]] * 500, *ids[2:]])
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)] * 3, "doc_id long, toxic int")
+    sample, share = toxicity.training_sample(docs, labels)
+    assert sorted(r["text"] for r in sample.collect()) == ["a", "c", *"defghi"] and share == 0.5
+
+
+def test_fit_by_plain_loops():
+    """The accelerated fit against many plain gradient steps on dense rows."""
+    rng = np.random.default_rng(13)
+    x = rng.random((80, 12)) < 0.4
+    ratio = rng.normal(size=12)
+    labels = (x[:, 0] | (rng.random(80) < 0.3)).astype(float)
+    weight, bias = toxicity._fit([np.flatnonzero(r) for r in x], labels, ratio, 0.2)
+    dense, each = x * ratio, np.where(labels == 1, 0.2 / labels.sum(), 0.8 / (1 - labels).sum())
+
+    def loss(w, b):
+        margin = dense @ w + b
+        return (each * (np.logaddexp(0, margin) - labels * margin)).sum() + toxicity.PENALTY / 2 * (w**2).sum()
+
+    w, b = np.zeros(12), 0.0
+    for _ in range(60_000):
+        miss = each * (1 / (1 + np.exp(-(dense @ w + b))) - labels)
+        w, b = w - 0.5 * (dense.T @ miss + toxicity.PENALTY * w), b - 0.5 * miss.sum()
+    assert loss(weight, bias) - loss(w, b) < 1e-4
+    assert np.abs(1 / (1 + np.exp(-(dense @ weight + bias))) - 1 / (1 + np.exp(-(dense @ w + b)))).max() < 0.02

@@ -31,6 +31,8 @@ _SLACK = 1e-9
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
+    # By the largest component first: squares of long or short vectors would leave the range of doubles.
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 

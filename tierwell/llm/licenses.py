@@ -7,9 +7,11 @@ suppressed.  The phrases of the base are rules as well; what they detect is neve
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +52,19 @@ FAMILIES = (
     ("lgpl-2.1", r"(?:the )?(?:gnu )?(?:(?:lesser|library) general public license|lgpl)(?: version)? v?2 1", r"lgpl 2 1(?: only| or later)?", "lgpl|general public"),
     ("lgpl-3.0", r"(?:the )?(?:gnu )?(?:lesser general public license|lgpl)(?: version)? v?3(?: 0)?", r"lgpl 3 0(?: only| or later)?", "lgpl|general public"),
     ("agpl-3.0", r"(?:the )?(?:gnu )?(?:affero general public license|agpl)(?: version)? v?3(?: 0)?", r"agpl 3 0(?: only| or later)?", "agpl|affero"),
-    ("gfdl-1.3", r"(?:the )?(?:gnu )?(?:free documentation license|gfdl|fdl)(?: version)? v?1 [123]", r"gfdl 1 [123](?: only| or later)?", "documentation|fdl"),
+    ("gfdl-1.1", r"(?:the )?(?:gnu )?(?:free documentation license|gfdl|fdl)(?: version)? v?1 1", r"gfdl 1 1(?: only| or later)?", "documentation|fdl"),
+    ("gfdl-1.2", r"(?:the )?(?:gnu )?(?:free documentation license|gfdl|fdl)(?: version)? v?1 2", r"gfdl 1 2(?: only| or later)?", "documentation|fdl"),
+    ("gfdl-1.3", r"(?:the )?(?:gnu )?(?:free documentation license|gfdl|fdl)(?: version)? v?1 3", r"gfdl 1 3(?: only| or later)?", "documentation|fdl"),
     ("mpl-1.1", r"(?:the )?(?:mozilla public license|mpl)(?: version)? v?1 1", r"mpl 1 1", "mozilla|mpl"),
     ("mpl-2.0", r"(?:the )?(?:mozilla public license|mpl)(?: version)? v?2(?: 0)?", r"mpl 2 0", "mozilla|mpl"),
     ("epl-1.0", r"(?:the )?(?:eclipse public license|epl)(?: version)? v?1(?: 0)?", r"epl 1 0", "eclipse|epl"),
     ("epl-2.0", r"(?:the )?(?:eclipse public license|epl)(?: version)? v?2(?: 0)?", r"epl 2 0", "eclipse|epl"),
-    ("cddl-1.0", r"(?:the )?(?:common development and distribution license|cddl)", r"cddl 1 [01]", "cddl|common development"),
+    ("cddl", r"(?:the )?(?:common development and distribution license|cddl)", r"cddl", "cddl|common development"),
+    ("cddl-1.0", r"(?:the )?(?:common development and distribution license|cddl)(?: version)? v?1 0", r"cddl 1 0", "cddl|common development"),
+    ("cddl-1.1", r"(?:the )?(?:common development and distribution license|cddl)(?: version)? v?1 1", r"cddl 1 1", "cddl|common development"),
     ("cpl-1.0", r"(?:the )?(?:common public license|cpl)(?: version)? v?1(?: 0)?", r"cpl 1 0", "common public|cpl"),
-    ("eupl-1.2", r"(?:the )?(?:european union public licen[cs]e|eupl)(?: version)? v?1 [12]", r"eupl 1 [12]", "european union|eupl"),
+    ("eupl-1.1", r"(?:the )?(?:european union public licen[cs]e|eupl)(?: version)? v?1 1", r"eupl 1 1", "european union|eupl"),
+    ("eupl-1.2", r"(?:the )?(?:european union public licen[cs]e|eupl)(?: version)? v?1 2", r"eupl 1 2", "european union|eupl"),
     ("artistic-2.0", r"(?:the )?artistic(?: license)?(?: version)? v?2(?: 0)?", r"artistic 2 0", "artistic"),
     ("artistic-1.0", r"(?:the )?artistic(?: license)?(?: version)? v?1(?: 0)?", r"artistic 1 0", "artistic"),
     ("bsl-1.0", r"(?:the )?boost software license(?: version)?(?: v?1 0)?", r"bsl 1 0", "boost|bsl"),
@@ -88,11 +95,11 @@ FAMILIES = (
 #: The ways a family is mentioned: pattern around its name or identifier, priority, weight.
 FORMS = (
     (r"spdx license identifier {id}", "id", 90, 1.0),
-    (r"(?:(?:is|are) )?(?:dual )?(?:re)?licensed under (?:the terms of )?{name}(?: licen[cs]e)?", "name", 80, 0.95),
-    (r"(?:released|distributed|available|published|provided|redistribut\w+) under (?:the terms of )?{name}(?: licen[cs]e)?", "name", 75, 0.9),
-    (r"(?:under|subject to) the (?:terms|conditions|terms and conditions) of {name}(?: licen[cs]e)?", "name", 70, 0.85),
+    (r"(?:(?:is|are) )?(?:dual )?(?:re)?licensed under (?:the terms of )?{name}(?: licen[cs]es?)?", "name", 80, 0.95),
+    (r"(?:released|distributed|available|published|provided|redistribut\w+) under (?:the terms of )?{name}(?: licen[cs]es?)?", "name", 75, 0.9),
+    (r"(?:under|subject to) the (?:terms|conditions|terms and conditions) of {name}(?: licen[cs]es?)?", "name", 70, 0.85),
     (r"licen[cs]e {id}", "id", 60, 0.7),
-    (r"{name} licen[cs]e", "name", 50, 0.6),
+    (r"{name} licen[cs]es?", "name", 50, 0.6),
 )
 
 #: Sentences of the licenses themselves and notices that name no family of the table.
@@ -145,36 +152,70 @@ class Scan:
     kept: tuple[tuple[int, int, str, int, float], ...]  # (first word, end word, label, priority, weight)
 
 
+def uncontained(found: Sequence[tuple[int, int, str, int, float]]) -> list[tuple[int, int, str, int, float]]:
+    """The (start, end, label, priority, weight) that lie in none of higher priority and in no longer one of
+    their own; of equal spans the one of higher priority, then the first by alphabet.
+
+    Whatever lies in a suppressed one lies in what suppresses it, so it is enough to know the furthest end
+    of all that start no later: a sort and a look-up for each priority."""
+    kept: list[tuple[int, int, str, int, float]] = []
+    starts: list[int] = []
+    reach: list[int] = []
+    for _, own in itertools.groupby(sorted(found, key=lambda x: (-x[3], x[0], -x[1], x[2])), key=lambda x: x[3]):
+        end = -1
+        added = []
+        for one in own:
+            before = bisect.bisect_right(starts, one[0])
+            if one[1] > end and (not before or reach[before - 1] < one[1]):
+                added.append(one)
+            end = max(end, one[1])
+        if added:
+            kept += added
+            spans = sorted((a, b) for a, b, *_ in kept)
+            starts, reach = [a for a, _ in spans], list(itertools.accumulate((b for _, b in spans), max))
+    return kept
+
+
 class Scanner:
+    """Each distinct pattern is tried once, where one of its keywords occurs."""
+
     def __init__(self, found: Sequence[Rule] | None = None):
-        self.rules = [(r, re.compile(rb"(?= " + r.pattern.encode() + rb" )" if r.base else rb" " + r.pattern.encode() + rb"(?= )")) for r in found or rules()]
+        keys: dict[Rule, list[bytes]] = {}
+        for rule in found or rules():
+            keys.setdefault(replace(rule, keyword=b""), []).append(rule.keyword)
+        self.rules = [(r, re.compile(rb"(?= " + r.pattern.encode() + rb" )" if r.base else rb" " + r.pattern.encode() + rb"(?= )")) for r in keys]
         self.by_key: dict[bytes, list[int]] = {}
-        for i, (r, _) in enumerate(self.rules):
-            self.by_key.setdefault(r.keyword, []).append(i)
+        for i, own in enumerate(keys.values()):
+            for key in own:
+                self.by_key.setdefault(key, []).append(i)
 
     def scan(self, text: str) -> Scan:
         line = b" " + b" ".join(text.encode("utf-8", "surrogatepass").translate(_WORD).split()) + b" "
         n_words = line.count(b" ") - 1 if len(line) > 2 else 0
         if not any(g in line for g in GATES):
             return Scan(n_words, (), ())
-        tried = sorted(i for key, own in self.by_key.items() if key in line for i in own)
+        tried = sorted({i for key, own in self.by_key.items() if key in line for i in own})
         base: list[tuple[int, str]] = []
         found: dict[tuple[int, int, str], tuple[int, float]] = {}
         for i in tried:
             rule, pattern = self.rules[i]
             for m in pattern.finditer(line):
                 if rule.base:
-                    base.append((line.count(b" ", 0, m.start()), rule.label))
+                    base.append((m.start(), rule.label))
                 else:
                     span = (m.start(), m.end(), rule.label)
                     found[span] = max(found.get(span, (0, 0.0)), (rule.priority, rule.weight))
-        # Contained in one of higher priority, or in a longer one of the same: suppressed.
-        kept: list[tuple[int, int, str, int, float]] = []
-        for (a, b, label), (priority, weight) in sorted(found.items(), key=lambda x: (-x[1][0], x[0][0] - x[0][1], x[0])):
-            if not any(c <= a and b <= d for c, d, *_ in kept):
-                kept.append((a, b, label, priority, weight))
-        place = [(line.count(b" ", 0, a), line.count(b" ", 0, b), label, p, w) for a, b, label, p, w in sorted(kept)]
-        return Scan(n_words, tuple(sorted(base)), tuple(place))
+        if not base and not found:
+            return Scan(n_words, (), ())
+        blanks = np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 32)
+
+        def words(places: Sequence[int]) -> list[int]:
+            return np.searchsorted(blanks, np.asarray(places, dtype=np.int64)).tolist()
+
+        kept = sorted(uncontained([(*span, *value) for span, value in found.items()]))
+        first, end = words([k[0] for k in kept]), words([k[1] for k in kept])
+        bases = sorted(zip(words([a for a, _ in base]), (label for _, label in base), strict=True))
+        return Scan(n_words, tuple(bases), tuple((a, b, *k[2:]) for a, b, k in zip(first, end, kept, strict=True)))
 
 
 _SCANNERS: list[Scanner] = []
@@ -215,7 +256,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     A null text is empty; texts without a detection have empty label lists, score 0 and null places.
     Overlapping base places count each.  Of equal spans the label of higher priority, then the first
-    by alphabet, stays.  Repeated rows each get their row; further columns are not looked at."""
+    by alphabet, stays.  Texts are scanned whole, in time that grows with their length and detections.
+    Repeated rows each get their row; further columns are not looked at."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         _scan_batches,

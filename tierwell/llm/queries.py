@@ -15,12 +15,14 @@ from tierwell.llm.topk import top_products
 from tierwell.llm.toxicity import score_toxicity
 from tierwell.llm.urls import judge
 from tierwell.llm.whitening import whiten
+from tierwell.tuning import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table, in a session whose joins split hot keys."""
+    return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -29,11 +29,15 @@ FOCUS = 4
 
 
 def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact integer products of rows: in doubles while they hold every sum, else in integers."""
+    """Exact integer products of rows: in doubles while they hold every sum, else in integers, of any size
+    where they need it; what no long holds counts as the nearest that does."""
     bound = np.sqrt((left.astype(np.float64) ** 2).sum(axis=1).max(initial=0) * (right.astype(np.float64) ** 2).sum(axis=1).max(initial=0))
     if bound < 1 << 52:
         return (left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-    return left.astype(np.int64) @ right.astype(np.int64).T
+    if bound < 1 << 62:
+        return left @ right.T
+    wide = left.astype(object) @ right.astype(object).T
+    return np.clip(wide, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -42,7 +46,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         among = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
     else:
         among = np.arange(len(scores))
-    return among[np.lexsort((ids[among], -scores[among]))][:k]
+    return among[np.lexsort((ids[among], ~scores[among]))][:k]
 
 
 class Bucket:
@@ -88,7 +92,7 @@ class Bucket:
         yield q, places[best], scores[best]
 
 
-_NOTHING = -(1 << 62)
+_NOTHING = -(1 << 63)
 
 
 def _floors(shared, k: int):
@@ -97,13 +101,13 @@ def _floors(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             floors = np.full(batch.num_rows, _NOTHING, dtype=np.int64)
-            dims = np.array([len(v) // 4 for v in batch.column("vec").to_pylist()])
+            dims = np.array([len(v) // 8 for v in batch.column("vec").to_pylist()])
             for dim, bucket in shared.value.items():
                 own = np.flatnonzero(dims == dim)
                 if len(own):
                     part = batch.take(pa.array(own))
                     none = np.full(len(own), _NOTHING, dtype=np.int64)
-                    for q, _, scores in bucket.search(matrix(part.column("vec"), "<i4"), np.asarray(part.column("uid")), none, k):
+                    for q, _, scores in bucket.search(matrix(part.column("vec"), "<i8"), np.asarray(part.column("uid")), none, k):
                         if len(scores) == k:
                             floors[own[q]] = scores[-1]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floors)], names=[*batch.schema.names, "floor"])
@@ -114,12 +118,12 @@ def _floors(shared, k: int):
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, home, visitors in units(batches, ("dim", "bucket", "chunk"), "role"):
-            bucket = Bucket(matrix(home.column("vec").combine_chunks(), "<i4"), home.column("vec_id").to_numpy(), home.column("uid").to_numpy())
+            bucket = Bucket(matrix(home.column("vec").combine_chunks(), "<i8"), home.column("vec_id").to_numpy(), home.column("uid").to_numpy())
             for batch in visitors:
                 for at in range(0, batch.num_rows, 1024):
                     part = batch.slice(at, 1024)
                     uid, ids = np.asarray(part.column("uid")), np.asarray(part.column("vec_id"))
-                    found = [(q, p, s) for q, p, s in bucket.search(matrix(part.column("vec"), "<i4"), uid, np.asarray(part.column("floor")), k) if len(p)]
+                    found = [(q, p, s) for q, p, s in bucket.search(matrix(part.column("vec"), "<i8"), uid, np.asarray(part.column("floor")), k) if len(p)]
                     if found:
                         rows = np.repeat([q for q, _, _ in found], [len(p) for _, p, _ in found])
                         yield pa.RecordBatch.from_arrays(
@@ -135,8 +139,8 @@ def top_products(embeddings: DataFrame, every: int = 20, k: int = K, bucket: int
 
     A component x counts as floor(64 x).  Queries are the rows whose vec_id is divisible by ``every``,
     candidates all rows but the query's own; ties go to the smaller vec_id.  Rows without an id and
-    vectors that are null, empty, hold null or non-finite components, or components of 2**25 or more,
-    take no part; only vectors of one length meet.  Repeated rows are rows of their own, also as
+    vectors that are null, empty or hold null or non-finite components take no part; components of 2**56
+    or more count as that, and scores beyond a long as its nearest; only vectors of one length meet.  Repeated rows are rows of their own, also as
     queries.  Further columns are not looked at; without queries the result is empty."""
     spark = embeddings.sparkSession
     whole = embeddings.where(F.col("vec_id").isNotNull()).select("vec_id", packed_integers(F.col("embedding"), SCALE).alias("vec")).where(F.col("vec").isNotNull())
@@ -153,7 +157,7 @@ def top_products(embeddings: DataFrame, every: int = 20, k: int = K, bucket: int
     first: dict[int, Bucket] = {}
     for dim in {r["dim"] for r in longest}:
         own = [r for r in longest if r["dim"] == dim]
-        first[dim] = Bucket(np.stack([np.frombuffer(bytes(r["vec"]), dtype="<i4") for r in own]), np.array([r["vec_id"] for r in own]), np.array([r["uid"] for r in own]))
+        first[dim] = Bucket(np.stack([np.frombuffer(bytes(r["vec"]), dtype="<i8") for r in own]), np.array([r["vec_id"] for r in own]), np.array([r["uid"] for r in own]))
     shared = spark.sparkContext.broadcast(first)
     schema = "vec_id long, vec binary, dim int, square double, uid long"
     queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "vec", "dim", "square", "uid").mapInArrow(_floors(shared, k), f"{schema}, floor long")
@@ -177,6 +181,6 @@ def _with_squares(whole: DataFrame) -> DataFrame:
 
     @F.arrow_udf("double")
     def squares(vectors: pa.Array) -> pa.Array:
-        return pa.array([float((np.frombuffer(v, dtype="<i4").astype(np.float64) ** 2).sum()) for v in vectors.to_pylist()], pa.float64())
+        return pa.array([float((np.frombuffer(v, dtype="<i8").astype(np.float64) ** 2).sum()) for v in vectors.to_pylist()], pa.float64())
 
-    return whole.select(F.col("vec_id").cast("long").alias("vec_id"), "vec", (F.octet_length("vec") / 4).cast("int").alias("dim"), squares(F.col("vec")).alias("square"))
+    return whole.select(F.col("vec_id").cast("long").alias("vec_id"), "vec", (F.octet_length("vec") / 8).cast("int").alias("dim"), squares(F.col("vec")).alias("square"))

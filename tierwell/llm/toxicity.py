@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwell.llm.common import Grams, fold_is, text_slices
+from tierwell.sources.shared import stored
 
 BITS = 20
 ORDERS = (3, 4, 5, 6)
@@ -25,6 +26,9 @@ LEAST_DOCS = 3
 LEAST_SHARE = 0.01
 LEAST_Z = 4.5
 PENALTY = 0.0001
+#: The fit's steps, and the gradient at which it ends before.
+STEPS = 600
+CLOSE = 1e-5
 THRESHOLD = 0.7
 
 
@@ -79,7 +83,9 @@ def _rows_of_features(feature: np.ndarray):
 
 
 def _fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, share: float) -> tuple[np.ndarray, float]:
-    """Penalised logistic regression by accelerated gradient steps; classes weigh as in the corpus."""
+    """Penalised logistic regression by accelerated gradient steps; classes weigh as in the corpus.
+
+    Steps end once the gradient is CLOSE to nothing, or after STEPS of them."""
     n, k = len(rows), len(ratio)
     indices = np.concatenate(rows) if n else np.zeros(0, dtype=np.int64)
     owner = np.repeat(np.arange(n), [len(r) for r in rows])
@@ -95,10 +101,12 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, share: f
         curve = float(np.linalg.norm(step)) or 1.0
         probe = step / curve
     rate = 1.0 / (0.3 * curve + PENALTY)
-    for turn in range(1, 301):
+    for turn in range(1, STEPS + 1):
         margin = np.bincount(owner, values * ahead[indices], minlength=n) + ahead_bias
         miss = each * (1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60))) - labels)
         grad = np.bincount(indices, values * miss[owner], minlength=k) + PENALTY * ahead
+        if max(np.abs(grad).max(initial=0.0), abs(miss.sum())) <= CLOSE:
+            break
         new, new_bias = ahead - rate * grad, ahead_bias - rate * miss.sum()
         push = (turn - 1) / (turn + 2)
         ahead, ahead_bias = new + push * (new - weight), new_bias + push * (new_bias - bias)
@@ -107,18 +115,24 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, share: f
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
-    """(text, label) of at most PER_CLASS labelled rows of each label outside the held-out fold, and
-    the share of label 1 among all of those.  A document labelled both ways counts as toxic."""
+    """(text, label) of at most PER_CLASS labelled documents of each label outside the held-out fold, and
+    the share of label 1 among all of those.
+
+    Only labels of documents with text count, and towards the bound too; a document labelled both ways
+    counts as toxic, and of rows that share a doc_id the first text by its bytes teaches."""
     rated = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~fold_is("doc_id", 1))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("label"))
     )
-    sizes = {r["label"]: r["n"] for r in rated.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    chosen = [rated.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for y in (0, 1)]
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
+    known = stored(rated.join(texts.select("doc_id").distinct(), "doc_id"), "rated-documents")
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for y in (0, 1)]
+    # At most PER_CLASS ids of each label, and as many rows in the end.
     both = F.broadcast(chosen[0].unionByName(chosen[1]))
-    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text").join(both, "doc_id").select("text", "label")
-    return texts, sizes.get(1, 0) / max(1, sum(sizes.values()))
+    one_each = texts.join(both, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    return stored(one_each.select("text", "label"), "labelled-sample"), sizes.get(1, 0) / max(1, sum(sizes.values()))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -185,6 +199,9 @@ def toxic(score: Column, threshold: float = THRESHOLD) -> Column:
 
 
 def keep_harmless(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the model does not call toxic, with all their columns."""
+    """The rows of ``docs`` that the model does not call toxic, with all their columns, whatever their names.
+
+    Null and empty texts get the model's base rate; without labels of both kinds nothing is called toxic.
+    Repeated rows share their fate; a score equal to the threshold is toxic.  Texts are read whole."""
     score = scorer(docs, train(docs, labels))
     return docs.where(~toxic(score(F.col("text"))))

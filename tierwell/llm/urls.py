@@ -10,7 +10,6 @@ fifth of the decided URLs under a model of the others; the judging model counts
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,6 @@ RULES = (
     ("block", "com", "/de/"),
 )
 ORDER = 5
-SLOTS = 1 << 16
 PRIOR = 4.0
 ALPHABET = 256
 BINS = 2000
@@ -65,107 +63,6 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return name, verdict
 
 
-class Contexts:
-    """Slots of the contexts of 0 to ORDER - 1 characters before each character of texts.
-
-    Each text begins with ORDER - 1 zero bytes and ends with one; texts are read as UTF-8 bytes."""
-
-    _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-    def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """(row of each character, the character, slots of its contexts by order)."""
-        raw = [b"\0" * (ORDER - 1) + t.encode("utf-8", "surrogatepass") + b"\0" for t in texts]
-        codes = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        sizes = np.array([len(r) for r in raw], dtype=np.int64)
-        rows = np.repeat(np.arange(len(raw)), sizes)
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-        at = np.flatnonzero(np.arange(len(codes)) - starts[rows] >= ORDER - 1)
-        key = np.zeros(len(at), dtype=np.uint64)
-        slots = [np.zeros(len(at), dtype=np.int64)]
-        for k in range(1, ORDER):
-            key = (key + codes[at - k].astype(np.uint64) + np.uint64(1)) * self._MIX
-            key ^= key >> np.uint64(31)
-            slots.append(((key * self._MIX) >> np.uint64(64 - (SLOTS.bit_length() - 1))).astype(np.int64))
-        return rows[at], codes[at].astype(np.int64), slots
-
-
-def _cell(slot: np.ndarray, char: np.ndarray) -> np.ndarray:
-    """The hashed cell of a character after a context."""
-    value = (slot.astype(np.uint64) * np.uint64(ALPHABET) + char.astype(np.uint64) + np.uint64(7)) * Contexts._MIX
-    value ^= value >> np.uint64(29)
-    return ((value * Contexts._MIX) >> np.uint64(64 - (SLOTS.bit_length() - 1))).astype(np.int64)
-
-
-@dataclass(frozen=True)
-class UrlModel:
-    """A hashed model of bounded size, for samples; ``judge`` counts exactly.
-
-    Counts by side (0 rejected, 1 accepted), order and slot: contexts, and characters after them."""
-
-    context: np.ndarray
-    follow: np.ndarray
-    threshold: float = 0.0
-
-    def scores(self, texts: Sequence[str]) -> np.ndarray:
-        """log P(accepted model) - log P(rejected model), divided by the number of characters."""
-        rows, chars, slots = Contexts()(texts)
-        total = np.zeros(len(texts))
-        for side, sign in ((0, -1.0), (1, 1.0)):
-            p = np.full(len(rows), 1.0 / ALPHABET)
-            for k, slot in enumerate(slots):
-                p = (self.follow[side, k, _cell(slot, chars)] + PRIOR * p) / (self.context[side, k, slot] + PRIOR)
-            total += sign * np.bincount(rows, np.log(np.minimum(p, 1.0)), minlength=len(texts))
-        return total / np.maximum(1, np.bincount(rows, minlength=len(texts)))
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    context = np.zeros((2, ORDER, SLOTS), dtype=np.int64)
-    follow = np.zeros((2, ORDER, SLOTS), dtype=np.int64)
-    for batch in batches:
-        sides = np.asarray(batch.column("side"), dtype=np.int64)
-        for start, texts in text_slices(batch.column("body")):
-            rows, chars, slots = Contexts()(texts)
-            side = sides[start + rows]
-            for k, slot in enumerate(slots):
-                for table, cell in ((context, slot), (follow, _cell(slot, chars))):
-                    table[:, k] += np.bincount(side * SLOTS + cell, minlength=2 * SLOTS).reshape(2, SLOTS)
-    for kind, table in enumerate((context, follow)):
-        cells = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(cells), kind), pa.int32()), pa.array(cells, pa.int32()), pa.array(table.ravel()[cells])], names=["kind", "cell", "n"]
-        )
-
-
-def _scorer(df: DataFrame, model: UrlModel):
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("double")
-    def score(bodies: pa.Array) -> pa.Array:
-        parts = [shared.value.scores(texts) for _, texts in text_slices(bodies)]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
-
-    return score
-
-
-def train(judged: DataFrame) -> UrlModel:
-    """A model of all rows of ``judged`` (body, verdict), its threshold from every fifth of them by hash.
-
-    The threshold balances both sides' error shares over the held-out rows; without rows on a side it is 0."""
-    known = judged.where(F.col("verdict").isNotNull()).select("body", (F.col("verdict") == "allow").cast("int").alias("side"), (F.crc32("body") % 5 == 0).alias("held"))
-    counts = known.where(~F.col("held")).select("body", "side").mapInArrow(_counts, "kind int, cell int, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n"))
-    tables = np.zeros((2, 2 * ORDER * SLOTS))
-    for r in counts.toLocalIterator():
-        tables[r["kind"], r["cell"]] = r["n"]
-    shape = (2, ORDER, SLOTS)
-    model = UrlModel(tables[0].reshape(shape).astype(np.float32), tables[1].reshape(shape).astype(np.float32))
-    score = _scorer(judged, model)
-    bins = _bin(score(F.col("body")))
-    held = np.zeros((2, BINS))
-    for r in known.where("held").select("side", bins.alias("bin")).groupBy("side", "bin").agg(F.count("*").alias("n")).collect():
-        held[r["side"], r["bin"]] = r["n"]
-    return UrlModel(model.context, model.follow, _balance(held))
-
-
 def _bin(score: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((score + REACH) / (2 * REACH / BINS)))).cast("int")
 

@@ -36,17 +36,19 @@ def packed(vector: Column) -> Column:
     return pack(vector)
 
 
+#: Whole numbers beyond this count as this; they have to fit a long.
+LIMIT = 1 << 62
+
+
 def packed_integers(vector: Column, scale: float) -> Column:
-    """floor(scale * x) of every component as little-endian 32-bit integers; null as in ``packed``,
-    and where a component does not fit."""
+    """floor(scale * x) of every component as little-endian 64-bit integers, at most LIMIT without sign; null
+    as in ``packed``."""
 
     @F.arrow_udf("binary")
     def pack(vectors: pa.Array) -> pa.Array:
-        out = []
-        for v in _rows(vectors):
-            whole = None if v is None else np.floor(v * scale)
-            out.append(None if whole is None or np.abs(whole).max() >= 1 << 31 else whole.astype("<i4").tobytes())
-        return pa.array(out, pa.binary())
+        with np.errstate(over="ignore"):
+            whole = [None if v is None else np.clip(np.floor(v * scale), -float(LIMIT), float(LIMIT)) for v in _rows(vectors)]
+        return pa.array([None if w is None else w.astype("<i8").tobytes() for w in whole], pa.binary())
 
     return pack(vector)
 
