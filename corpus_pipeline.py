@@ -15,6 +15,7 @@ from tierwell.llm.simhash import keep_one_each
 from tierwell.llm.substrings import drop_repeats
 from tierwell.llm.toxicity import keep_harmless
 from tierwell.sources.shared import stored
+from tierwell.tuning import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,7 +59,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents`` of ``sf_dir``; each result is written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
