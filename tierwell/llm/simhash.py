@@ -30,14 +30,6 @@ RADIUS = 4
 SEED = 42
 #: Fingerprints of a cell that are compared in one task; larger cells are split.
 CELL = 2048
-#: What keep_one_each calls near: sets of shingles of so many words with a Jaccard similarity of 4/5.
-WORDS = 5
-#: Its cells: bands of so many min-hashes, of which the first FIRST link most of what is near.
-BANDS, DEEP, FIRST = 14, 3, 3
-#: Fingerprints of sets further apart than this are not compared exactly.
-WIDE = 24
-#: Sets of a cell that are compared in one task, and those of them that the first round shows to all.
-SETS, LEADERS = 512, 16
 
 
 def shingle_hashes(text: str, width: int) -> list[int]:
@@ -239,148 +231,41 @@ def near_links(distinct: DataFrame, n: int, radius: int = RADIUS, cell: int = CE
     return dealt.mapInArrow(_compare(radius), "a long, b long")
 
 
+def _classes(distinct: DataFrame, radius: int) -> DataFrame:
+    """(fp, least, root) of ``distinct`` (fp, least): fingerprints linked to each other have one root."""
+    roots = components(near_links(distinct, distinct.count(), radius))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id for every row of ``docs`` (doc_id, text).
 
     Links join fingerprints at ``radius`` or fewer differing bits; component_id is the smallest doc_id
     of all documents reachable, the document itself included.  Null, empty and blank texts have
-    fingerprint zero and are linked like any other.  Repeated rows each get their row.  Rows without
-    an id take part; a component without any id has a null component_id.  Further columns are not
-    looked at; an empty table gives an empty result."""
+    fingerprint zero and are linked like any other.  Texts are read whole.  Repeated rows each get their
+    row.  Rows without an id take part; a component without any id has a null component_id.  Further
+    columns are not looked at; an empty table gives an empty result."""
     prints = stored(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(near_links(distinct, distinct.count(), radius))
-    grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    grouped = _classes(distinct, radius)
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = grouped.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(classes, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """The distinct hashes of the text's shingles of WORDS words, ascending."""
-    return np.unique(np.array(shingle_hashes(text, WORDS), dtype="<u8"))
-
-
-_MIX = np.random.default_rng(SEED).integers(0, 1 << 63, size=(BANDS * DEEP, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def band_keys(own: np.ndarray) -> list[int]:
-    """For each band a signed hash of its min-hashes; none for an empty set."""
-    if not len(own):
-        return []
-    least = np.array([((own ^ b) * a).min() for a, b in _MIX], dtype="<u8").reshape(BANDS, DEEP)
-    return _signed([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)]).tolist()
-
-
-def _set_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id and print as they are; node: a hash of the shingle set; its fingerprint and band keys."""
-    for batch in batches:
-        for start, texts in text_slices(batch.column("text")):
-            sets = [shingle_set(t) for t in texts]
-            node = _signed([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).slice(start, len(texts)) for c in ("doc_id", "print")]
-                + [pa.array(node), pa.array(_signed([_majority(x) for x in sets])), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "print", "node", "fp", "cells"],
-            )
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start, texts in text_slices(batch.column("text")):
-            yield pa.RecordBatch.from_arrays([batch.column("node").slice(start, len(texts)), pa.array([shingle_set(t).tobytes() for t in texts], pa.binary())], names=["node", "body"])
-
+def keep_one_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row of each group that ``near_duplicates`` links, all columns kept: the smallest doc_id, rows
+    without an id last, then by a hash of the text; of repeated rows one stays.
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Two sets of distinct values have a Jaccard similarity of 4/5 or more."""
-    if 5 * min(len(a), len(b)) < 4 * max(len(a), len(b)):
-        return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 5 * common >= 4 * (len(a) + len(b) - common)
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) of the similar sets of each unit, a spanning forest over what is linked already;
-    rows come sorted by unit.  Across two chunks only pairs with a set of each are looked at."""
-
-    def rows():
-        for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in ("cell", "i", "j", "side", "node", "root", "fp")), batch.column("body"), strict=True)
-
-    for (_, i, j), own in itertools.groupby(rows(), key=lambda r: r[:3]):
-        unit = list(own)
-        sets = [np.frombuffer(r[7].as_buffer(), dtype="<u8") for r in unit]
-        prints = np.array([r[6] for r in unit], dtype=np.int64).view(np.uint64)
-        first: dict[int, int] = {}
-        up = [first.setdefault(r[5], k) for k, r in enumerate(unit)]
-
-        def top(k: int, up: list[int] = up) -> int:
-            while up[k] != k:
-                up[k] = up[up[k]]
-                k = up[k]
-            return k
-
-        left, right = within(prints, prints, WIDE)
-        found: list[tuple[int, int]] = []
-        for q, v in zip(left.tolist(), right.tolist(), strict=True):
-            if q < v and (i == j or unit[q][3] != unit[v][3]):
-                a, b = top(q), top(v)
-                if a != b and similar(sets[q], sets[v]):
-                    up[max(a, b)] = min(a, b)
-                    found.append((unit[q][4], unit[v][4]))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-
-def _similar_links(docs: DataFrame, nodes: DataFrame, bands: int, whole: bool, chunk: int) -> DataFrame:
-    """Links between similar sets of different roots that share a cell in the first ``bands`` bands, for
-    ``nodes`` (node, root, print, fp, cells).  Cells of one root have nothing to link; cells with the
-    same sets are one.  ``whole``: all pairs of a cell; else a cell beyond ``chunk`` sets is dealt out
-    once, and a few of its sets are shown to all."""
-    member = nodes.select("node", "root", "fp", F.explode(F.slice("cells", 1, bands)).alias("cell"))
-    marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"mark{k}") for k in (0, 1)]
-    spanning = member.groupBy("cell").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), *marks).where("low <> high")
-    cells = spanning.groupBy("n", "mark0", "mark1").agg(F.min("cell").alias("cell")).select("cell", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    met = stored(member.join(cells, "cell"), "similar-cells")
-    wanted = met.select("node").distinct().join(nodes.select("node", "print"), "node")
-    texts = docs.select(F.xxhash64("text").alias("print"), "text").join(wanted, "print").dropDuplicates(["node"])
-    sets = stored(texts.select("node", "text").mapInArrow(_sets, "node long, body binary"), "shingle-sets")
-    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")
-    placed = met.withColumn("own", own)
-    every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    if whole:
-        dealt = placed.withColumn("other", F.explode(every)).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    else:
-        shown = F.pmod(F.xxhash64("node", F.lit(8)), F.col("chunks") * F.lit(max(1, chunk // LEADERS))) == 0
-        dealt = placed.withColumn("i", F.explode(F.when(shown, every).otherwise(F.array("own")))).select("*", F.col("i").alias("j"), F.lit(0).alias("side"))
-    full = dealt.select("cell", "i", "j", "side", "node", "root", "fp").join(sets, "node").select("cell", "i", "j", "side", "node", "root", "fp", "body")
-    return full.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(_verified, "a long, b long")
-
-
-def similar_groups(docs: DataFrame, chunk: int = SETS) -> DataFrame:
-    """doc_id, print (hash of the text), root for every row of ``docs``: equal roots just where a chain of
-    texts leads from one to the other whose neighbours' shingle sets have a similarity of 4/5 or more.
-
-    Links are verified on the sets themselves.  What is compared shares one of BANDS cells, which two
-    sets at just 4/5 miss with a probability of 4e-5, closer ones less, and has fingerprints within
-    WIDE bits.  Texts without words are alike."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    marked = stored(docs.select("doc_id", F.xxhash64("text").alias("print"), "text").mapInArrow(_set_marks, f"doc_id {kind}, print long, node long, fp long, cells array<long>"), "set-marks")
-    nodes = stored(marked.groupBy("node").agg(*[F.first(c).alias(c) for c in ("print", "fp", "cells")]), "sets")
-    first = stored(_similar_links(docs, nodes.withColumn("root", F.col("node")), FIRST, False, chunk), "similar-links")
-    known = components(first).select(F.col("node").alias("_n"), "root")
-    rooted = stored(nodes.join(known, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "node").alias("root"), "print", "fp", "cells"), "rooted-sets")
-    rest = _similar_links(docs, rooted, BANDS, True, chunk)
-    roots = components(first.unionByName(rest)).select(F.col("node").alias("_n"), "root")
-    return marked.join(roots, F.col("node") == F.col("_n"), "left").select("doc_id", "print", F.coalesce("root", "node").alias("root"))
-
-
-def keep_one_each(docs: DataFrame, chunk: int = SETS) -> DataFrame:
-    """One row of each group of ``similar_groups``, all columns kept: the smallest doc_id, rows without an
-    id last, then by a hash of the text; of repeated rows one stays."""
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("least")
-    kept = similar_groups(docs, chunk).groupBy("root").agg(least).select(F.col("least.doc_id").alias("_kept"), F.col("least.print").alias("_text")).distinct()
-    rows = docs.withColumn("_print", F.xxhash64("text"))
+    The row that stays is found among fingerprints, of which a task hands on one row each; texts are read
+    again only to pick it out."""
+    print_of = F.xxhash64("text")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", print_of.alias("print"))
+    prints = docs.select(fingerprint_column(F.col("text")).alias("fp"), place.alias("place"))
+    distinct = stored(prints.groupBy("fp").agg(F.min("place").alias("least")), "distinct-fingerprints")
+    kept = _classes(distinct, radius).groupBy("root").agg(F.min("least").alias("least"))
+    kept = kept.select(F.col("least.doc_id").alias("_kept"), F.col("least.print").alias("_text"))
+    rows = docs.withColumn("_print", print_of)
     rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_kept"]) & (rows["_print"] == kept["_text"]), "left_semi")
     return rows.dropDuplicates(["doc_id", "_print"]).drop("_print")
