@@ -31,7 +31,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents alike to 0.8 or more in runs of five words the one with the smallest id."""
+    """Of each group of documents linked by their fingerprints, as op1 links them, the one with the smallest id."""
     return keep_one_each(docs)
 
 
