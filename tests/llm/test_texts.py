@@ -438,7 +438,7 @@ def test_repeated_documents_teach_once(spark, monkeypatch):
 
 
 def test_fit_by_plain_loops():
-    """The accelerated fit against many plain gradient steps on dense rows."""
+    """The accelerated fit against many plain gradient steps on dense rows, both to where the gradient is nothing."""
     rng = np.random.default_rng(13)
     x = rng.random((80, 12)) < 0.4
     ratio = rng.normal(size=12)
