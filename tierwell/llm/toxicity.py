@@ -93,15 +93,16 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, share: f
     n, k = len(rows), len(ratio)
     counts = np.array([len(r) for r in rows], dtype=np.int64)
     cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(counts) // BLOCK)) + 1).tolist(), n]
-    blocks = [(a, b, np.concatenate(rows[a:b])) for a, b in itertools.pairwise(cuts) if a < b]
+    blocks = [(a, b, np.concatenate(rows[a:b]).astype(np.int64)) for a, b in itertools.pairwise(cuts) if a < b]
     each = np.where(labels == 1, share / max(1, (labels == 1).sum()), (1 - share) / max(1, (labels == 0).sum()))
 
     def margins(weight: np.ndarray, bias: float) -> np.ndarray:
-        out, worth = np.empty(n), ratio * weight
+        out, worth = np.zeros(n), ratio * weight
         for a, b, own in blocks:
-            total = np.concatenate(([0.0], np.cumsum(worth[own])))
-            ends = np.cumsum(counts[a:b])
-            out[a:b] = total[ends] - total[ends - counts[a:b]]
+            some = np.flatnonzero(counts[a:b])
+            if len(some):
+                starts = np.cumsum(counts[a:b])[some] - counts[a:b][some]
+                out[a + some] = np.add.reduceat(worth[own], starts)
         return out + bias
 
     def slope(miss: np.ndarray) -> np.ndarray:
