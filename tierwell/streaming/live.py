@@ -85,11 +85,11 @@ class LiveTables:
     def __init__(self, spark: SparkSession, root: str, limit: int = fv.RECENT_LIMIT):
         self.spark, self.root, self.limit = spark, root.rstrip("/"), limit
         # A log row holds what one batch changed, so the rows of an account add up.
-        self.balances = KeyedLog(spark, f"{self.root}/current_balances", _CHANGE, _added_up)
+        self.balances = KeyedLog(spark, f"{self.root}/current_balances", _CHANGE, _added_up, "account_id")
         # Cutting each batch to its own newest rows loses nothing: whatever is beyond the limit
         # in one batch is beyond it in any union that contains the batch.
         self.recent = KeyedLog(
-            spark, f"{self.root}/recent_transactions", RECENT_TRANSACTIONS, lambda rows: keep_recent(rows, limit)
+            spark, f"{self.root}/recent_transactions", RECENT_TRANSACTIONS, lambda rows: keep_recent(rows, limit), "account_id"
         )
         self.rejects = KeyedLog(spark, f"{self.root}/rejected_events", _REJECT, lambda rows: rows)
 
@@ -148,8 +148,7 @@ class LiveTables:
 
         def append(log: KeyedLog, prepare: Callable[[DataFrame], DataFrame]):
             def write(batch: DataFrame, number: int) -> None:
-                mine = KeyedLog(batch.sparkSession, log.root, log.schema, log.fold)
-                mine.append(prepare(batch), number)
+                log.on(batch.sparkSession).append(prepare(batch), number)
 
             return write
 
