@@ -2,7 +2,8 @@
 
 import json
 import random
-from datetime import datetime, timezone
+import time
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tierwell import schemas
 from tierwell.sources.readers import empty, read_jsonl
 from tierwell.streaming import events as ev
 from tierwell.streaming.keyed_log import KeyedLog
+from tierwell.streaming.latency import BatchTimes
 from tierwell.streaming.live import LiveTables
 
 WRITTEN = datetime(2026, 3, 21, tzinfo=timezone.utc)
@@ -207,7 +209,6 @@ def test_upsert_in_two_steps_equals_one(spark, many):
 
 def test_files_of_any_age_count(spark, tmp_path):
     import os
-    import time
 
     folder = tmp_path / "in"
     folder.mkdir()
@@ -267,3 +268,140 @@ def test_seeds_stay_and_tables_are_published(spark, tmp_path):
     # Neither the folders of old batches nor their marks are kept for ever.
     assert len(list((tmp_path / "out/current_balances/log").glob("id=*"))) <= 2
     assert len(list((tmp_path / "out/current_balances/published-log").glob("id=*"))) <= 2
+
+
+def _change_rows(spark, accounts_and_amounts):
+    return spark.createDataFrame(accounts_and_amounts, "account_id string, delta_sum string").select(
+        "account_id",
+        F.col("delta_sum").cast("decimal(18,2)").alias("delta_sum"),
+        F.lit("2026-03-20 10:00:00").cast("timestamp").alias("last_transaction_timestamp"),
+        F.lit("2026-03-20 10:00:00").cast("timestamp").alias("updated_at"),
+        F.lit(None).cast("decimal(18,2)").alias("seed"),
+    )
+
+
+def _base_files(root):
+    return {str(p): p.stat().st_mtime_ns for p in root.glob("base/id=*/bucket=*/*.parquet")}
+
+
+def test_a_compaction_rewrites_touched_buckets_only(spark, tmp_path):
+    live = LiveTables(spark, str(tmp_path / "out"), buckets=8)
+    root = tmp_path / "out/current_balances"
+    live.balances.append(_change_rows(spark, [(f"A{n}", "1") for n in range(200)] + [(None, "1")]), 0)
+    live.balances.compact()
+    first = _base_files(root)
+    assert len({p.split("bucket=")[1].split("/")[0] for p in first}) == 8
+    live.balances.append(_change_rows(spark, [("A7", "10"), ("A7", "5")]), 1)
+    live.balances.compact()
+    second = _base_files(root)
+    new = set(second) - set(first)
+    assert len({p.split("bucket=")[1].split("/")[0] for p in new}) == 1 and len(new) == 1
+    assert all(second[p] == stamp for p, stamp in first.items() if p in second)
+    read = {r["account_id"]: r["delta_sum"] for r in live.balances.read().collect()}
+    assert len(read) == 201 and read["A7"] == 16 and read["A8"] == 1 and read[None] == 1
+
+    # One more: what neither of the last two bases refers to is gone, nothing is lost.
+    live.balances.append(_change_rows(spark, [("A7", "1"), ("B", "3")]), 2)
+    live.balances.compact()
+    read = {r["account_id"]: r["delta_sum"] for r in live.balances.read().collect()}
+    assert len(read) == 202 and read["A7"] == 17 and read["B"] == 3
+    assert len(_base_files(root)) <= 8 + 2
+
+    # An account is looked up in its bucket alone, and in the log.
+    live.balances.append(_change_rows(spark, [("A7", "100"), ("A9", "1")]), 3)
+    one = live.current_balances(only=["A7", "unknown"])
+    assert balances(one) == {"A7": ("117.00", "00:00")}
+    base_files = [p for p in live.balances.lookup(["A7"]).inputFiles() if "/base/" in p]
+    assert len(base_files) == 1
+    assert live.balances.lookup([]).count() == 0
+    with pytest.raises(ValueError):
+        live.rejects.lookup(["x"])
+
+
+def test_a_compaction_lost_halfway_and_another_number_of_buckets(spark, tmp_path):
+    live = LiveTables(spark, str(tmp_path / "out"), buckets=4)
+    live.balances.append(_change_rows(spark, [(f"A{n}", "1") for n in range(20)]), 0)
+    live.balances.compact()
+    live.balances.append(_change_rows(spark, [("A1", "1")]), 1)
+    # Written by a compaction that never published: older than the next one, and not to be read.
+    lost = _change_rows(spark, [("A1", "999")]).withColumn("batch", F.lit(1).cast("bigint"))
+    lost.write.parquet(str(tmp_path / "out/current_balances/base/id=1/bucket=0"))
+    live.balances.append(_change_rows(spark, [("A2", "1")]), 2)
+    live.balances.compact()
+    want = {f"A{n}": 2 if n in (1, 2) else 1 for n in range(20)}
+    assert {r["account_id"]: int(r["delta_sum"]) for r in live.balances.read().collect()} == want
+    wider = LiveTables(spark, str(tmp_path / "out"), buckets=16)
+    assert {r["account_id"]: int(r["delta_sum"]) for r in wider.balances.lookup(["A1", "A5"]).collect()} == {"A1": 2, "A5": 1}
+    wider.balances.append(_change_rows(spark, [("A3", "1")]), 3)
+    wider.balances.compact()
+    assert {r["account_id"]: int(r["delta_sum"]) for r in wider.balances.read().collect()} == want | {"A3": 2}
+    assert {r["account_id"]: int(r["delta_sum"]) for r in wider.balances.lookup(["A1", "A3"]).collect()} == {"A1": 2, "A3": 2}
+
+
+def test_an_empty_table_is_compacted(spark, tmp_path):
+    live = LiveTables(spark, str(tmp_path / "out"))
+    live.balances.append(_change_rows(spark, [("A", "1")]).limit(0), 0)
+    live.balances.compact()
+    assert live.balances.read().count() == 0
+    live.balances.append(_change_rows(spark, [("A", "1")]), 1)
+    live.balances.compact()
+    assert [r["account_id"] for r in live.balances.read().collect()] == ["A"]
+
+
+def test_repeats_within_a_time_are_dropped_and_recorded(spark, tmp_path):
+    """The same as by default as long as nothing is forgotten, and every dropped delivery is on record."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    deliver(folder, 1, [event("1", "A", 0, 5), event("2", "A", 1, 7), event("2", "A", 9, 7), event("2", "A", 9, 7), event("8", "A", 0, "n/a")])
+    live = LiveTables(spark, str(tmp_path / "out"))
+    settings = {"clock": lambda: WRITTEN, "repeats_within": "30 days", "tables": ["current_balances"]}
+    live.drain(str(folder), **settings)
+    # Another process: a repeat that is newer, an event that is far too late, a new account.
+    deliver(folder, 2, [event("1", "A", 20, 5), event("3", "A", 0, 1, transaction_date="2020-01-01"), event("3", "B", 5, 1)])
+    LiveTables(spark, str(tmp_path / "out")).drain(str(folder), **settings)
+    assert balances(live.current_balances(accounts(spark))) == {"A": ("87.00", "00:20"), "B": ("2.00", "00:05")}
+    lost = [(r["record_key"], r["reason"], json.loads(r["record"])["transaction_time"]) for r in live.rejected_events().collect()]
+    assert sorted(lost) == [("1", "REPEATED_DELIVERY", "10:00:20"), ("2", "REPEATED_DELIVERY", "10:00:01"), ("2", "REPEATED_DELIVERY", "10:00:09")]
+    with pytest.raises(ValueError):
+        live.start(str(folder), count_repeats=True, repeats_within="1 day")
+
+
+def test_the_memory_of_repeats_stays_bounded(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    batches, each = 8, 20
+    for n in range(batches):
+        deliver(folder, n, [event(f"{n}-{k}", "A", n, 1) for k in range(each)])
+    live, times = LiveTables(spark, str(tmp_path / "out")), BatchTimes()
+    live.drain(
+        str(folder), files_per_batch=1, clock=lambda: WRITTEN, repeats_within="1 millisecond", tables=["current_balances"], listener=times
+    )
+    assert balances(live.current_balances())["A"][0] == f"-{batches * each}.00"
+    deadline = time.time() + 30
+    while len(times.seen) < batches and time.time() < deadline:
+        time.sleep(0.2)
+    kept = [t.state_rows for t in times.seen]
+    assert len(kept) >= batches and max(kept) <= 2 * each, kept
+
+
+def test_latency_classes_equal_a_recount(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    live = LiveTables(spark, str(tmp_path / "out"))
+    start = datetime(2026, 3, 20, 10, 0, 0, tzinfo=timezone.utc)
+    want: dict = {}
+    for n, late in enumerate((299, 600, 5000), start=1):
+        seconds = [0, 1, 2, 40, 290]
+        deliver(folder, n, [event(f"{n}-{k}", f"A{k}", s) for k, s in enumerate(seconds)])
+        live.drain(str(folder), clock=lambda: start + timedelta(seconds=late), tables=["recent_transactions"])
+        for s in seconds:
+            delay = late - s
+            sla = "full" if delay <= 300 else "partial" if delay <= 600 else "none"
+            step = next(v for v in [0, *(1 << k for k in range(40))] if delay <= v)
+            want[sla, step] = want.get((sla, step), 0) + 1
+    def counted():
+        return {(r["sla"], r["up_to_seconds"]): r["rows"] for r in live.latency().collect()}
+
+    assert counted() == want
+    live.compact()
+    assert counted() == want

@@ -65,3 +65,12 @@ def sla_class(event_time: Column | str, written_at: Column | str) -> Column:
 def latency_seconds(event_time: Column | str, written_at: Column | str) -> Column:
     """Whole seconds between an event and its write."""
     return F.timestamp_diff("SECOND", as_col(event_time), as_col(written_at))
+
+
+def latency_step(event_time: Column | str, written_at: Column | str) -> Column:
+    """The smallest of 0, 1, 2, 4, 8, ... seconds the delay does not exceed; 0 for a write before the event."""
+    delay = F.timestamp_diff("MICROSECOND", as_col(event_time), as_col(written_at))
+    seconds = F.ceil(delay / F.lit(1_000_000)).cast("bigint")
+    # The number of binary digits of one less is the power that is not exceeded, without rounding.
+    digits = F.length(F.bin(seconds - 1))
+    return F.when(delay <= 0, F.lit(0).cast("bigint")).when(seconds == 1, F.lit(1).cast("bigint")).otherwise(F.pow(F.lit(2.0), digits).cast("bigint"))

@@ -45,14 +45,19 @@ def is_valid() -> Column:
     )
 
 
-def valid_events(raw: DataFrame) -> DataFrame:
-    """Usable events with their effect on the balance."""
-    return typed_events(raw).filter(is_valid()).withColumn("signed_amount", signed("amount", "transaction_type"))
+def valid_events(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Usable events with their effect on the balance, and further columns of ``raw``."""
+    return typed_events(raw, carry).filter(is_valid()).withColumn("signed_amount", signed("amount", "transaction_type"))
+
+
+def with_record(raw: DataFrame) -> DataFrame:
+    """Events with ``_record``, the event as it was delivered."""
+    return raw.withColumn("_record", F.to_json(F.struct(*raw.columns)))
 
 
 def rejected_events(raw: DataFrame) -> DataFrame:
     """The events ``valid_events`` leaves out, each with its reason and as it was delivered."""
-    kept = raw.withColumn("_record", F.to_json(F.struct(*raw.columns))).withColumn("_malformed", optional(raw, CORRUPT).isNotNull())
+    kept = with_record(raw).withColumn("_malformed", optional(raw, CORRUPT).isNotNull())
     reason = (
         F.when(F.col("_malformed"), "MALFORMED_LINE")
         .when(missing("account_id") | missing("transaction_id"), F.lit(fv.NULL_REQUIRED))

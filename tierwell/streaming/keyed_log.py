@@ -110,6 +110,10 @@ class KeyedLog:
             raise ValueError("a table without a key cannot be looked up by one")
         return self._read(list(dict.fromkeys(keys)))
 
+    def written(self, batch: int) -> DataFrame:
+        """The rows a batch has appended, until a compaction deletes them."""
+        return self._rows([f"{self.root}/log/id={batch}"]).select(*self.schema.fieldNames())
+
     def newest(self) -> int | None:
         """The last published batch."""
         return self._newest("log")

@@ -2,7 +2,7 @@
 
 Structured Streaming queries, one a table, read the same folder, each with its own checkpoint: files
 are remembered there by name, whatever time they are stamped with, so a restart neither skips nor
-repeats one.  There is no watermark, because late events must count.  Events that cannot count go to
+repeats one.  There is no watermark on event times, because late events must count.  Events that cannot count go to
 a table of their own."""
 
 from __future__ import annotations
@@ -13,15 +13,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tierwell import fixed_values as fv
 from tierwell.functions.money import balance, signed, zero
 from tierwell.schemas import CURRENT_BALANCES, RECENT_TRANSACTIONS, conform
 from tierwell.sources.readers import stream_jsonl
 from tierwell.sources.sinks import overwrite
-from tierwell.streaming.events import EVENT_KEY, as_recent, impact, keep_recent, rejected_events, valid_events
-from tierwell.streaming.keyed_log import KeyedLog
+from tierwell.streaming import latency, repeats
+from tierwell.streaming.events import EVENT_KEY, as_recent, impact, keep_recent, rejected_events, valid_events, with_record
+from tierwell.streaming.keyed_log import BUCKETS, KeyedLog
 
 Clock = Callable[[], datetime]
 TABLES = ("current_balances", "recent_transactions", "rejected_events")
@@ -80,43 +81,58 @@ def _now() -> datetime:
 
 
 class LiveTables:
-    """The tables below ``root``.  ``root`` must be reachable by every executor."""
+    """The tables below ``root``.  ``root`` must be reachable by every executor.
 
-    def __init__(self, spark: SparkSession, root: str, limit: int = fv.RECENT_LIMIT):
+    ``buckets`` says into how many parts the accounts are dealt; a compaction rewrites only parts with
+    an account that has had events."""
+
+    def __init__(self, spark: SparkSession, root: str, limit: int = fv.RECENT_LIMIT, buckets: int = BUCKETS):
         self.spark, self.root, self.limit = spark, root.rstrip("/"), limit
         # A log row holds what one batch changed, so the rows of an account add up.
-        self.balances = KeyedLog(spark, f"{self.root}/current_balances", _CHANGE, _added_up, "account_id")
+        self.balances = KeyedLog(spark, f"{self.root}/current_balances", _CHANGE, _added_up, "account_id", buckets)
         # Cutting each batch to its own newest rows loses nothing: whatever is beyond the limit
         # in one batch is beyond it in any union that contains the batch.
         self.recent = KeyedLog(
-            spark, f"{self.root}/recent_transactions", RECENT_TRANSACTIONS, lambda rows: keep_recent(rows, limit), "account_id"
+            spark, f"{self.root}/recent_transactions", RECENT_TRANSACTIONS, lambda rows: keep_recent(rows, limit), "account_id", buckets
         )
         self.rejects = KeyedLog(spark, f"{self.root}/rejected_events", _REJECT, lambda rows: rows)
+        self.repeats = KeyedLog(spark, f"{self.root}/repeated_deliveries", _REJECT, lambda rows: rows)
+        self.delays = KeyedLog(spark, f"{self.root}/latency", latency.HISTOGRAM, latency.merged, "sla", 1)
 
     # -- reading -----------------------------------------------------------------------------
 
-    def current_balances(self, accounts: DataFrame | None = None, keep_orphans: bool = True) -> DataFrame:
-        """One row per account with events: its starting balance plus all effects.
+    def current_balances(
+        self, accounts: DataFrame | None = None, keep_orphans: bool = True, only: Sequence[str] | None = None
+    ) -> DataFrame:
+        """One row per account with events: its starting balance plus all effects.  ``only`` names
+        accounts to look up, of which only the buckets are read.
 
         An account starts from the balance stored when it was first touched (see ``start``), else from
         its balance in ``accounts``, else from zero.  With ``keep_orphans`` off, accounts unknown to
         ``accounts`` are left out."""
+        changes = self.balances.read() if only is None else self.balances.lookup(only)
         if accounts is None:
             total = (balance("seed") + F.coalesce("delta_sum", zero())).cast(fv.MONEY)
-            return conform(self.balances.read().withColumn("current_balance", total), CURRENT_BALANCES)
+            return conform(changes.withColumn("current_balance", total), CURRENT_BALANCES)
         seeds = accounts.select(F.col("account_id").alias("_seed_account"), F.col("current_balance").alias("_seed"))
-        joined = self.balances.read().join(
+        joined = changes.join(
             seeds, F.col("account_id") == F.col("_seed_account"), "left" if keep_orphans else "inner"
         )
         total = (balance("seed", "_seed") + F.coalesce("delta_sum", zero())).cast(fv.MONEY)
         return conform(joined.withColumn("current_balance", total), CURRENT_BALANCES)
 
-    def recent_transactions(self) -> DataFrame:
-        return self.recent.read()
+    def recent_transactions(self, only: Sequence[str] | None = None) -> DataFrame:
+        return self.recent.read() if only is None else self.recent.lookup(only)
 
     def rejected_events(self) -> DataFrame:
-        """Events that could not count, each as delivered and with its reason."""
-        return self.rejects.read()
+        """Events that could not count, each as delivered and with its reason; with ``repeats_within``
+        also the deliveries that were dropped as repeats."""
+        return self.rejects.read().unionByName(self.repeats.read())
+
+    def latency(self) -> DataFrame:
+        """How long after their events the rows of ``recent_transactions`` were written: their number by
+        class and step (see ``streaming.latency``), over all micro-batches."""
+        return self.delays.read()
 
     def publish(self, accounts: DataFrame | None = None, fmt: str = "parquet") -> dict[str, str]:
         """Write both tables as of the last micro-batch, in their specified schemas, for any reader of
@@ -136,6 +152,8 @@ class LiveTables:
         glob: str = fv.STREAM_FILE_GLOB,
         tables: Sequence[str] = TABLES,
         accounts: DataFrame | None = None,
+        repeats_within: str | None = None,
+        listener: StreamingQueryListener | None = None,
     ) -> list[StreamingQuery]:
         """Start the queries for ``tables``: over what is there now, or with ``every`` (e.g.
         "30 seconds") for good.
@@ -143,8 +161,18 @@ class LiveTables:
         A repeated delivery of an (account, transaction) counts once; with ``count_repeats`` each
         delivery counts.  Copies are taken to carry the same amount: what counts is the newest of those
         in the first micro-batch that brings one.  With ``accounts`` an account's balance there is stored
-        when it is first touched (zero if it has none), so that later states of ``accounts`` change nothing."""
+        when it is first touched (zero if it has none), so that later states of ``accounts`` change nothing.
+
+        Transactions are remembered for good.  With ``repeats_within`` (e.g. "7 days") one is forgotten that
+        long after it first arrived, which bounds the state; a repeat within that time does not count and
+        becomes a rejected event, one after it counts again.  Repeats of one transaction within a micro-batch
+        then meet in one task.  The checkpoint below ``root`` holds the kind of state it was started with, so
+        this choice stays.  ``listener`` is told about each micro-batch (``latency.BatchTimes`` remembers them)."""
+        if count_repeats and repeats_within:
+            raise ValueError("either every delivery counts or repeats are dropped for a time, not both")
         session = self._session()
+        if listener is not None:
+            session.streams.addListener(listener)
 
         def append(log: KeyedLog, prepare: Callable[[DataFrame], DataFrame]):
             def write(batch: DataFrame, number: int) -> None:
@@ -152,12 +180,31 @@ class LiveTables:
 
             return write
 
+        def append_recent(batch: DataFrame, number: int) -> None:
+            mine = self.recent.on(batch.sparkSession)
+            mine.append(keep_recent(as_recent(batch, stamp()), self.limit), number)
+            self.delays.on(batch.sparkSession).append(latency.histogram(mine.written(number)), number)
+
+        def append_within(batch: DataFrame, number: int) -> None:
+            # Two tables are written from one pass over the state.
+            each = repeats.deliveries(batch).persist()
+            found = repeats.judged(each)
+            try:
+                self.repeats.on(batch.sparkSession).append(repeats.dropped(found), number)
+                self.balances.on(batch.sparkSession).append(changes(repeats.effects(found)), number)
+            finally:
+                each.unpersist()
+
+        def changes(effects: DataFrame) -> DataFrame:
+            return seeded(impact(effects)).withColumn("updated_at", stamp())
+
         def stamp():
             return F.lit(clock()).cast("timestamp")
 
         def run(name: str, df: DataFrame, mode: str, write) -> StreamingQuery:
             writer = (
-                df.writeStream.outputMode(mode)
+                df.writeStream.queryName(name)
+                .outputMode(mode)
                 .foreachBatch(write)
                 .option("checkpointLocation", f"{self.root}/_checkpoints/{name}")
             )
@@ -173,22 +220,17 @@ class LiveTables:
             seeds = accounts.select(F.col("account_id").alias("_seed_account"), F.col("current_balance").alias("_seed"))
             return change.join(seeds, F.col("account_id") == F.col("_seed_account"), "left").withColumn("seed", balance("_seed"))
 
+        def start_balances(name: str) -> StreamingQuery:
+            if repeats_within:
+                delivered = valid_events(with_record(raw), ["_record"])
+                return run(name, repeats.marked(delivered, repeats_within), "append", append_within)
+            if count_repeats:
+                return run(name, events, "append", append(self.balances, changes))
+            return run(name, _deliveries(events), "update", append(self.balances, lambda b: changes(_change(b))))
+
         starts = {
-            "current_balances": lambda name: run(
-                name,
-                events if count_repeats else _deliveries(events),
-                "append" if count_repeats else "update",
-                append(
-                    self.balances,
-                    lambda b: seeded(impact(b if count_repeats else _change(b))).withColumn("updated_at", stamp()),
-                ),
-            ),
-            "recent_transactions": lambda name: run(
-                name,
-                events,
-                "append",
-                append(self.recent, lambda b: keep_recent(as_recent(b, stamp()), self.limit)),
-            ),
+            "current_balances": start_balances,
+            "recent_transactions": lambda name: run(name, events, "append", append_recent),
             "rejected_events": lambda name: run(name, rejected_events(raw), "append", append(self.rejects, lambda b: b)),
         }
         return [starts[name](name) for name in tables]
@@ -199,7 +241,7 @@ class LiveTables:
             query.awaitTermination()
 
     def compact(self) -> None:
-        for log in (self.balances, self.recent, self.rejects):
+        for log in (self.balances, self.recent, self.rejects, self.repeats, self.delays):
             log.compact()
 
     def _session(self) -> SparkSession:
