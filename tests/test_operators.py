@@ -209,3 +209,41 @@ def test_checks(spark):
     expected = spark.createDataFrame([("x", 100.0), ("y", 100.0), ("w", 1.0)], "k string, v double")
     got = {r["k"]: r["within"] for r in checks.within_tolerance(measured, expected, "k", "v", 0.05).collect()}
     assert got == {"x": True, "y": False, "z": False, "w": False}
+
+
+def test_numbers_stay_over_runs(spark, tmp_path):
+    from tierwell.operators.key_map import KeyMap
+
+    kept = KeyMap(spark, str(tmp_path / "keys"))
+    frame = lambda keys: spark.createDataFrame([(k,) for k in keys], "id string")
+    assert kept.read().count() == 0
+    assert kept.extend(frame(["m", "z", "m", None, ""]), "id") == 3
+    first = {r["key"]: r["number"] for r in kept.read().collect()}
+    assert first == {"": 1, "m": 2, "z": 3}
+    # A run in between that was lost before its write was committed.
+    spark.createDataFrame([("q", 99)], "key string, number long").write.parquet(str(tmp_path / "keys/id=1"))
+    (tmp_path / "keys/id=1/_SUCCESS").unlink()
+    again = KeyMap(spark, str(tmp_path / "keys"))
+    assert again.extend(frame(["a", "m", "n"]), "id") == 2
+    assert {r["key"]: r["number"] for r in again.read().collect()} == first | {"a": 4, "n": 5}
+    assert again.extend(frame(["a", "z"]), "id") == 0 and again.extend(frame([]), "id") == 0
+    rows = again.numbered(spark.createDataFrame([("n", 1), (None, 2), ("new", 3), ("n", 4)], "id string, x int"), "id", "sk").collect()
+    assert sorted((r["x"], r["sk"]) for r in rows) == [(1, 5), (2, None), (3, None), (4, 5)]
+    assert again.extend(spark.range(5, 7).withColumnRenamed("id", "n"), "n") == 2
+
+
+def test_sketches_of_runs_unite(spark):
+    from tierwell.operators import sketches
+
+    def run(start, stop):
+        rows = spark.range(start, stop).selectExpr("cast(id as string) AS id", "if(id % 3 = 0, 'hot', null) AS g")
+        return sketches.distinct_sketches(rows, ["g"], "id")
+
+    parts = [run(0, 60_000), run(30_000, 90_000), run(0, 60_000)]
+    all_runs = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    found = {r["g"]: r["n"] for r in sketches.estimated(sketches.united(all_runs, ["g"]), ["g"], "n").collect()}
+    assert set(found) == {"hot", None}
+    assert abs(found["hot"] - 30_000) <= 0.05 * 30_000 and abs(found[None] - 60_000) <= 0.05 * 60_000
+    # The order and number of unions change nothing.
+    once = sketches.united(parts[1].unionByName(parts[0]), ["g"])
+    assert {r["g"]: r["n"] for r in sketches.estimated(once, ["g"], "n").collect()} == found

@@ -6,7 +6,7 @@ from tierwell.catalogue.issues import ledger_of, ledger_sql
 from tierwell.catalogue.registry import query
 from tierwell.catalogue.roles import Roles
 from tierwell.catalogue.sql import sql
-from tierwell.operators import ledger, report
+from tierwell.operators import checks, ledger, report
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold, validation
 from tierwell.sources.shared import stored
@@ -70,6 +70,25 @@ def _(spark, folder):
     return validation.accounts_by_province(roles.dim_accounts, roles.dim_customers)
 
 
+@query(
+    "q3_region_distribution_sketch",
+    sql(
+        """SELECT c.province AS province, CAST(count(DISTINCT a.account_id) AS DOUBLE) AS expected, true AS within
+        FROM dim_accounts a JOIN dim_customers c ON a.customer_id = c.customer_id GROUP BY 1""",
+        "dim_accounts",
+        "dim_customers",
+    ),
+)
+def _(spark, folder):
+    """Sketches of two runs that share a third of the accounts, united, against the exact counts."""
+    roles = Roles(spark, folder)
+    part = F.pmod(F.xxhash64("account_id"), F.lit(3))
+    runs = [validation.province_sketches(roles.dim_accounts.filter(part != n), roles.dim_customers) for n in (0, 1)]
+    over_runs = validation.accounts_by_province_over_runs(stored(runs[0].unionByName(runs[1]), "sketches"))
+    exact = validation.accounts_by_province(roles.dim_accounts, roles.dim_customers)
+    return checks.within_tolerance(over_runs, exact, "province", "account_count", 0.05).drop("measured")
+
+
 @query(
     "flag_reconcile",
     sql(

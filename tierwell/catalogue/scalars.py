@@ -7,7 +7,9 @@ from tierwell.catalogue.roles import AS_OF, Roles
 from tierwell.catalogue.sql import parsed_date, shown, sql, stamp, surrogate
 from tierwell.fixed_values import CHANNELS, DEFAULT_NULL_FIELDS, TRANSACTION_TYPES
 from tierwell.functions import keys, money, temporal, text
+from tierwell.operators import key_map
 from tierwell.plans.silver import typed_transactions
+from tierwell.sources.shared import fresh_path
 
 
 @query(
@@ -125,6 +127,24 @@ def _(spark, folder):
     return keys.sequential_key(ids, "account_id", "account_sk")
 
 
+@query(
+    "surrogate_key_kept",
+    sql(
+        """SELECT account_id, CASE WHEN early THEN row_number() OVER (PARTITION BY early ORDER BY account_id)
+            ELSE row_number() OVER (PARTITION BY early ORDER BY account_id) + count(*) FILTER (WHERE early) OVER () END AS account_sk
+        FROM (SELECT DISTINCT account_id, right(account_id, 1) > '4' AS early FROM raw_accounts WHERE account_id IS NOT NULL)""",
+        "raw_accounts",
+    ),
+)
+def _(spark, folder):
+    """Two runs: the second brings keys that sort before those of the first, which keep their numbers."""
+    ids = Roles(spark, folder).accounts.select("account_id")
+    kept = key_map.KeyMap(spark, fresh_path(spark, "key-map"))
+    kept.extend(ids.filter(F.right("account_id", F.lit(1)) > "4"), "account_id")
+    kept.extend(ids, "account_id")
+    return kept.numbered(ids.dropna().distinct(), "account_id", "account_sk")
+
+
 @query(
     "explode_flags",
     sql(

@@ -12,6 +12,7 @@ from tierwell.schemas import CURRENT_BALANCES
 from tierwell.sources.readers import empty, read_table
 from tierwell.sources.shared import fresh_path, stored
 from tierwell.streaming import events as ev
+from tierwell.streaming import latency
 from tierwell.streaming.live import LiveTables
 
 _EVENT = shown("account_id", "transaction_id", "transaction_timestamp:t", "amount:n", "transaction_type", "channel")
@@ -144,6 +145,36 @@ def _(spark, folder):
     return ev.merge_recent(ev.keep_recent(earlier, 10), later, 10)
 
 
+#: A write delay that depends on the amount: three seconds per unit, and a fraction for even ones.
+_MICROS = """CAST(floor(amount) AS BIGINT) * 3000000
+            + CASE WHEN CAST(floor(amount) AS BIGINT) % 2 = 0 THEN 900000 ELSE 0 END AS micros"""
+
+
+def _written(roles: Roles):
+    whole = F.floor("amount").cast("bigint")
+    micros = whole * 3_000_000 + F.when(whole % 2 == 0, 900_000).otherwise(0)
+    return roles.events.withColumn("updated_at", F.timestamp_micros(F.unix_micros("transaction_timestamp") + micros))
+
+
+@query(
+    "latency_histogram",
+    sql(
+        f"""SELECT sla, up_to_seconds, count(*) AS rows FROM (SELECT
+            CASE WHEN micros <= 300000000 THEN 'full' WHEN micros <= 600000000 THEN 'partial' ELSE 'none' END AS sla,
+            CASE WHEN micros <= 0 THEN 0 ELSE (SELECT min(1 << k) FROM range(41) t(k)
+                WHERE (CAST(1 AS BIGINT) << k) * 1000000 >= micros) END AS up_to_seconds
+            FROM (SELECT {_MICROS} FROM stream_events)) GROUP BY ALL""",
+        "stream_events",
+    ),
+)
+def _(spark, folder):
+    """Histograms of the earlier and the later half, merged."""
+    rows = _written(Roles(spark, folder))
+    later = F.col("transaction_timestamp") >= F.lit(HALFWAY).cast("timestamp")
+    halves = [latency.histogram(rows.filter(half)) for half in (later, ~later)]
+    return latency.merged(halves[0].unionByName(halves[1]))
+
+
 @query(
     "sla_latency_class",
     sql(
@@ -156,14 +187,10 @@ def _(spark, folder):
 )
 def _(spark, folder):
     """A write delay that depends on the amount: three seconds per unit, and a fraction for even ones."""
-    whole = F.floor("amount").cast("bigint")
-    micros = whole * 3_000_000 + F.when(whole % 2 == 0, 900_000).otherwise(0)
-    written = F.timestamp_micros(F.unix_micros("transaction_timestamp") + micros)
-    rows = Roles(spark, folder).events.withColumn("_written", written)
-    return rows.select(
+    return _written(Roles(spark, folder)).select(
         "transaction_id",
-        latency_seconds("transaction_timestamp", "_written").alias("latency"),
-        sla_class("transaction_timestamp", "_written").alias("sla"),
+        latency_seconds("transaction_timestamp", "updated_at").alias("latency"),
+        sla_class("transaction_timestamp", "updated_at").alias("sla"),
     )
 
 
@@ -212,19 +239,19 @@ def _(spark, folder):
     )
 
 
-@query(
-    "live_current_balances",
-    sql(
-        f"""SELECT {shown("account_id", "current_balance:n", "last_transaction_timestamp:t")} FROM (
-            SELECT e.account_id AS account_id, coalesce(any_value(a.current_balance), 0) + sum(signed_amount) AS current_balance,
-                max(last_at) AS last_transaction_timestamp
-            FROM (SELECT account_id, transaction_id, any_value(signed_amount) AS signed_amount,
-                    max(transaction_timestamp) AS last_at FROM stream_events GROUP BY account_id, transaction_id) e
-                LEFT JOIN stream_accounts a ON e.account_id = a.account_id GROUP BY e.account_id)""",
-        "stream_events",
-        "stream_accounts",
-    ),
+_LIVE_BALANCES = sql(
+    f"""SELECT {shown("account_id", "current_balance:n", "last_transaction_timestamp:t")} FROM (
+        SELECT e.account_id AS account_id, coalesce(any_value(a.current_balance), 0) + sum(signed_amount) AS current_balance,
+            max(last_at) AS last_transaction_timestamp
+        FROM (SELECT account_id, transaction_id, any_value(signed_amount) AS signed_amount,
+                max(transaction_timestamp) AS last_at FROM stream_events GROUP BY account_id, transaction_id) e
+            LEFT JOIN stream_accounts a ON e.account_id = a.account_id GROUP BY e.account_id)""",
+    "stream_events",
+    "stream_accounts",
 )
+
+
+@query("live_current_balances", _LIVE_BALANCES)
 def _(spark, folder):
     roles = Roles(spark, folder)
     live = _live(roles, tables=["current_balances"], accounts=roles.stream_accounts)
@@ -232,6 +259,29 @@ def _(spark, folder):
     return read_table(spark, path).drop("updated_at")
 
 
+@query("live_balances_bounded", _LIVE_BALANCES)
+def _(spark, folder):
+    """With a memory of repeats that ends, here long after the stream does."""
+    roles = Roles(spark, folder)
+    live = _live(roles, tables=["current_balances"], accounts=roles.stream_accounts, repeats_within="30 days")
+    return live.current_balances().drop("updated_at")
+
+
+@query(
+    "live_repeats_recorded",
+    sql(
+        """SELECT transaction_id AS record_key, account_id, count(*) - 1 AS dropped FROM stream_events
+        GROUP BY transaction_id, account_id HAVING count(*) > 1""",
+        "stream_events",
+    ),
+)
+def _(spark, folder):
+    """Every delivery beyond the first of a transaction is among the rejected events."""
+    live = _live(Roles(spark, folder), tables=["current_balances"], repeats_within="30 days")
+    account = F.trim(F.get_json_object("record", "$.account_id")).alias("account_id")
+    return live.rejected_events().groupBy("record_key", account).agg(F.count(F.lit(1)).alias("dropped"))
+
+
 @query(
     "live_recent_transactions",
     sql(
