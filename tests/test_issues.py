@@ -14,6 +14,7 @@ from tierwell.operators import checks, ledger
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import batch, gold
 from tierwell.sources import readers
+from tierwell.sources.bucketed import overwrite_bucketed, read_bucketed
 from tierwell.sources.shared import exists
 
 
@@ -323,3 +324,46 @@ def test_only_waiting_facts_are_shuffled(spark, kept):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scans = [line for line in text.splitlines() if "FileScan" in line and "fact_transactions" in line]
     assert len(scans) == 2 and all("customer_sk" in s for s in scans) and "EqualTo(customer_sk" in text
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_bucketed_run_joins_facts_where_they_lie(spark, dirty, kept):
+    _, _, folder = dirty
+    at = batch.Run(str(folder / "run=bucketed 'it's'"), date(2026, 1, 1), datetime(2026, 1, 1, 6), buckets=4)
+    tables = batch.run_batch(spark, files(folder / "in [1]", ACCOUNTS), at, KEEP)
+    for name in ("gold/fact_transactions", "gold/dim_accounts", "work/metrics"):
+        assert Counter(map(tuple, tables[name].collect())) == Counter(map(tuple, kept[0][name].collect())), name
+    assert violations(tables) == violations(kept[0])
+    # Another session, and a later delivery of accounts.
+    later = spark.newSession()
+    facts, members = (read_bucketed(later, at.path("gold", t)) for t in ("fact_transactions", "dim_accounts"))
+    later.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    later.conf.set("spark.sql.adaptive.enabled", "false")
+    both = facts.join(members, "account_sk")
+    assert "Exchange" not in _plan(both) and "SortMergeJoin" in _plan(both)
+    assert both.count() == facts.count() == 6
+    delivered = later.createDataFrame([(r["account_sk"], 1) for r in members.collect()], "sk long, x int")
+    joined = facts.join(delivered, facts["account_sk"] == delivered["sk"])
+    assert _plan(joined).count("Exchange hashpartitioning(sk") == 1 == _plan(joined).count("Exchange hash")
+    with pytest.raises(ValueError):
+        batch.run_batch(spark, files(folder / "in [1]", ACCOUNTS), batch.Run("x", at.as_of, at.ingestion_timestamp, partition_facts=True, buckets=4))
+
+
+def test_a_hot_bucket_is_not_left_to_one_task(spark, tmp_path):
+    even = spark.range(4000).selectExpr("id AS k", "id AS v")
+    hot = spark.range(4000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
+    found = {}
+    for name, df in (("even", even), ("hot", hot), ("none", even.limit(0))):
+        path = str(tmp_path / name)
+        counts = overwrite_bucketed(df, path, "k", 64, [F.sum("v").alias("total")])
+        found[name] = read_bucketed(spark, path)
+        assert Counter(map(tuple, found[name].collect())) == Counter(map(tuple, df.collect()))
+        assert counts == {"total": df.agg(F.sum("v")).first()[0] or 0}
+    by_key = {name: _plan(df.groupBy("k").count()) for name, df in found.items()}
+    assert "Exchange" not in by_key["even"] and "Exchange" in by_key["hot"]
+    # Written anew, in another layout.
+    overwrite_bucketed(hot.limit(10), str(tmp_path / "even"), "v", 2)
+    assert read_bucketed(spark, str(tmp_path / "even")).count() == 10

@@ -9,7 +9,8 @@ from tierwell.catalogue.sql import sql
 from tierwell.operators import checks, ledger, report
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold, validation
-from tierwell.sources.shared import stored
+from tierwell.sources.bucketed import overwrite_bucketed, read_bucketed
+from tierwell.sources.shared import fresh_path, stored
 from tierwell.sources.sinks import document
 
 
@@ -89,6 +90,27 @@ def _(spark, folder):
     return checks.within_tolerance(over_runs, exact, "province", "account_count", 0.05).drop("measured")
 
 
+@query(
+    "bucketed_account_join",
+    sql(
+        """SELECT a.account_type AS account_type, count(*) AS facts, CAST(sum(f.amount) AS DOUBLE) AS total_amount
+        FROM fact f JOIN dim_accounts a ON f.account_sk = a.account_sk GROUP BY 1""",
+        "fact",
+        "dim_accounts",
+    ),
+)
+def _(spark, folder):
+    """Facts and accounts stored in buckets of the account's key and joined where they lie."""
+    roles = Roles(spark, folder)
+    paths = [fresh_path(spark, label) for label in ("facts", "accounts")]
+    for df, path in zip((roles.fact, roles.dim_accounts), paths):
+        overwrite_bucketed(df, path, "account_sk", 16)
+    facts, accounts = (read_bucketed(spark, path) for path in paths)
+    return facts.join(accounts, "account_sk").groupBy("account_type").agg(
+        F.count(F.lit(1)).alias("facts"), F.sum("amount").alias("total_amount")
+    )
+
+
 @query(
     "flag_reconcile",
     sql(

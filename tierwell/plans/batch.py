@@ -18,6 +18,7 @@ from tierwell.operators import checks, ledger, report
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold, silver
 from tierwell.sources import readers, sinks
+from tierwell.sources.bucketed import overwrite_bucketed, read_bucketed
 from tierwell.sources.shared import remove
 from tierwell.tuning import tune
 
@@ -45,6 +46,8 @@ class Run:
     keep: str | None = None  # which duplicate stays: "latest" or "earliest"; by default what the rules say
     fmt: str = "parquet"
     partition_facts: bool = False
+    #: Store facts and accounts in so many buckets of ``account_sk``, so that joining them needs no shuffle.
+    buckets: int | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -69,6 +72,7 @@ def _counts(layer: str, table: str) -> list[Column]:
 
 
 _GOLD = {"fact_transactions": schemas.FACT_TRANSACTIONS, "dim_accounts": schemas.DIM_ACCOUNTS, "dim_customers": schemas.DIM_CUSTOMERS}
+_BY_ACCOUNT = ("gold/dim_accounts", "gold/fact_transactions")
 
 
 def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | None = None) -> dict[str, DataFrame]:
@@ -80,6 +84,8 @@ def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | No
     changed where they are at their default, and stay so (see ``tuning``)."""
     if spark.conf.get("spark.sql.session.timeZone") not in UTC:
         raise ValueError("set spark.sql.session.timeZone to UTC")
+    if run.buckets and run.partition_facts:
+        raise ValueError("facts are stored in buckets of the account or by date, not both")
     tune(spark)
     rules = rules or RuleSet.default()
     tables: dict[str, DataFrame] = {}
@@ -87,6 +93,11 @@ def run_batch(spark: SparkSession, inputs: Inputs, run: Run, rules: RuleSet | No
 
     def write(layer: str, table: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         path = run.path(layer, table)
+        if run.buckets and f"{layer}/{table}" in _BY_ACCOUNT:
+            found = overwrite_bucketed(df, path, "account_sk", run.buckets, _counts(layer, table), run.fmt)
+            metrics.extend((layer, table, name, value) for name, value in found.items())
+            tables[f"{layer}/{table}"] = read_bucketed(spark, path)
+            return tables[f"{layer}/{table}"]
         found = sinks.overwrite_counted(df, path, _counts(layer, table), run.fmt, partition_by)
         metrics.extend((layer, table, name, value) for name, value in found.items())
         # Partition values come back last; the layer's own column order is restored.
