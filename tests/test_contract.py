@@ -36,7 +36,7 @@ import importlib.abc, sys
 class Gone(importlib.abc.MetaPathFinder):
     def find_spec(self, name, path=None, target=None):
         if name.startswith("tierwell.llm") or name == "corpus_pipeline":
-            raise ModuleNotFoundError(name)
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
 sys.meta_path.insert(0, Gone())
 import __spark_entry__ as e
 assert "q1_volume_by_type" in e.queries() and not any(n.startswith("op") or n == "pipeline" for n in e.queries())
