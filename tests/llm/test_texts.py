@@ -313,6 +313,22 @@ def test_bpe_slices_on_random_text(reference_encoding, encoder):
         assert bpe.encode_texts(encoder, [x])[0].tolist() == reference_encoding.encode_ordinary(x)
 
 
+def test_batches_for_python_workers_are_bounded_by_bytes(spark):
+    """A batch of rows with long texts stays small, whatever the limit on its rows."""
+    import pyarrow as pa
+
+    from tierwell.tuning import tune
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "rows"])
+
+    texts = tune(spark).range(0, 4000, 1, 1).selectExpr("id", "repeat('word ', 1000) AS text")
+    found = texts.mapInArrow(sizes, "size long, rows long").collect()
+    assert sum(r["rows"] for r in found) == 4000
+    assert max(r["size"] for r in found) < 6 << 20
+
+
 def test_bpe_long_texts_and_a_small_cache(reference_encoding, encoder):
     text = "ab'sé 12 " * 3000 + "x" * 3000 + " " * 500 + "y"
     assert np.concatenate([encoder(p)[0] for p in bpe.long_slices(text, 1000)]).tolist() == reference_encoding.encode_ordinary(text)
