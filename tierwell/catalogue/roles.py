@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwell.functions.keys import hashed_key
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold, silver
 from tierwell.sources.readers import read_table
@@ -179,8 +180,19 @@ class Roles:
     def silver_customers(self) -> DataFrame:
         return silver.silver_customers(self.customers)
 
+    @property
+    def owned_accounts(self) -> DataFrame:
+        """Silver accounts with no more than joins by account need."""
+        return silver.silver_accounts(self.accounts, gold.OWNED_ACCOUNT)
+
+    @property
+    def owning_customers(self) -> DataFrame:
+        """The customer dimension, likewise."""
+        known = silver.silver_customers(self.customers, gold.OWNING_CUSTOMER)
+        return known.select("customer_id", "province", hashed_key("customer_id").alias("customer_sk"))
+
     def judged(self, rules: RuleSet | None = None, keep: str | None = None) -> DataFrame:
-        return silver.judged_transactions(self.transactions, self.silver_accounts, rules, keep)
+        return silver.judged_transactions(self.transactions, self.owned_accounts, rules, keep)
 
     @cached_property
     def silver_transactions(self) -> DataFrame:
@@ -195,11 +207,11 @@ class Roles:
         return gold.dim_accounts(self.silver_accounts, self.dim_customers)
 
     def owned(self, rules: RuleSet | None = None) -> DataFrame:
-        return gold.owned_transactions(self.transactions, self.silver_accounts, self.dim_customers, rules)
+        return gold.owned_transactions(self.transactions, self.owned_accounts, self.owning_customers, rules)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_from_bronze(self.transactions, self.silver_accounts, self.dim_customers)
+        return gold.fact_from_bronze(self.transactions, self.owned_accounts, self.owning_customers)
 
     # -- stream ------------------------------------------------------------------------------
 

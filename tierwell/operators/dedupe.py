@@ -37,11 +37,14 @@ def one_per_key(
     count_as: str | None = None,
     keep_keyless: bool = False,
     totals: Mapping[str, Column] | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep the latest or earliest row of every key by ``order_by``, NULLs last either way.
 
     ``count_as`` names a column for the number of rows the key had; ``totals`` adds aggregates over all of
-    them, by name.  Rows without a key are never
+    them, by name.  ``only`` names the columns to return.  Those behind the last of them in the order could
+    only break ties of rows that are equal in all that is returned, so they are not even shuffled.  Rows
+    without a key are never
     put into one group: they are left out, or with ``keep_keyless`` all kept as they are.  Those are
     told apart by their place in the input, in the same pass; so with ``keep_keyless`` the input
     must come in the same order when a task is retried, as a file scan does."""
@@ -50,6 +53,9 @@ def one_per_key(
     keys = _names(keys)
     ranked = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in ranked]
+    shown = [c for c in df.columns if only is None or c in only]
+    while rest and rest[-1] not in shown:
+        rest.pop()
     if keep == "latest":
         row, pick = F.struct(*ranked, *rest), F.max
     else:
@@ -65,7 +71,7 @@ def one_per_key(
     added = [total.alias(name) for name, total in (totals or {}).items()]
     kept = grouped.agg(pick(row).alias("_best"), F.count(F.lit(1)).alias(count_as or "_copies"), *added)
     best = {c: F.col(f"_best.{c}").alias(c) for c in ranked + rest}
-    return kept.select(*[best.get(c, F.col(c)) for c in df.columns], *([count_as] if count_as else []), *(totals or {}))
+    return kept.select(*[best.get(c, F.col(c)) for c in shown], *([count_as] if count_as else []), *(totals or {}))
 
 
 def group_sizes(df: DataFrame, keys: str | Sequence[str], name: str) -> DataFrame:

@@ -79,6 +79,11 @@ class RuleSet:
         """Which delivery of a transaction stays, by the action of the duplicate rule."""
         return "latest" if self.action(fv.DUPLICATE_DEDUPED) in fv.KEEP_LATEST_ACTIONS else "earliest"
 
+    def tests_key(self) -> str:
+        """The same for rule sets that differ in handling actions alone, but keep the same delivery."""
+        tests = {code: {k: v for k, v in self.setting(code).items() if k != "handling_action"} for code in self.rules}
+        return json.dumps([tests, self.keep], sort_keys=True, default=repr)
+
     # -- predicates --------------------------------------------------------------------------
 
     def predicate(self, code: str, columns: Collection[str]) -> Column:

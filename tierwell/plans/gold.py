@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +17,9 @@ from tierwell.functions.temporal import age_band
 from tierwell.functions.text import missing
 from tierwell.operators.linking import keep_known, keep_unknown
 from tierwell.operators.rules import RuleSet
-from tierwell.plans.silver import SILVER_TRANSACTIONS, judged_transactions
+from tierwell.plans.silver import SILVER_TRANSACTIONS, judged_transactions, linked_transactions
 from tierwell.schemas import DIM_ACCOUNTS, DIM_CUSTOMERS, FACT_TRANSACTIONS, conform
+from tierwell.sources.shared import stored
 
 
 def dim_customers(silver: DataFrame, as_of: date) -> DataFrame:
@@ -42,6 +46,9 @@ def dim_accounts_from(judged: DataFrame) -> DataFrame:
 
 
 _OWNER = ["_account_sk", "_customer_sk", "_province"]
+#: What ``account_owners`` reads of both tables.
+OWNED_ACCOUNT = ["account_id", "customer_ref"]
+OWNING_CUSTOMER = ["customer_id", "province"]
 
 
 def account_owners(accounts: DataFrame, customers: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -65,13 +72,32 @@ def owned_transactions(
     keep: str | None = None,
     keep_keyless: bool = True,
     evidence: bool = True,
+    raw_text: bool = True,
 ) -> DataFrame:
     """Judged transactions with the keys and the province of their owner.
 
     One shuffle by transaction to deduplicate, one by account to find orphans and bring the owner.
     Silver, facts and quarantine are projections and filters of this frame."""
     owners = account_owners(silver_accounts, customers, "customer_ref")
-    return judged_transactions(bronze, owners, rules, keep, _OWNER, keep_keyless, evidence)
+    return judged_transactions(bronze, owners, rules, keep, _OWNER, keep_keyless, evidence, raw_text)
+
+
+def owned_under_each(
+    bronze: DataFrame, silver_accounts: DataFrame, customers: DataFrame, rule_sets: Mapping[str, RuleSet], evidence: bool = True
+) -> dict[str, DataFrame]:
+    """``owned_transactions`` under each of several rule sets, by name.
+
+    Those whose rules test the same and keep the same delivery share one frame, deduplicated, joined and
+    stored once; what their handling actions make of it is a projection."""
+    owners = account_owners(silver_accounts, customers, "customer_ref")
+    linked: dict[str, DataFrame] = {}
+    found = {}
+    for name, rules in rule_sets.items():
+        tests = rules.tests_key()
+        if tests not in linked:
+            linked[tests] = stored(linked_transactions(bronze, owners, rules, carry=_OWNER, evidence=evidence), "linked")
+        found[name] = rules.resolve(linked[tests], "_bits")
+    return found
 
 
 def fact_from_bronze(
@@ -107,6 +133,18 @@ def reject_reason(columns: list[str], rules: RuleSet | None = None) -> Column:
     return reason
 
 
+def becomes_fact(columns: list[str], rules: RuleSet | None = None) -> Column:
+    """Where ``reject_reason`` is NULL, as one condition after the other: Spark then tests those on the
+    transaction before the join by account, shuffles no column only they need, and drops orphans in it."""
+    known = F.col("_valid_account_id").isNotNull()
+    keeps = (rules or RuleSet.default()).keeps_orphans
+    tests = [~F.coalesce(F.col("_malformed"), F.lit(False))] if "_malformed" in columns else []
+    tests += [~missing("transaction_id"), F.col("dq_exclusion").isNull()]
+    owned = F.col("_customer_sk").isNotNull()
+    tests += [~known | owned] if keeps else [known, owned]
+    return reduce(and_, tests + [F.col(name).isNotNull() for name in fv.FACT_REQUIRED])
+
+
 def _member() -> Column:
     """The account a fact names; those that name none share the unknown one."""
     return F.when(missing("account_id"), F.lit(fv.UNKNOWN_MEMBER)).otherwise(F.col("account_id"))
@@ -118,7 +156,7 @@ def facts(owned: DataFrame, rules: RuleSet | None = None) -> DataFrame:
     Those of accounts nobody has described yet, if the rules keep them, carry the key that the account
     will have, and the customer and province of the unknown member."""
     orphan = F.col("_valid_account_id").isNull()
-    keyed = owned.filter(reject_reason(owned.columns, rules).isNull()).withColumns(
+    keyed = owned.filter(becomes_fact(owned.columns, rules)).withColumns(
         {
             "transaction_sk": hashed_key("transaction_id"),
             "account_sk": F.when(orphan, hashed_key(_member())).otherwise(F.col("_account_sk")),

@@ -49,9 +49,10 @@ def typed_accounts(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def silver_accounts(bronze: DataFrame) -> DataFrame:
-    """The newest delivery of every account, if it names a customer."""
-    newest = one_per_key(typed_accounts(readable(bronze)), "account_id", ["ingestion_timestamp"])
+def silver_accounts(bronze: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """The newest delivery of every account, if it names a customer.  ``only``, with customer_ref among them,
+    names the columns a reader wants."""
+    newest = one_per_key(typed_accounts(readable(bronze)), "account_id", ["ingestion_timestamp"], only=only)
     return newest.filter(F.col("customer_ref").isNotNull())
 
 
@@ -79,9 +80,9 @@ def typed_customers(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def silver_customers(bronze: DataFrame) -> DataFrame:
-    """The newest delivery of every customer."""
-    return one_per_key(typed_customers(readable(bronze)), "customer_id", ["ingestion_timestamp"])
+def silver_customers(bronze: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """The newest delivery of every customer, whole or ``only`` some columns."""
+    return one_per_key(typed_customers(readable(bronze)), "customer_id", ["ingestion_timestamp"], only=only)
 
 
 def typed_transactions(bronze: DataFrame) -> DataFrame:
@@ -134,6 +135,7 @@ def judged_transactions(
     carry: Sequence[str] = (),
     keep_keyless: bool = True,
     evidence: bool = False,
+    raw_text: bool = True,
 ) -> DataFrame:
     """One row per transaction with ``dq_flag``, all ``dq_issues``, ``dq_exclusion`` and the
     number of deliveries.
@@ -143,15 +145,31 @@ def judged_transactions(
     has no use for them.  ``keep`` says which delivery stays, by default what the rules' handling of
     duplicates says.  ``carry`` names columns of ``accounts`` that the one join against them brings
     along.  With ``evidence`` rows that break a rule of their own carry the delivered values as JSON in
-    ``_raw``, ``_malformed`` tells lines that were no record at all, and ``_n_<rule>`` counts the deliveries
-    that break a row rule."""
+    ``_raw`` (unless ``raw_text`` is off), ``_malformed`` tells lines that were no record at all, and
+    ``_n_<rule>`` counts the deliveries that break a row rule."""
     rules = rules or RuleSet.default()
+    return rules.resolve(linked_transactions(bronze, accounts, rules, keep, carry, keep_keyless, evidence, raw_text), "_bits")
+
+
+def linked_transactions(
+    bronze: DataFrame,
+    accounts: DataFrame,
+    rules: RuleSet,
+    keep: str | None = None,
+    carry: Sequence[str] = (),
+    keep_keyless: bool = True,
+    evidence: bool = False,
+    raw_text: bool = True,
+) -> DataFrame:
+    """What ``judged_transactions`` judges: one row per transaction with the broken row rules as ``_bits`` and
+    its account.  Rule sets that differ in handling actions alone can share it."""
     typed = typed_transactions(bronze)
     slim = [c for c in SILVER_TRANSACTIONS if c not in ("dq_flag", "dq_exclusion", "currency")]
     decided = typed.select("*", rules.row_bits(typed.columns).alias("_bits"))
     malformed = optional(typed, CORRUPT).isNotNull()
     raw = F.when((F.col("_bits") != 0) | malformed, F.to_json(F.struct(*[c for c in RAW_EVIDENCE if c in typed.columns])))
-    decided = decided.select(*slim, "_bits", *([raw.alias("_raw"), malformed.alias("_malformed")] if evidence else []))
+    shown = ([raw.alias("_raw")] if raw_text else []) + [malformed.alias("_malformed")]
+    decided = decided.select(*slim, "_bits", *(shown if evidence else []))
     single = one_per_key(
         decided,
         "transaction_id",
@@ -161,8 +179,7 @@ def judged_transactions(
         keep_keyless=keep_keyless,
         totals=rules.broken_totals("_bits", typed.columns) if evidence else None,
     ).withColumn("currency", F.lit(fv.CURRENCY))
-    linked = mark_known(single, "account_id", accounts, "account_id", "_valid_account_id", carry)
-    return rules.resolve(linked, "_bits")
+    return mark_known(single, "account_id", accounts, "account_id", "_valid_account_id", carry)
 
 
 def silver_transactions(
