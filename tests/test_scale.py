@@ -53,3 +53,20 @@ def test_one_per_key_looks_at_no_column_behind_the_last_wanted(spark):
             assert sorted(some.collect(), key=str) == sorted(whole.collect(), key=str)
     slim = one_per_key(df, "k", ["t"], only=["k", "v"])._jdf.queryExecution().optimizedPlan()
     assert "last" not in slim.toString().split("LogicalRDD")[0]
+
+
+def test_rule_sets_that_differ_in_handling_share_one_stored_frame(spark, monkeypatch):
+    default = RuleSet.default()
+    moved = default.changed(**{fv.CURRENCY_VARIANT: {"handling_action": "QUARANTINED"}})
+    strict = default.changed(**{fv.CURRENCY_VARIANT: {"strict": True}})
+    latest = default.changed(**{fv.DUPLICATE_DEDUPED: {"handling_action": fv.KEEP_LATEST_ACTIONS[0]}})
+    assert default.tests_key() == moved.tests_key()
+    assert len({r.tests_key() for r in (default, strict, latest)}) == 3
+    written, store = [], gold.stored
+    monkeypatch.setattr(gold, "stored", lambda df, label: (written.append(label), store(df, label))[1])
+    sets = {"default": default, "moved": moved, "latest": latest}
+    found = gold.owned_under_each(bronze(spark), *owners(spark), sets, evidence=False)
+    assert len(written) == 2
+    for name, rules in sets.items():
+        alone = gold.owned_transactions(bronze(spark), *owners(spark), rules, evidence=False)
+        assert sorted(found[name].select(alone.columns).collect(), key=str) == sorted(alone.collect(), key=str)

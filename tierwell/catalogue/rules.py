@@ -132,17 +132,17 @@ _OUTCOME = "CASE WHEN reason IS NULL THEN 'fact' ELSE reason END"
 def _(spark, folder):
     """Facts and quarantine under two rule sets that differ in one handling action."""
     roles = Roles(spark, folder)
-    accounts = stored(roles.silver_accounts, "silver-accounts")
-    customers = stored(roles.dim_customers, "dim-customers")
+    changed = RuleSet.default().changed(**{fv.CURRENCY_VARIANT: {"handling_action": "QUARANTINED"}})
+    rule_sets = {"default": RuleSet.default(), "currency quarantined": changed}
+    owned_by = gold.owned_under_each(roles.transactions, roles.owned_accounts, roles.owning_customers, rule_sets, evidence=False)
 
-    def outcome(name: str, rules: RuleSet):
-        owned = stored(gold.owned_transactions(roles.transactions, accounts, customers, rules, evidence=False), "owned")
+    def outcome(name: str):
+        owned = owned_by[name]
         kept = gold.facts(owned).select(F.lit("fact").alias("outcome"), "amount")
         out = gold.rejects(owned).select(F.col("reason").alias("outcome"), "amount")
         return kept.unionByName(out).groupBy(F.lit(name).alias("rule_set"), "outcome").agg(F.count(F.lit(1)).alias("records"), F.sum("amount").alias("amount"))
 
-    changed = RuleSet.default().changed(**{fv.CURRENCY_VARIANT: {"handling_action": "QUARANTINED"}})
-    return outcome("default", RuleSet.default()).unionByName(outcome("currency quarantined", changed))
+    return outcome("default").unionByName(outcome("currency quarantined"))
 
 
 def _dates(name: str, source: str, key: str, fields: list[str]) -> None:
