@@ -1,6 +1,7 @@
 """What keeps the work of the layers in proportion to what a query wants of them."""
 
 from tierwell import fixed_values as fv
+from tierwell.operators import ledger
 from tierwell.operators.dedupe import one_per_key
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold
@@ -70,3 +71,23 @@ def test_rule_sets_that_differ_in_handling_share_one_stored_frame(spark, monkeyp
     for name, rules in sets.items():
         alone = gold.owned_transactions(bronze(spark), *owners(spark), rules, evidence=False)
         assert sorted(found[name].select(alone.columns).collect(), key=str) == sorted(alone.collect(), key=str)
+
+
+def test_a_summed_ledger_has_the_sums_of_the_whole_one(spark):
+    rules = RuleSet.default()
+    owned = gold.owned_transactions(bronze(spark).unionByName(bronze(spark)), *owners(spark), rules, raw_text=False)
+    assert "_raw" not in owned.columns
+    reason = gold.reject_reason(owned.columns, rules)
+    rows = [("a", None, False, False, 0, 1), ("b", None, False, True, 2, 3), ("c", None, False, True, 2, 3), (None, "NULL_REQUIRED_ACCOUNT", False, False, 0, 1), (None, "MALFORMED_LINE", True, False, 0, 1), ("d", "NO_CUSTOMER_REF", False, None, 0, 1)]
+    kinds = "reason string, _malformed boolean, _bad_date boolean, _n_bad_date long, _dup_count long"
+    accounts, customers = (spark.createDataFrame(rows, f"{key} string, {kinds}") for key in ("account_id", "customer_id"))
+
+    def entries(summed):
+        return [ledger.transaction_entries(owned, rules, reason, summed), ledger.account_entries(accounts, rules, summed), ledger.customer_entries(customers, summed)]
+
+    for whole, summed in zip(entries(False), entries(True), strict=True):
+        assert whole.columns == summed.columns
+        assert sorted(ledger.totals(whole).collect(), key=str) == sorted(ledger.totals(summed).collect(), key=str)
+        assert summed.count() < whole.count()
+        assert sorted(ledger.flag_totals(ledger.totals(summed)).collect()) == sorted(ledger.flag_totals(whole).collect())
+        assert sorted(ledger.quarantined(ledger.totals(summed)).collect(), key=str) == sorted(ledger.quarantined(whole).collect(), key=str)

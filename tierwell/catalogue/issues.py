@@ -19,14 +19,17 @@ from tierwell.sources.shared import fresh_path, stored
 # -- the ledger ---------------------------------------------------------------------------------
 
 
-def ledger_of(roles: Roles, rules: RuleSet) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The ledger of all three sources, and the frames of transactions and accounts it comes from."""
+def ledger_of(roles: Roles, rules: RuleSet, summed: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The ledger of all three sources, and the frames of transactions and accounts it comes from.  The ledger
+    shows no delivered text, so none is kept."""
     customers = stored(silver.judged_customers(roles.customers, rules), "work-customers")
     people = stored(gold.dim_customers(silver.customers_from(customers), roles.as_of), "dim-customers")
     accounts = stored(silver.judged_accounts(roles.accounts, people, rules), "work-accounts")
-    owned = stored(gold.owned_transactions(roles.transactions, silver.accounts_from(accounts), people, rules), "work-transactions")
-    entries = ledger.transaction_entries(owned, rules, gold.reject_reason(owned.columns, rules))
-    return entries.unionByName(ledger.account_entries(accounts, rules)).unionByName(ledger.customer_entries(customers)), owned, accounts
+    owned = gold.owned_transactions(roles.transactions, silver.accounts_from(accounts), people, rules, raw_text=False)
+    owned = stored(owned, "work-transactions")
+    entries = ledger.transaction_entries(owned, rules, gold.reject_reason(owned.columns, rules), summed)
+    others = ledger.account_entries(accounts, rules, summed).unionByName(ledger.customer_entries(customers, summed))
+    return entries.unionByName(others), owned, accounts
 
 
 _ROW_RULES = {"null_required": "NULL_REQUIRED", "type_mismatch": "TYPE_MISMATCH", "date_format": "DATE_FORMAT", "currency_variant": "CURRENCY_VARIANT"}

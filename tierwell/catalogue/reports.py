@@ -206,7 +206,7 @@ _FLAGS_SQL = "SELECT issue_code, sum(flagged) AS records FROM ledger GROUP BY 1
 def _(spark, folder):
     """Every record under each of its issues, dates of all three sources included."""
     roles = Roles(spark, folder)
-    entries = stored(ledger_of(roles, RuleSet.default())[0], "ledger")
+    entries = stored(ledger.totals(ledger_of(roles, RuleSet.default(), summed=True)[0]), "ledger-totals")
     return ledger.issues(entries, _sources(roles), RuleSet.default())
 
 
@@ -227,8 +227,8 @@ def _(spark, folder):
 def _(spark, folder):
     """The report as a JSON document; every column here is read back out of the document."""
     roles, rules = Roles(spark, folder), RuleSet.default()
-    entries, work, accounts = ledger_of(roles, rules)
-    entries, sources = stored(entries, "ledger"), _sources(roles)
+    entries, work, accounts = ledger_of(roles, rules, summed=True)
+    entries, sources = stored(ledger.totals(entries), "ledger-totals"), stored(_sources(roles), "sources")
     gold_counts = report.record_counts(
         {"fact_transactions": gold.facts(work), "dim_accounts": gold.dim_accounts_from(accounts), "dim_customers": roles.dim_customers}
     )

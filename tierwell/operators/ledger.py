@@ -35,13 +35,20 @@ def _entry(code: str | Column, outcome: Column, records: Column, flagged: Column
 
 
 def _entries(
-    judged: DataFrame, source: str, key: str, reason: Column, issues: list[tuple[str, Column, Column | None]], flag: Column
+    judged: DataFrame, source: str, key: str, reason: Column, issues: list[tuple[str, Column, Column | None]], flag: Column, alike: list[str] | None = None
 ) -> DataFrame:
     """``issues`` are (code, whether the delivery that stays has it, how many deliveries of its key have it or
     None); ``flag`` is the code that counts the delivery that stays as flagged, NULL for none.  A malformed
-    line is no record that could have issues."""
+    line is no record that could have issues.  ``alike`` names the columns the issues are told from: records
+    that agree in them are then counted first and entered together, without their key."""
     whole = ~F.col("_malformed")
     shown = judged.withColumns({"_reason": reason, "_flag": F.when(whole, flag)})
+    if alike is None:
+        record_key, number = F.col(key), F.lit(1)
+    else:
+        told = dict.fromkeys([*alike, "_malformed", "_dup_count", "_reason", "_flag"])
+        shown = shown.groupBy(*told).agg(F.count(F.lit(1)).alias("_alike"))
+        record_key, number = F.lit(None).cast("string"), F.col("_alike")
     why = F.col("_reason")
     outcome = F.when(why.isNull(), F.lit(fv.GOLD)).otherwise(F.lit(fv.QUARANTINE))
     removed = F.lit(fv.REMOVED_COPY)
@@ -59,44 +66,58 @@ def _entries(
     own = why.isNotNull() & ~listed & (~any_issue | ~why.startswith("MISSING_"))
     entries.append(_entry(why, outcome, own.cast("int"), (own & F.col("_flag").isNull()).cast("int")))
     concerned = shown.filter(any_issue | (F.col("_dup_count") > 1) | why.isNotNull())
-    rows = concerned.select(F.lit(source).alias("source"), F.col(key).alias("record_key"), "_reason", F.inline(F.array(*entries)))
+    rows = concerned.select(F.lit(source).alias("source"), record_key.alias("record_key"), "_reason", number.alias("_number"), F.inline(F.array(*entries)))
     return rows.filter(F.col("records") > 0).select(
         "source", "record_key", "issue_code", "outcome",
-        F.when(F.col("outcome") == fv.QUARANTINE, F.col("_reason")).alias("reason"), "records", "flagged",
+        F.when(F.col("outcome") == fv.QUARANTINE, F.col("_reason")).alias("reason"),
+        (F.col("records") * F.col("_number")).alias("records"), (F.col("flagged") * F.col("_number")).alias("flagged"),
     )
 
 
-def transaction_entries(owned: DataFrame, rules: RuleSet, reason: Column) -> DataFrame:
-    """From ``gold.owned_transactions`` with evidence; ``reason`` is ``gold.reject_reason``."""
+def transaction_entries(owned: DataFrame, rules: RuleSet, reason: Column, summed: bool = False) -> DataFrame:
+    """From ``gold.owned_transactions`` with evidence; ``reason`` is ``gold.reject_reason``.  ``summed``, here
+    and below: an entry for all records alike, for readers that only sum."""
     row_rules = [c for c in owned.columns if c.startswith("_n_")]
     codes = [c for c in rules.priority if c in fv.FLAG_PRIORITY]
     issues = [
         (c, F.array_contains("dq_issues", c), F.col(f"_n_{c}") if f"_n_{c}" in row_rules else None) for c in dict.fromkeys(codes)
     ]
-    return _entries(owned, "transactions", "transaction_id", reason, issues, F.col("dq_flag"))
+    alike = ["dq_issues", *row_rules] if summed else None
+    return _entries(owned, "transactions", "transaction_id", reason, issues, F.col("dq_flag"), alike)
 
 
 def _account_code(rules: RuleSet) -> str:
     return rules.config.get("account_null_required", {}).get("issue_code", fv.NULL_REQUIRED_ACCOUNT)
 
 
-def account_entries(judged: DataFrame, rules: RuleSet) -> DataFrame:
+_ALIKE = ["reason", "_bad_date", "_n_bad_date"]
+
+
+def account_entries(judged: DataFrame, rules: RuleSet, summed: bool = False) -> DataFrame:
     """From ``silver.judged_accounts``."""
     code = _account_code(rules)
     reason = F.when(F.col("reason") == fv.NULL_REQUIRED_ACCOUNT, F.lit(code)).otherwise(F.col("reason"))
     issues = [(code, reason == code, None), (fv.DATE_FORMAT_ACCOUNT, F.col("_bad_date"), F.col("_n_bad_date"))]
-    return _entries(judged, "accounts", "account_id", reason, issues, first_match([(c, t) for c, t, _ in issues]))
+    return _entries(judged, "accounts", "account_id", reason, issues, first_match([(c, t) for c, t, _ in issues]), _ALIKE if summed else None)
 
 
-def customer_entries(judged: DataFrame) -> DataFrame:
+def customer_entries(judged: DataFrame, summed: bool = False) -> DataFrame:
     """From ``silver.judged_customers``."""
     issues = [(fv.DATE_FORMAT_CUSTOMER, F.col("_bad_date"), F.col("_n_bad_date"))]
-    return _entries(judged, "customers", "customer_id", F.col("reason"), issues, first_match([(c, t) for c, t, _ in issues]))
+    flag = first_match([(c, t) for c, t, _ in issues])
+    return _entries(judged, "customers", "customer_id", F.col("reason"), issues, flag, _ALIKE if summed else None)
 
 
 # -- aggregates --------------------------------------------------------------------------------
 
 
+def totals(ledger: DataFrame) -> DataFrame:
+    """The ledger summed over its records, a few rows; all aggregates below are the same of it.  The column
+    ``record_key`` is NULL."""
+    sums = ledger.groupBy("source", "issue_code", "outcome", "reason").agg(F.sum("records").alias("records"), F.sum("flagged").alias("flagged"))
+    return sums.select(*[F.col(f.name) if f.name in sums.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
+
+
 def quarantined(ledger: DataFrame) -> DataFrame:
     """``(source, reason, records)`` of the records in quarantine."""
     rows = ledger.filter(F.col("outcome") == fv.QUARANTINE)
