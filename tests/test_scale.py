@@ -1,10 +1,14 @@
 """What keeps the work of the layers in proportion to what a query wants of them."""
 
+from pyspark.sql import functions as F
+
 from tierwell import fixed_values as fv
+from tierwell.catalogue.scans import json_files_of
 from tierwell.operators import ledger
 from tierwell.operators.dedupe import one_per_key
 from tierwell.operators.rules import RuleSet
 from tierwell.plans import gold
+from tierwell.sources import readers
 
 BRONZE = """transaction_id string, account_id string, transaction_date string, transaction_time string, transaction_type string,
     merchant_category string, amount string, currency string, channel string, ingestion_timestamp string"""
@@ -91,3 +95,10 @@ def test_a_summed_ledger_has_the_sums_of_the_whole_one(spark):
         assert summed.count() < whole.count()
         assert sorted(ledger.flag_totals(ledger.totals(summed)).collect()) == sorted(ledger.flag_totals(whole).collect())
         assert sorted(ledger.quarantined(ledger.totals(summed)).collect(), key=str) == sorted(ledger.quarantined(whole).collect(), key=str)
+
+
+def test_json_files_are_compressed_and_bounded(spark, tmp_path):
+    lines = spark.range(0, 25, 1, 1).select(F.concat(F.lit('{"transaction_id": "'), F.col("id").cast("string"), F.lit('"}')).alias("value"))
+    json_files_of(lines, str(tmp_path / "in"), 10)
+    assert len(list((tmp_path / "in").glob("*.gz"))) == 3
+    assert sorted(int(r[0]) for r in readers.read_jsonl(spark, str(tmp_path / "in")).select("transaction_id").collect()) == list(range(25))

@@ -61,6 +61,11 @@ def amounts_as_delivered(roles: Roles) -> DataFrame:
     return roles.transactions.withColumn("amount_is_text", amount_is_text(line))
 
 
+def json_files_of(lines: DataFrame, path: str, lines_a_file: int = 500_000) -> None:
+    """Write a folder of compressed files.  Readers do not split such files, so each holds so many lines at most."""
+    lines.write.options(compression="gzip", maxRecordsPerFile=lines_a_file).text(path)
+
+
 _CUT = "cat_7"
 
 
@@ -85,7 +90,7 @@ def _(spark, folder):
     path = fresh_path(spark, "transactions-jsonl")
     line = json_lines(roles.transactions)
     cut = F.when(F.col("merchant_category") == _CUT, F.substring(line, 1, 40)).otherwise(line)
-    roles.transactions.select(cut.alias("value")).write.text(path)
+    json_files_of(roles.transactions.select(cut.alias("value")), path)
     return (
         readers.read_jsonl(spark, path)
         .groupBy(
