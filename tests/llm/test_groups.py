@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -256,6 +257,32 @@ def test_repeats_of_over_50_words_are_dropped(spark):
         assert r["n_chars"] == len(r["text"])
 
 
+def test_passages_of_over_50_words_are_reported(spark, tmp_path):
+    """By brute force; the passages have far less than the 400 bytes that are removed, so nothing is."""
+    rng = random.Random(12)
+
+    def prose(n):
+        return [f"{rng.randrange(4000):x}" if rng.randrange(9) else "é" for _ in range(n)]
+
+    caught, spared = prose(51), prose(50)
+    texts = [prose(80) + caught + prose(30), prose(10) + caught + prose(90), prose(40) + spared + prose(70), prose(5) + spared, prose(20) + (again := prose(60)) + prose(9) + again, prose(300), [], None, caught]
+    # Blanks differ between the copies; ids are null or repeated.
+    texts = [t if t is None else (" \n" if i % 2 else " ").join(t) for i, t in enumerate(texts)]
+    docs = documents(spark, texts, [3, 3, None, 4, 5, None, 6, 7, 8])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    words = [(t or "").split() for t in texts]
+    seen = collections.Counter(tuple(t[i : i + 51]) for t in words for i in range(len(t) - 50))
+    expected = []
+    for text, own in zip(texts, words, strict=True):
+        gone = {k for i in range(len(own) - 50) if seen[tuple(own[i : i + 51])] > 1 for k in range(i, i + 51)}
+        at = [m.span() for m in re.finditer(r"\S+", text or "")]
+        starts, stops = sorted(k for k in gone if k - 1 not in gone), sorted(k for k in gone if k + 1 not in gone)
+        expected.append((len((text or "").encode()), 0, len(starts), sum(len(text[at[a][0] : at[b][1]].encode()) for a, b in zip(starts, stops, strict=True))))
+    assert [e[2] for e in expected] == [1, 1, 0, 0, 2, 0, 0, 0, 1]
+    found = contract.queries()["op6_suffix_array_dedup"](spark, str(tmp_path)).collect()
+    assert collections.Counter((r["n_bytes"], r["n_removed"], r["n_passages"], r["n_passage_bytes"]) for r in found) == collections.Counter(expected)
+
+
 def test_both_orders_equal_pairs():
     rng = random.Random(9)
     for n in (2, 5, 40):

@@ -46,7 +46,8 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substrings.digest(substrings.remove_repeats(table(spark, folder, "documents")))
+    """Strings of 400 bytes are removed; repeated passages of over 50 words, often shorter, are reported beside them."""
+    return substrings.digest(substrings.remove_repeats(table(spark, folder, "documents"), passages=substrings.WORDS))
 
 
 def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwell.sources.shared import stored
+from tierwell.sources.shared import fresh_path, remove, stored
 
 LENGTH = 400
 GRAM = 48
-#: Shortest passage that drop_repeats takes for a repeat, in words, and the bytes of a word's hash.
+#: Shortest passage that drop_repeats and op6's passage columns take for a repeat, in words, and the bytes of a word's hash.
 WORDS = 51
 TOKEN = 4
 #: Bytes parsed at once.
@@ -272,10 +273,18 @@ def _strings(length: int):
     return run
 
 
-def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, hashed: bool = False, folder: str | None = None) -> DataFrame:
     """(doc, print, first, last): runs of places where a string of ``length`` bytes begins that also
-    begins elsewhere, for ``texts`` (doc, print, text)."""
-    parsed = stored(texts.where(F.octet_length("text") >= length).mapInArrow(_parse(length, gram), _PARSED), "phrases")
+    begins elsewhere, for ``texts`` (doc, print, text).  ``hashed``: in the hashes of the texts' words,
+    which are made anew where they are read rather than stored.  Its tables are stored below ``folder``, if given."""
+    parse = _parse(length, gram)
+    if hashed:
+        # So many words have a byte each and one between any two.
+        long = texts.where(F.octet_length("text") >= 2 * (length // TOKEN) - 1)
+        parsed = stored(long.mapInArrow(lambda batches: parse(_tokens(batches)), _PARSED), "phrases", folder)
+        texts = long.mapInArrow(_tokens, _TOKENS)
+    else:
+        parsed = stored(texts.where(F.octet_length("text") >= length).mapInArrow(parse, _PARSED), "phrases", folder)
     place = ["doc", "print", "first", "last"]
     once = parsed.where(~F.col("known")).drop("known")
     # Written, so that the join below deals out both of its sides itself and can split a hot trigger.
@@ -285,12 +294,14 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gr
         .where(F.col("total") > 1)
         .select("key", (F.col("low") != F.col("high")).alias("mixed")),
         "triggers",
+        folder,
     )
-    shared = stored(once.join(triggers, "key"), "shared-triggers")
+    shared = stored(once.join(triggers, "key"), "shared-triggers", folder)
     mixed = shared.where("mixed")
     entries = stored(
         mixed.groupBy("key", "phrase").agg(F.sum("weight").alias("total"), F.min(F.struct(*place, "at")).alias("one")).select("key", "phrase", "one.*", (F.col("total") == 1).alias("single")),
         "dictionary",
+        folder,
     )
     again = mixed.join(entries.where(~F.col("single")).select("key", "phrase"), ["key", "phrase"], "left_semi")
     open_keys = entries.groupBy("key").agg(F.max("single").alias("open"), (F.count("*") > group).alias("many")).where("open").select("key", "many")
@@ -302,6 +313,7 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gr
     bodies = stored(
         texts.join(asked.hint("shuffle_hash"), ["doc", "print"]).select("doc", "print", "text", "asked").mapInArrow(_cut, "key long, doc long, print long, first long, at long, single boolean, many boolean, body binary"),
         "phrase-bodies",
+        folder,
     )
     by_key = bodies.where(~F.col("many")).repartition("key").sortWithinPartitions("key")
     compared = by_key.mapInArrow(_compare(length), "doc long, print long, first long, last long")
@@ -315,6 +327,14 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gr
     return out
 
 
+def _settled(texts: DataFrame, length: int, gram: int, group: int, hashed: bool = False) -> DataFrame:
+    """``repeated_places``, written; the tables it needed meanwhile are deleted, so that two searches don't hold theirs at once."""
+    folder = fresh_path(texts.sparkSession, "repeats")
+    places = stored(repeated_places(texts, length, gram, group, hashed, folder), "places")
+    remove(texts.sparkSession, folder)
+    return places
+
+
 def _covered(places: list[dict], length: int) -> list[tuple[int, int]]:
     """Merged [start, stop) byte runs of the strings that begin at the places."""
     out: list[list[int]] = []
@@ -327,6 +347,7 @@ def _covered(places: list[dict], length: int) -> list[tuple[int, int]]:
 
 
 _WORD = re.compile(rb"\S+")
+_TOKENS = "doc long, print long, text binary"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +369,9 @@ def _bytes_of_words(body: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
     return [(words[a][0], words[b - 1][1]) for a, b in whole if a < b]
 
 
-def _remove(length: int, as_text: bool, by_words: bool = False):
+def _remove(length: int, as_text: bool, by_words: bool = False, passages: int = 0):
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
     def shown(kept: list[bytes]) -> pa.Array:
         return pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
 
@@ -356,7 +379,7 @@ def _remove(length: int, as_text: bool, by_words: bool = False):
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                kept, sizes, spans = [], [], []
+                kept, sizes, spans, found = [], [], [], []
                 for text, places in zip(part.column("text"), part.column("places").to_pylist(), strict=True):
                     body = memoryview(text.as_buffer() or b"")
                     runs = _covered(places or [], length)
@@ -366,14 +389,19 @@ def _remove(length: int, as_text: bool, by_words: bool = False):
                     kept.append(b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                     sizes.append(len(body))
                     spans.append([{"start": a, "stop": b} for a, b in runs])
-                keep = [c for c in part.schema.names if c not in ("text", "places")]
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(sizes, pa.int64()), shown(kept), pa.array(spans, kind)], names=[*keep, "n_bytes", "kept", "spans"])
+                keep = [c for c in part.schema.names if c not in ("text", "places", "worded")]
+                columns, names = [*(part.column(c) for c in keep), pa.array(sizes, pa.int64()), shown(kept), pa.array(spans, kind)], [*keep, "n_bytes", "kept", "spans"]
+                if passages:
+                    for text, worded in zip(part.column("text"), part.column("worded").to_pylist(), strict=True):
+                        runs = _bytes_of_words(bytes(text.as_buffer() or b""), _covered(worded, passages * TOKEN)) if worded else []
+                        found.append([{"start": a, "stop": b} for a, b in runs])
+                    columns, names = [*columns, pa.array(found, kind)], [*names, "passages"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, as_text: bool = False, by_words: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, as_text: bool = False, by_words: bool = False, passages: int = 0) -> DataFrame:
     """row (all columns of ``docs`` but text, as a struct), missing (text is null), n_bytes, kept (the bytes left), spans (removed
     [start, stop) runs) for every row of ``docs`` (doc_id, text, ...).
 
@@ -383,22 +411,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     that, null and empty ones stay as they are (null as empty).  Repeated rows repeat each other.
     Ids may be null or repeated; further columns are carried along whatever their names.  ``by_words``:
     strings are ``length`` words, whatever the blanks between them; words are compared by hashes of
-    TOKEN bytes, so two strings that differ in one word are taken for equal once in 2**32 times."""
+    TOKEN bytes, so two strings that differ in one word are taken for equal once in 2**32 times.
+
+    With ``passages`` a further column of that name holds the [start, stop) byte runs of repeated passages
+    of so many words or more, found by words as above; they are reported, not removed."""
     row = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
     own = docs.select(row, F.col("text").isNull().alias("missing"), F.xxhash64("doc_id").alias("doc"), F.xxhash64("text").alias("print"), F.col("text").alias("text"))
     texts = own.select("doc", "print", "text")
     if by_words:
-        texts, length = stored(texts.mapInArrow(_tokens, "doc long, print long, text binary"), "word-hashes"), length * TOKEN
-    places = repeated_places(texts, length, gram, group)
-    by_text = places.groupBy("doc", "print").agg(F.collect_list(F.struct("first", "last")).alias("places"))
-    joined = own.join(by_text.hint("shuffle_hash"), ["doc", "print"], "left").select("row", "missing", "text", "places")
-    kind = own.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_remove(length, as_text, by_words), f"row {kind}, missing boolean, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,stop:long>>")
+        texts, length = stored(texts.mapInArrow(_tokens, _TOKENS), "word-hashes"), length * TOKEN
+    if passages:
+        lists = {"places": _settled(texts, length, gram, group), "worded": _settled(own.select("doc", "print", "text"), passages * TOKEN, gram, group, hashed=True)}
+    else:
+        lists = {"places": repeated_places(texts, length, gram, group)}
+    marked = reduce(DataFrame.unionByName, [found.withColumn("list", F.lit(name)) for name, found in lists.items()])
+    by_text = marked.groupBy("doc", "print").agg(*(F.collect_list(F.when(F.col("list") == name, F.struct("first", "last"))).alias(name) for name in lists))
+    joined = own.join(by_text.hint("shuffle_hash"), ["doc", "print"], "left").select("row", "missing", "text", *lists)
+    kind, runs = own.schema["row"].dataType.simpleString(), "array<struct<start:long,stop:long>>"
+    schema = f"row {kind}, missing boolean, n_bytes long, kept {'string' if as_text else 'binary'}, spans {runs}"
+    return joined.mapInArrow(_remove(length, as_text, by_words, passages), f"{schema}, passages {runs}" if passages else schema)
 
 
 def digest(removed: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the text that is left; a character cut in
-    two is shown as U+FFFD there."""
+    two is shown as U+FFFD there.  Where repeated passages were looked for, n_passages and
+    n_passage_bytes, their number and bytes in the text, whether removed or not."""
+    found = [F.size("passages").cast("long").alias("n_passages"), F.aggregate("passages", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]).alias("n_passage_bytes")]
     return removed.select(
         "row.doc_id",
         "n_bytes",
@@ -406,6 +444,7 @@ def digest(removed: DataFrame) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
         F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+        *(found if "passages" in removed.columns else []),
     )
 
 

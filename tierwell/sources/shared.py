@@ -52,8 +52,9 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back, for frames with several readers."""
-    path = fresh_path(df.sparkSession, label)
+def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for frames with several readers; or
+    below a ``folder`` of the caller's, who may then remove all it holds."""
+    path = f"{folder}/{label}" if folder else fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
