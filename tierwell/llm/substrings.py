@@ -273,18 +273,10 @@ def _strings(length: int):
     return run
 
 
-def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, hashed: bool = False, folder: str | None = None) -> DataFrame:
+def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, folder: str | None = None) -> DataFrame:
     """(doc, print, first, last): runs of places where a string of ``length`` bytes begins that also
-    begins elsewhere, for ``texts`` (doc, print, text).  ``hashed``: in the hashes of the texts' words,
-    which are made anew where they are read rather than stored.  Its tables are stored below ``folder``, if given."""
-    parse = _parse(length, gram)
-    if hashed:
-        # So many words have a byte each and one between any two.
-        long = texts.where(F.octet_length("text") >= 2 * (length // TOKEN) - 1)
-        parsed = stored(long.mapInArrow(lambda batches: parse(_tokens(batches)), _PARSED), "phrases", folder)
-        texts = long.mapInArrow(_tokens, _TOKENS)
-    else:
-        parsed = stored(texts.where(F.octet_length("text") >= length).mapInArrow(parse, _PARSED), "phrases", folder)
+    begins elsewhere, for ``texts`` (doc, print, text).  Its tables are stored below ``folder``, if given."""
+    parsed = stored(texts.where(F.octet_length("text") >= length).mapInArrow(_parse(length, gram), _PARSED), "phrases", folder)
     place = ["doc", "print", "first", "last"]
     once = parsed.where(~F.col("known")).drop("known")
     # Written, so that the join below deals out both of its sides itself and can split a hot trigger.
@@ -327,10 +319,12 @@ def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gr
     return out
 
 
-def _settled(texts: DataFrame, length: int, gram: int, group: int, hashed: bool = False) -> DataFrame:
+def _settled(texts: DataFrame, length: int, gram: int, group: int, by_words: bool = False) -> DataFrame:
     """``repeated_places``, written; the tables it needed meanwhile are deleted, so that two searches don't hold theirs at once."""
     folder = fresh_path(texts.sparkSession, "repeats")
-    places = stored(repeated_places(texts, length, gram, group, hashed, folder), "places")
+    if by_words:
+        texts, length = _word_hashes(texts, folder), length * TOKEN
+    places = stored(repeated_places(texts, length, gram, group, folder), "places")
     remove(texts.sparkSession, folder)
     return places
 
@@ -347,7 +341,6 @@ def _covered(places: list[dict], length: int) -> list[tuple[int, int]]:
 
 
 _WORD = re.compile(rb"\S+")
-_TOKENS = "doc long, print long, text binary"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,6 +353,10 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("print"), pa.array(found, pa.binary())], names=["doc", "print", "text"])
 
 
+def _word_hashes(texts: DataFrame, folder: str | None = None) -> DataFrame:
+    return stored(texts.mapInArrow(_tokens, "doc long, print long, text binary"), "word-hashes", folder)
+
+
 def _bytes_of_words(body: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Runs of token bytes as runs of the text's bytes, from the first word's start to the last one's end."""
     if not runs:
@@ -419,9 +416,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     own = docs.select(row, F.col("text").isNull().alias("missing"), F.xxhash64("doc_id").alias("doc"), F.xxhash64("text").alias("print"), F.col("text").alias("text"))
     texts = own.select("doc", "print", "text")
     if by_words:
-        texts, length = stored(texts.mapInArrow(_tokens, _TOKENS), "word-hashes"), length * TOKEN
+        texts, length = _word_hashes(texts), length * TOKEN
     if passages:
-        lists = {"places": _settled(texts, length, gram, group), "worded": _settled(own.select("doc", "print", "text"), passages * TOKEN, gram, group, hashed=True)}
+        lists = {"places": _settled(texts, length, gram, group), "worded": _settled(own.select("doc", "print", "text"), passages, gram, group, by_words=True)}
     else:
         lists = {"places": repeated_places(texts, length, gram, group)}
     marked = reduce(DataFrame.unionByName, [found.withColumn("list", F.lit(name)) for name, found in lists.items()])
