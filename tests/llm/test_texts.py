@@ -277,6 +277,21 @@ def test_url_model_reads_the_whole_url(spark):
     assert len({r["score"] for r in own}) == len(asked) - 1
 
 
+def test_url_models_take_few_tables_and_shuffles(spark, monkeypatch):
+    """Each has its tasks and files, one a partition, however little it holds.  Places of grams are not broadcast."""
+    plans, store = {}, urls.stored
+
+    def planned(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(urls, "stored", lambda df, label: (plans.update({f"{label}-{len(plans)}": planned(df)}), store(df, label))[1])
+    plans["rows"] = planned(urls.judge(pages(spark, [u[0] for u in URLS])))
+    assert len(plans) <= 4
+    assert sum(plan.count("Exchange hashpartitioning") for plan in plans.values()) <= 10
+    valued = [line for plan in plans.values() for line in plan.splitlines() if "Join [gram" in line]
+    assert len(valued) == 1 and "LeftOuter" in valued[0] and "BuildLeft" not in valued[0]
+
+
 @pytest.fixture(scope="module")
 def reference_encoding():
     with open(bpe.VOCABULARY, "rb") as file:
